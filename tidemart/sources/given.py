@@ -175,7 +175,8 @@ def messages(spark: SparkSession, folder: str) -> DataFrame:
     """The message stream: one message per event, with faults at fixed event numbers.
 
     No key: every 7th. No user or product id: every 31st. Bad time: every 41st. Too wide an
-    amount: every 43rd. Unknown type: every 53rd. Broken JSON: every 97th.
+    amount: every 43rd. Unknown type: every 53rd. Broken JSON: every 97th. Messages arrive two
+    seconds after the event.
     """
     kinds = F.create_map(*[F.lit(x) for pair in EVENT_OF_GIVEN.items() for x in pair])
     events = table(spark, folder, "events").select(
@@ -194,6 +195,6 @@ def messages(spark: SparkSession, folder: str) -> DataFrame:
         topic_for(kind).alias("topic"),
         (F.col("user_id") % 3).cast("int").alias("partition"),
         number.alias("offset"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
+        (F.col("ts").cast("timestamp") + F.expr("INTERVAL 2 SECONDS")).alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )

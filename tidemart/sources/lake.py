@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -158,15 +158,13 @@ class Lake:
         execution merges small dates and splits large ones.
         """
         name, sized = self.name("gold", table), rows.hint("rebalance", "date")
-        exists = self.spark.catalog.tableExists(name)
-        if mode == "dynamic" and exists:
-            # insertInto goes by position, and the table keeps its partition column last.
-            ordered = sized.select(*self.spark.table(name).columns)
-            writer = ordered.write.option("partitionOverwriteMode", "dynamic")
-            writer.option("compression", "snappy").insertInto(name, overwrite=True)
+        if mode == "dynamic" and self.spark.catalog.tableExists(name):
+            # By path: inserting into a table takes the overwrite mode from the session only.
+            writer = sized.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            _gold_files(writer, self._location(name))
         elif mode in ("replace", "dynamic"):
             folder = f"{self.path('gold', table)}/{uuid.uuid4().hex}"
-            sized.write.partitionBy("date").option("compression", "snappy").parquet(folder)
+            _gold_files(sized.write, folder)
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
             kept = [f for f in rows.schema if f.name != "date"]
             columns = column_ddl(T.StructType([*kept, rows.schema["date"]]))
@@ -174,6 +172,14 @@ class Lake:
                 f"CREATE TABLE {name} ({columns}) USING parquet "
                 f"PARTITIONED BY (date) LOCATION '{folder}'"
             )
-            self.spark.catalog.recoverPartitions(name)
         else:
             raise ValueError(f"unknown write mode {mode!r}")
+        self.spark.catalog.recoverPartitions(name)
+
+    def _location(self, name: str) -> str:
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
+        return described.where("col_name = 'Location'").first()["data_type"]
+
+
+def _gold_files(writer: DataFrameWriter, folder: str) -> None:
+    writer.partitionBy("date").option("compression", "snappy").parquet(folder)
