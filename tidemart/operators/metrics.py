@@ -146,11 +146,12 @@ def product_views(views: DataFrame, day) -> DataFrame:
     )
 
 
-def purchased_items(purchases: DataFrame, day=None) -> DataFrame:
-    """One row per bought item; purchases without items yield none."""
+def purchased_items(purchases: DataFrame, day=None, *, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per bought item, with the purchase's ``keep`` columns; purchases without items
+    yield none."""
     if day is not None:
         purchases = purchases.where(since(F.col("timestamp"), day))
-    return purchases.select(F.inline("items"))
+    return purchases.select(*keep, F.inline("items"))
 
 
 def product_purchases(purchases: DataFrame, day) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemart.operators.metrics import purchased_items
 from tidemart.operators.silver import to_silver
 from tidemart.plans import gold
 from tidemart.queries.common import FIRST_DAY, MESSAGES_SQL, Query
@@ -41,7 +42,7 @@ def accepted_sql(kind: str, columns: str) -> str:
 
 
 def _items(spark, folder):
-    return silver(spark, folder, "purchases").select("order_id", F.inline("items"))
+    return purchased_items(silver(spark, folder, "purchases"), keep=("order_id",))
 
 
 _PURCHASE_COLUMNS_SQL = f"""{_HEAD_SQL}, {_BUYER_SQL},

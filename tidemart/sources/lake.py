@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,14 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemart.functions.measures import since
 from tidemart.operators.bronze import route
-from tidemart.schemas import RAW_EVENTS, RUN_LOG, SILVER_EVENT, column_ddl, silver_schema
+from tidemart.schemas import (
+    GOLD_VERSIONS,
+    RAW_EVENTS,
+    RUN_LOG,
+    SILVER_EVENT,
+    column_ddl,
+    silver_schema,
+)
 
 LAYERS = ("bronze", "silver", "gold", "ops")
 
@@ -39,6 +47,7 @@ LAYOUTS: dict[tuple[str, str], Layout] = {
         for name in SILVER_EVENT
     },
     ("ops", "run_log"): Layout(RUN_LOG),
+    ("ops", "gold_versions"): Layout(GOLD_VERSIONS),
 }
 
 _PARTITION_VALUE = {"route": route, "event_date": lambda: F.to_date("timestamp")}
@@ -87,6 +96,8 @@ class Lake:
         any file is opened.
         """
         name = self.name(layer, table)
+        if layer == "gold":
+            self._find_gold(table)
         self.spark.catalog.refreshTable(name)
         rows, layout = self.spark.table(name), LAYOUTS.get((layer, table))
         if day is not None:
@@ -158,24 +169,41 @@ class Lake:
         execution merges small dates and splits large ones.
         """
         name, sized = self.name("gold", table), rows.hint("rebalance", "date")
-        if mode == "dynamic" and self.spark.catalog.tableExists(name):
+        if mode == "dynamic" and self._find_gold(table):
             # By path: inserting into a table takes the overwrite mode from the session only.
             writer = sized.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             _gold_files(writer, self._location(name))
+            self.spark.catalog.recoverPartitions(name)
         elif mode in ("replace", "dynamic"):
             folder = f"{self.path('gold', table)}/{uuid.uuid4().hex}"
             _gold_files(sized.write, folder)
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
             kept = [f for f in rows.schema if f.name != "date"]
             columns = column_ddl(T.StructType([*kept, rows.schema["date"]]))
-            self.spark.sql(
-                f"CREATE TABLE {name} ({columns}) USING parquet "
-                f"PARTITIONED BY (date) LOCATION '{folder}'"
-            )
+            self._point_gold(table, folder, columns)
+            version = (table, folder, columns, datetime.now(timezone.utc))
+            self.append(self.spark.createDataFrame([version], GOLD_VERSIONS), "ops", "gold_versions")
         else:
             raise ValueError(f"unknown write mode {mode!r}")
+
+    def _point_gold(self, table: str, folder: str, columns: str) -> None:
+        name = self.name("gold", table)
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (date) LOCATION '{folder}'"
+        )
         self.spark.catalog.recoverPartitions(name)
 
+    def _find_gold(self, table: str) -> bool:
+        """Whether a gold table exists. One that a catalog without memory has forgotten is
+        registered again from the version log."""
+        if self.spark.catalog.tableExists(self.name("gold", table)):
+            return True
+        versions = self.read("ops", "gold_versions").where(F.col("table_name") == table)
+        newest = versions.agg(F.max_by(F.struct("folder", "columns"), "published").alias("v")).first()["v"]
+        if newest is not None:
+            self._point_gold(table, newest["folder"], newest["columns"])
+        return newest is not None
+
     def _location(self, name: str) -> str:
         described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
         return described.where("col_name = 'Location'").first()["data_type"]

@@ -51,5 +51,12 @@ def from_files(
     return reader.load(folder)
 
 
-def to_files(messages: DataFrame, folder: str, file_format: str = "parquet") -> None:
-    messages.select(*ENVELOPE.names).write.mode("append").format(file_format).save(folder)
+def to_files(
+    messages: DataFrame, folder: str, file_format: str = "parquet", checkpoint: str | None = None
+):
+    """Land messages as files; returns the running query when they are a stream."""
+    rows = messages.select(*ENVELOPE.names)
+    if not rows.isStreaming:
+        return rows.write.mode("append").format(file_format).save(folder)
+    writer = rows.writeStream.format(file_format).option("checkpointLocation", checkpoint)
+    return writer.start(folder)
