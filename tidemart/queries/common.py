@@ -65,7 +65,10 @@ def exact_decimal_mean(column: str, digits: int) -> str:
     """SQL: average of a column with so many digits, rounded half up to four more."""
     total = f"CAST(sum(CAST({column} AS DECIMAL(30,{digits}))) * 1{'0' * digits} AS HUGEINT)"
     rows = f"count({column})"
-    return f"CAST((2 * {total} * 10000 + {rows}) // (2 * {rows}) AS DOUBLE) / 1e{digits + 4}"
+    scaled = f"CAST((2 * {total} * 10000 + {rows}) // (2 * {rows}) AS DECIMAL(22,0))"
+    unit = f"CAST(0.{'0' * (digits + 3)}1 AS DECIMAL(18,{digits + 4}))"
+    # By way of text: a whole number beyond 2^53 is no exact double.
+    return f"CAST(CAST({scaled} * {unit} AS VARCHAR) AS DOUBLE)"
 
 
 PAGE_VIEWS_SQL = """
