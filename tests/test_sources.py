@@ -1,6 +1,7 @@
 import pytest
 from pyspark.errors import AnalysisException
 
+from tidemart import reporting
 from tidemart.__main__ import main, parse
 from tidemart.operators.messages import ALL_TOPICS
 from tidemart.schemas import ENVELOPE
@@ -52,9 +53,20 @@ def test_command_line_end_to_end(spark, tmp_path):
     lake, landing = str(tmp_path / "lake"), str(tmp_path / "landing")
     main(["generate", "--num-events", "400", "--landing", landing, "--lake", lake])
     main(["stream", "--once", "--landing", landing, "--lake", lake])
-    main(["customer", "--lake", lake, "--date", "yesterday", "--same-day"])
+    main(["stream", "--once", "--job-type", "processing", "--files-per-trigger", "1",
+          "--landing", landing, "--lake", lake])
+    main(["customer", "--lake", lake, "--date", "yesterday", "--same-day", "--show"])
+    main(["product", "--lake", lake, "--date", "2999-01-01", "--show"])
     opened = Lake(spark, lake)
     assert opened.read("bronze", "raw_events").count() == 400
     assert sum(r.row_count for r in opened.inventory().collect()) == 400
     assert not opened.read("gold", "daily_customer_analytics").isEmpty()
-    assert opened.read("ops", "run_log").first().status == "SUCCESS"
+    assert {r.status for r in opened.read("ops", "run_log").collect()} == {"SUCCESS", "SUCCESS_NO_DATA"}
+
+
+def test_summary_and_inventory_never_fail(spark, lake, caplog):
+    assert reporting.summarize(lake.read("silver", "purchases"), "purchases") == 0
+    assert "purchases is empty" in caplog.text
+    missing = Lake(spark, lake.root, "no_such_")
+    reporting.log_inventory(missing)
+    assert "could not list" in caplog.text

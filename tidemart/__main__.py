@@ -7,6 +7,7 @@ import logging
 
 from pyspark.sql import functions as F
 
+from tidemart import reporting
 from tidemart.plans import generator, jobs
 from tidemart.session import build_session
 from tidemart.sources import messages
@@ -33,6 +34,9 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     stream = commands.add_parser("stream", parents=[common, channel], help="messages to silver")
     stream.add_argument("--job-type", choices=pipeline.JOB_TYPES, default="both")
     stream.add_argument("--once", action="store_true", help="process what is there, then stop")
+    stream.add_argument("--id-order", choices=("key_first", "payload_first"), default="key_first")
+    stream.add_argument("--offsets-per-trigger", type=int, help="most Kafka messages in one batch")
+    stream.add_argument("--files-per-trigger", type=int, help="most files in one batch")
 
     for job, plan in jobs.JOBS.items():
         gold = commands.add_parser(job, parents=[common], help=f"write {plan.table}")
@@ -40,6 +44,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
             "--target_date", "--date", default="today", help="YYYY-MM-DD, today or yesterday"
         )
         gold.add_argument("--mode", choices=("replace", "dynamic"), default="replace")
+        gold.add_argument("--show", action="store_true", help="print a few rows of the table")
         if job == "customer":
             gold.add_argument("--same-day", action="store_true", help="join on user and day")
 
@@ -57,20 +62,29 @@ def _stream(lake: Lake, options: argparse.Namespace) -> None:
     if options.job_type != "processing":
         if options.bootstrap_servers:
             starting = "earliest" if options.once else "latest"
-            reader = messages.kafka_options(options.bootstrap_servers, starting=starting)
+            most = options.offsets_per_trigger
+            extra = {"maxOffsetsPerTrigger": str(most)} if most else {}
+            reader = messages.kafka_options(options.bootstrap_servers, starting=starting, **extra)
             source = messages.from_kafka(lake.spark, reader)
         else:
-            source = messages.from_files(lake.spark, options.landing)
+            source = messages.from_files(
+                lake.spark, options.landing, max_files_per_trigger=options.files_per_trigger
+            )
+    choices = {"id_order": options.id_order, "files": options.files_per_trigger}
     if options.once:
-        pipeline.drain(lake, source, options.job_type)
+        pipeline.drain(lake, source, options.job_type, **choices)
     else:
-        pipeline.run_until_stopped(lake.spark, pipeline.start(lake, options.job_type, source))
+        queries = pipeline.start(lake, options.job_type, source, **choices)
+        pipeline.run_until_stopped(lake.spark, queries)
 
 
 def _gold(lake: Lake, options: argparse.Namespace) -> None:
     build = {"same_day": options.same_day} if options.command == "customer" else {}
     record = jobs.run(lake, options.command, options.target_date, mode=options.mode, **build)
     log.info("%s", record)
+    if options.show and record["status"] == reporting.SUCCESS:
+        table = jobs.JOBS[options.command].table
+        reporting.summarize(lake.read("gold", table), table)
 
 
 def _generate(lake: Lake, options: argparse.Namespace) -> None:

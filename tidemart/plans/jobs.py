@@ -108,15 +108,15 @@ def run(
     day = day if isinstance(day, date) else target_day(day)
     name = lake.name("gold", plan.table)
     try:
-        log.info("silver tables: %s", lake.tables("silver"))
+        reporting.log_inventory(lake)
         views = lake.read("silver", "page_views", day)
         purchases = lake.read("silver", "purchases", day)
         if all(rows.isEmpty() for rows in plan.evidence(views, purchases)):
             log.warning("no data for %s since %s", name, day)
             return reporting.record(lake, day, reporting.NO_DATA, table=name)
         seen = Observation(f"{plan.table}-{day}")
-        rows = plan.build(views, purchases, day, **build_options).observe(seen, *plan.totals())
-        lake.overwrite_gold(rows, plan.table, mode)
+        rows = plan.build(views, purchases, day, **build_options)
+        lake.overwrite_gold(rows, plan.table, mode, (seen, plan.totals()))
         found = seen.get
         shown = {metric: show(found[total]) for metric, (total, show) in plan.shown.items()}
         return reporting.record(lake, day, reporting.SUCCESS, table=name, metrics=shown)

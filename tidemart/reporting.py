@@ -1,12 +1,17 @@
-"""The run log: one row per gold run."""
+"""The run log - one row per gold run - and what jobs print about tables."""
 
 from __future__ import annotations
 
+import logging
 from datetime import date, datetime, timezone
 
+from pyspark.sql import DataFrame
+
 from tidemart.schemas import RUN_LOG
 from tidemart.sources.lake import Lake
 
+log = logging.getLogger(__name__)
+
 SUCCESS, NO_DATA, FAILED = "SUCCESS", "SUCCESS_NO_DATA", "FAILED"
 
 
@@ -42,3 +47,23 @@ def record(
     rows = lake.spark.createDataFrame([tuple(row[n] for n in RUN_LOG.names)], RUN_LOG)
     lake.append(rows, "ops", "run_log")
     return row
+
+
+def log_inventory(lake: Lake) -> None:
+    """Log the databases and the silver tables there are. Not being able to is no error."""
+    try:
+        log.info("databases: %s", [d.name for d in lake.spark.catalog.listDatabases()])
+        log.info("silver tables: %s", lake.tables("silver"))
+    except Exception as error:
+        log.warning("could not list the catalog: %s", error)
+
+
+def summarize(rows: DataFrame, label: str, sample: int = 5) -> int:
+    """Log the row count and print a few rows; warn if there are none."""
+    count = rows.count()
+    if count:
+        log.info("%s: %d rows", label, count)
+        rows.show(sample, truncate=False)
+    else:
+        log.warning("%s is empty", label)
+    return count

@@ -91,11 +91,12 @@ def purchases_by_line(spark: SparkSession, folder: str) -> DataFrame:
         F.col("p_type").alias("category"),
         F.col("p_brand").alias("brand"),
     )
-    described = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
-    return events.join(described, F.col("l_orderkey") == F.col("event_id"), "left").select(
+    bought = events.join(lines, F.col("l_orderkey") == F.col("event_id"), "left")
+    described = bought.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+    return described.select(
         _text("event_id").alias("event_id"),
         "timestamp",
-        F.when(F.col("l_orderkey").isNotNull(), F.array(item)).alias("items"),
+        F.when(F.col("p_partkey").isNotNull(), F.array(item)).alias("items"),
     )
 
 

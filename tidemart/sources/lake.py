@@ -6,7 +6,7 @@ import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -158,7 +158,13 @@ class Lake:
         columns = LAYOUTS[layer, table].columns.names
         rows.select(*columns).write.mode("append").insertInto(self.name(layer, table))
 
-    def overwrite_gold(self, rows: DataFrame, table: str, mode: str = "replace") -> None:
+    def overwrite_gold(
+        self,
+        rows: DataFrame,
+        table: str,
+        mode: str = "replace",
+        totals: tuple[Observation, list[Column]] | None = None,
+    ) -> None:
         """Write a gold table partitioned by ``date``.
 
         ``replace``: the table then holds these rows only. They go to a new folder and the
@@ -166,9 +172,13 @@ class Lake:
         as it was. ``dynamic``: only the dates among these rows are replaced.
 
         The rebalance hint gives each date as many files as its size calls for: adaptive
-        execution merges small dates and splits large ones.
+        execution merges small dates and splits large ones. ``totals`` are gathered after that
+        shuffle, in the writing tasks themselves: each of those counts once, where a task
+        before a shuffle that runs again after a lost executor would count twice.
         """
         name, sized = self.name("gold", table), rows.hint("rebalance", "date")
+        if totals is not None:
+            sized = sized.observe(totals[0], *totals[1])
         if mode == "dynamic" and self._find_gold(table):
             # By path: inserting into a table takes the overwrite mode from the session only.
             writer = sized.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -49,10 +49,13 @@ def start(
     messages: DataFrame | None = None,
     *,
     trigger: dict | None = None,
+    id_order: str = "key_first",
+    files: int | None = None,
 ) -> list[StreamingQuery]:
     """Start 1 (``ingestion``), 5 (``processing``) or 6 (``both``) queries.
 
-    If one fails to start, those already running are stopped.
+    ``files`` bounds the bronze files a silver batch takes, so that a long backlog is worked
+    off in steps. If a query fails to start, those already running are stopped.
     """
     if job_type not in JOB_TYPES:
         raise ValueError(f"job type must be one of {JOB_TYPES}, not {job_type!r}")
@@ -61,10 +64,12 @@ def start(
     running: list[StreamingQuery] = []
     try:
         if job_type != "processing":
-            running.append(ingest(lake, messages, trigger=trigger or INGEST_EVERY))
+            running.append(
+                ingest(lake, messages, trigger=trigger or INGEST_EVERY, id_order=id_order)
+            )
         if job_type != "ingestion":
             for table in SILVER_EVENT:
-                running.append(refine(lake, table, trigger=trigger or REFINE_EVERY))
+                running.append(refine(lake, table, trigger=trigger or REFINE_EVERY, files=files))
     except Exception:
         stop(running)
         raise
@@ -88,13 +93,15 @@ def run_until_stopped(spark: SparkSession, queries: list[StreamingQuery]) -> Non
         stop(queries)
 
 
-def drain(lake: Lake, messages: DataFrame | None = None, job_type: str = "both") -> None:
+def drain(
+    lake: Lake, messages: DataFrame | None = None, job_type: str = "both", **choices
+) -> None:
     """Process everything that is there now, layer after layer, then return."""
     if job_type != "processing":
-        for query in start(lake, "ingestion", messages, trigger=DRAIN):
+        for query in start(lake, "ingestion", messages, trigger=DRAIN, **choices):
             query.awaitTermination()
     if job_type != "ingestion":
-        queries = start(lake, "processing", trigger=DRAIN)
+        queries = start(lake, "processing", trigger=DRAIN, **choices)
         try:
             for query in queries:
                 query.awaitTermination()
