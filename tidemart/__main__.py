@@ -5,9 +5,10 @@ from __future__ import annotations
 import argparse
 import logging
 
-from pyspark.sql import functions as F
+from pyspark.sql import Observation
 
 from tidemart import reporting
+from tidemart.operators.messages import topic_counts
 from tidemart.plans import generator, jobs
 from tidemart.session import build_session
 from tidemart.sources import messages
@@ -94,19 +95,22 @@ def _generate(lake: Lake, options: argparse.Namespace) -> None:
     else:
         numbers = generator.numbered(spark, options.num_events, gap=options.delay)
     made = shop.messages(numbers, base_topic=options.topic)
+    # Counted while they are sent; a stream reports the counts of each batch.
+    sent = "sent" if options.continuous else Observation("sent")
+    made = made.observe(sent, *topic_counts(options.topic))
     checkpoint = lake.checkpoint("generator")
     if options.bootstrap_servers:
         query = messages.to_kafka(made, options.bootstrap_servers, checkpoint)
     else:
         query = messages.to_files(made, options.landing, checkpoint=checkpoint)
     if query is None:
-        sent = made.groupBy("topic").agg(F.count(F.lit(1)).alias("messages")).orderBy("topic")
-        log.info("topic distribution: %s", {r["topic"]: r["messages"] for r in sent.collect()})
+        log.info("topic distribution: %s", sent.get)
         return
     while not query.awaitTermination(60):
         progress = query.lastProgress
         if progress:
-            log.info("%.1f events/min", progress.processedRowsPerSecond * 60)
+            log.info("%.1f events/min", progress.inputRowsPerSecond * 60)
+            log.info("topic distribution of the last batch: %s", progress.observedMetrics.get(sent))
 
 
 def main(arguments: list[str] | None = None) -> None:

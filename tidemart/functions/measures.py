@@ -45,15 +45,15 @@ def per_visitor(amount: Column, visitors: Column) -> Column:
 
 
 def customer_segment(purchases: Column, revenue: Column, page_views: Column) -> Column:
-    # Tier names and thresholds; purchase tiers outrank view tiers.
-    return (
-        F.when((purchases > 0) & (revenue >= 1000), "high_value")
-        .when((purchases > 0) & (revenue >= 100), "medium_value")
-        .when(purchases > 0, "low_value")
-        .when(page_views > 10, "engaged_browser")
-        .when(page_views > 0, "casual_browser")
-        .otherwise("unknown")
+    """Buyers are ranked by revenue, everyone else by page views."""
+    # Tier names and thresholds.
+    buyer = (
+        F.when(revenue >= 1000, "high_value")
+        .when(revenue >= 100, "medium_value")
+        .otherwise("low_value")
     )
+    visitor = F.when(page_views > 10, "engaged_browser").when(page_views > 0, "casual_browser")
+    return F.when(purchases > 0, buyer).otherwise(F.coalesce(visitor, F.lit("unknown")))
 
 
 def since(moment: Column, day) -> Column:

@@ -30,6 +30,12 @@ def key_for(user_id: Column, product_id: Column) -> Column:
     return F.coalesce(F.nullif(user_id, F.lit("")), product_id, F.lit("unknown"))
 
 
+def topic_counts(base_topic: str = BASE_TOPIC) -> list[Column]:
+    """Messages per topic as aggregate columns, to be observed while messages are sent."""
+    topics = (base_topic, *TOPIC_OF_EVENT.values())
+    return [F.count_if(F.col("topic") == topic).alias(topic) for topic in topics]
+
+
 def topic_distribution(messages: DataFrame) -> DataFrame:
     return messages.groupBy("topic").agg(F.count(F.lit(1)).alias("messages"))
 

@@ -59,18 +59,18 @@ def _users(spark, folder):
 
 def _mix(spark, folder):
     """Each kind's share against its weight, within five standard deviations."""
-    s = shop(spark, folder)
-    kinds = numbers(spark, folder).select(s.kind(F.col("number")).alias("event_type"))
+    s, given = shop(spark, folder), numbers(spark, folder)
+    events = F.lit(given.count()).cast("bigint")
+    kinds = given.select(s.kind(F.col("number")).alias("event_type"))
     counts = kinds.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
-    whole = counts.agg(F.sum("n").alias("events"))
     wanted = F.create_map(*[F.lit(x) for pair in g.EVENT_SHARES.items() for x in pair])
     share = F.try_element_at(wanted, "event_type")
-    spread = F.sqrt(share * (1 - share) / F.col("events"))
-    return counts.join(F.broadcast(whole)).select(
+    spread = F.sqrt(share * (1 - share) / events)
+    return counts.select(
         "event_type",
-        "events",
+        events.alias("events"),
         share.alias("expected_share"),
-        (F.abs(F.col("n") / F.col("events") - share) < 5 * spread).cast("int").alias("as_expected"),
+        (F.abs(F.col("n") / events - share) < 5 * spread).cast("int").alias("as_expected"),
     )
 
 

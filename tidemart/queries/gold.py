@@ -65,50 +65,55 @@ p AS (
   FROM items GROUP BY product_id)"""
 
 
-def customer_sql(join: str) -> str:
+# The full outer joins, spelled out as matches plus the rows of either side without one.
+CUSTOMER_COLUMNS_SQL = """page_views, unique_sessions, unique_products_viewed, total_purchases,
+    total_revenue, avg_order_value, first_visit_time, last_activity_time"""
+
+
+def customer_sql(matched: str) -> str:
     return f"""
+paired AS (
+  SELECT pv.user_id, pv.d, {CUSTOMER_COLUMNS_SQL} FROM pv JOIN pm ON {matched}
+  UNION ALL
+  SELECT user_id, d, page_views, unique_sessions, unique_products_viewed, 0, 0.0, 0.0,
+         first_visit_time, last_activity_time
+  FROM pv WHERE NOT EXISTS (SELECT 1 FROM pm WHERE {matched})
+  UNION ALL
+  SELECT user_id, d, 0, 0, 0, total_purchases, total_revenue, avg_order_value, NULL, NULL
+  FROM pm WHERE NOT EXISTS (SELECT 1 FROM pv WHERE {matched})),
+tiers AS (
+  SELECT * FROM (VALUES (1000.0, 1e18, 'high_value'), (100.0, 1000.0, 'medium_value'),
+                        (-1e18, 100.0, 'low_value')) AS t(least, below, tier)),
 customers AS (
-  SELECT COALESCE(pv.user_id, pm.user_id) AS user_id, COALESCE(pv.d, pm.d) AS date,
-         COALESCE(page_views, 0) AS page_views, COALESCE(unique_sessions, 0) AS unique_sessions,
-         COALESCE(unique_products_viewed, 0) AS unique_products_viewed,
-         COALESCE(total_purchases, 0) AS total_purchases,
-         COALESCE(total_revenue, 0.0) AS total_revenue,
-         COALESCE(avg_order_value, 0.0) AS avg_order_value,
-         first_visit_time, last_activity_time,
-         CASE WHEN total_purchases > 0 AND total_revenue >= 1000 THEN 'high_value'
-              WHEN total_purchases > 0 AND total_revenue >= 100 THEN 'medium_value'
-              WHEN total_purchases > 0 THEN 'low_value'
-              WHEN page_views > 10 THEN 'engaged_browser'
-              WHEN page_views > 0 THEN 'casual_browser' ELSE 'unknown' END AS customer_segment
-  FROM pv FULL JOIN pm ON {join})"""
+  SELECT user_id, d AS date, {CUSTOMER_COLUMNS_SQL},
+         CASE WHEN total_purchases > 0 THEN tier
+              ELSE IF(page_views > 10, 'engaged_browser', 'casual_browser') END AS customer_segment
+  FROM paired JOIN tiers ON total_revenue >= least AND total_revenue < below)"""
 
 
 SALES_SQL = """
+days AS (SELECT d FROM sm UNION SELECT d FROM tm),
 sales AS (
-  SELECT COALESCE(sm.d, tm.d) AS date, COALESCE(total_orders, 0) AS total_orders,
-         COALESCE(total_revenue, 0.0) AS total_revenue,
-         COALESCE(avg_order_value, 0.0) AS avg_order_value,
-         COALESCE(unique_customers, 0) AS unique_customers, top_payment_method,
-         COALESCE(total_page_views, 0) AS total_page_views,
-         COALESCE(unique_visitors, 0) AS unique_visitors,
-         COALESCE(total_sessions, 0) AS total_sessions,
-         CASE WHEN unique_visitors > 0
-              THEN CAST(unique_customers AS DOUBLE) / CAST(unique_visitors AS DOUBLE)
-              ELSE 0.0 END AS conversion_rate,
-         CASE WHEN unique_visitors > 0 THEN total_revenue / CAST(unique_visitors AS DOUBLE)
-              ELSE 0.0 END AS revenue_per_visitor
-  FROM sm FULL JOIN tm ON sm.d = tm.d)"""
+  SELECT days.d AS date, IFNULL(total_orders, 0) AS total_orders,
+         IFNULL(total_revenue, 0.0) AS total_revenue, IFNULL(avg_order_value, 0.0) AS avg_order_value,
+         IFNULL(unique_customers, 0) AS unique_customers, top_payment_method,
+         IFNULL(total_page_views, 0) AS total_page_views, IFNULL(unique_visitors, 0) AS unique_visitors,
+         IFNULL(total_sessions, 0) AS total_sessions,
+         IF(tm.d IS NULL OR unique_visitors = 0, 0.0,
+            CAST(unique_customers AS DOUBLE) / unique_visitors) AS conversion_rate,
+         IF(tm.d IS NULL OR unique_visitors = 0, 0.0, total_revenue / unique_visitors) AS revenue_per_visitor
+  FROM days LEFT JOIN sm ON sm.d = days.d LEFT JOIN tm ON tm.d = days.d)"""
 
 PRODUCTS_SQL = f"""
+known AS (SELECT product_id FROM v UNION SELECT product_id FROM p),
 products AS (
-  SELECT COALESCE(v.product_id, p.product_id) AS product_id, category, brand,
-         DATE '{FIRST_DAY}' AS date, COALESCE(total_views, 0) AS total_views,
-         COALESCE(total_purchases, 0) AS total_purchases,
-         CASE WHEN total_views > 0 THEN {exact_ratio('total_purchases', 'total_views')}
-              ELSE 0.0 END AS conversion_rate,
-         COALESCE(total_revenue, 0.0) AS total_revenue, COALESCE(avg_price, 0.0) AS avg_price,
-         COALESCE(unique_viewers, 0) AS unique_viewers
-  FROM v FULL JOIN p ON v.product_id = p.product_id)"""
+  SELECT known.product_id, category, brand, DATE '{FIRST_DAY}' AS date,
+         IFNULL(total_views, 0) AS total_views, IFNULL(total_purchases, 0) AS total_purchases,
+         IF(v.product_id IS NULL, 0.0, {exact_ratio('total_purchases', 'total_views')}) AS conversion_rate,
+         IFNULL(total_revenue, 0.0) AS total_revenue, IFNULL(avg_price, 0.0) AS avg_price,
+         IFNULL(unique_viewers, 0) AS unique_viewers
+  FROM known LEFT JOIN v ON v.product_id = known.product_id
+             LEFT JOIN p ON p.product_id = known.product_id)"""
 
 USERS_ONLY, USERS_AND_DAYS = "pv.user_id = pm.user_id", "pv.user_id = pm.user_id AND pv.d = pm.d"
 

@@ -8,7 +8,18 @@ from tidemart.operators.metrics import purchased_items
 from tidemart.operators.silver import to_silver
 from tidemart.plans import gold
 from tidemart.queries.common import FIRST_DAY, MESSAGES_SQL, Query
-from tidemart.queries.gold import SALES_METRICS_SQL, SALES_SQL, TRAFFIC_METRICS_SQL
+from tidemart.queries.gold import (
+    PRODUCT_PURCHASES_SQL,
+    PRODUCT_VIEWS_SQL,
+    PRODUCTS_SQL,
+    PURCHASE_METRICS_SQL,
+    SALES_METRICS_SQL,
+    SALES_SQL,
+    TRAFFIC_METRICS_SQL,
+    USERS_AND_DAYS,
+    VIEW_METRICS_SQL,
+    customer_sql,
+)
 from tidemart.queries.messages import raw_events
 
 _WITH = "WITH " + MESSAGES_SQL
@@ -84,23 +95,32 @@ def _nested(spark, folder):
     )
 
 
-_MEDALLION_SQL = f"""{_WITH},
+# Gold on silver made from the messages: rows without a time are in silver but not in gold.
+_TIMED_SQL = f"""{_WITH},
 views AS (
-  SELECT CAST(payload_time AS DATE) AS d, payload_user AS user_id, session_id
+  SELECT payload_time AS ts, CAST(payload_time AS DATE) AS d, payload_user AS user_id, session_id,
+         payload_product AS product_id
   FROM accepted WHERE event_type = 'page_view' AND payload_time IS NOT NULL),
 purchases AS (
-  SELECT CAST(payload_time AS DATE) AS d, payload_user AS user_id,
+  SELECT n, k, CAST(payload_time AS DATE) AS d, payload_user AS user_id,
          CAST(amount AS DECIMAL(10,2)) AS total_amount,
          CASE n % 4 WHEN 0 THEN 'credit_card' WHEN 1 THEN 'debit_card' WHEN 2 THEN 'paypal'
               ELSE 'apple_pay' END AS payment_method
   FROM accepted WHERE event_type = 'purchase' AND payload_time IS NOT NULL),
-{SALES_METRICS_SQL}, {TRAFFIC_METRICS_SQL}, {SALES_SQL}
-SELECT * FROM sales"""
+items AS (
+  SELECT IF(i = 1, k, CONCAT(k, '-', CAST(i AS VARCHAR))) AS product_id, i AS quantity,
+         total_amount AS unit_price, total_amount * i AS total_price,
+         CASE (n + i) % 3 WHEN 0 THEN 'Books' WHEN 1 THEN 'Sports' ELSE 'Clothing' END AS category,
+         CONCAT('brand-', CAST(n % 7 AS VARCHAR)) AS brand
+  FROM (SELECT *, unnest(range(1, n % 4 + 1)) AS i FROM purchases WHERE n % 29 <> 0))"""
 
 
-def _medallion(spark, folder):
-    views, bought = silver(spark, folder, "page_views"), silver(spark, folder, "purchases")
-    return gold.daily_sales_summary(views, bought, FIRST_DAY)
+def _on_messages(build, **options):
+    def run(spark, folder):
+        views, bought = silver(spark, folder, "page_views"), silver(spark, folder, "purchases")
+        return build(views, bought, FIRST_DAY, **options)
+
+    return run
 
 
 QUERIES = {
@@ -164,7 +184,7 @@ QUERIES = {
             CASE WHEN n % 6 = 0 THEN NULL WHEN n % 3 = 0 THEN 'Lund' WHEN n % 3 = 1 THEN 'Oslo'
                  ELSE 'Turku' END AS city,
             CASE WHEN n % 6 <> 0 THEN lpad(CAST(n % 100000 AS VARCHAR), 5, '0') END AS zip_code,
-            CASE WHEN n % 29 <> 0 AND n % 4 > 0 THEN CONCAT(k, '-1') END AS first_product,
+            CASE WHEN n % 29 <> 0 AND n % 4 > 0 THEN k END AS first_product,
             CASE WHEN n % 29 <> 0 AND n % 4 > 0 THEN CAST(amount AS DOUBLE) END AS first_price,
             k AS metadata_k, CAST(NULL AS VARCHAR) AS metadata_none""",
         ),
@@ -172,12 +192,25 @@ QUERIES = {
     "purchase_items_exploded": Query(
         _items,
         f"""{_WITH} SELECT CONCAT('o', CAST(n AS VARCHAR)) AS order_id,
-            CONCAT(k, '-', CAST(i AS VARCHAR)) AS product_id, i AS quantity,
+            IF(i = 1, k, CONCAT(k, '-', CAST(i AS VARCHAR))) AS product_id, i AS quantity,
             CAST(amount AS DOUBLE) AS unit_price, CAST(amount * i AS DOUBLE) AS total_price,
             CASE (n + i) % 3 WHEN 0 THEN 'Books' WHEN 1 THEN 'Sports' ELSE 'Clothing' END AS category,
             CONCAT('brand-', CAST(n % 7 AS VARCHAR)) AS brand
             FROM (SELECT *, unnest(range(1, n % 4 + 1)) AS i FROM accepted
                   WHERE event_type = 'purchase' AND n % 29 <> 0)""",
     ),
-    "medallion_sales_summary": Query(_medallion, _MEDALLION_SQL),
+    "medallion_sales_summary": Query(
+        _on_messages(gold.daily_sales_summary),
+        f"{_TIMED_SQL}, {SALES_METRICS_SQL}, {TRAFFIC_METRICS_SQL}, {SALES_SQL} SELECT * FROM sales",
+    ),
+    "medallion_customer_analytics": Query(
+        _on_messages(gold.daily_customer_analytics, same_day=True),
+        f"""{_TIMED_SQL}, {VIEW_METRICS_SQL}, {PURCHASE_METRICS_SQL},
+        {customer_sql(USERS_AND_DAYS)} SELECT * FROM customers""",
+    ),
+    "medallion_product_performance": Query(
+        _on_messages(gold.product_performance_analytics),
+        f"""{_TIMED_SQL}, {PRODUCT_VIEWS_SQL}, {PRODUCT_PURCHASES_SQL}, {PRODUCTS_SQL}
+        SELECT * FROM products""",
+    ),
 }

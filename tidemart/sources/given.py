@@ -114,7 +114,7 @@ def _payload(event: Column, kind: Column, number: Column) -> Column:
     units = (k.cast("int") % 5).cast("int")
     percent = (number % 4 * 5).cast("int")
     item = lambda i: F.struct(
-        F.concat(k, F.lit("-"), i.cast("string")).alias("product_id"),
+        F.when(i == 1, k).otherwise(F.concat(k, F.lit("-"), i.cast("string"))).alias("product_id"),
         i.alias("quantity"),
         amount.alias("unit_price"),
         (amount * i).cast("decimal(12,2)").alias("total_price"),
