@@ -84,7 +84,6 @@ def test_waiting_notices_any_failure(spark, lake, messages_of, tmp_path):
     folder = str(tmp_path / "landing")
     message_source.to_files(messages_of(("k", "{}")), folder)
     source = message_source.from_files(spark, folder)
-    spark.streams.resetTerminated()
     healthy = pipeline.ingest(lake, source)
     failing = (
         source.select(F.raise_error(F.lit("broken row")).cast("string").alias("x"))
@@ -95,4 +94,5 @@ def test_waiting_notices_any_failure(spark, lake, messages_of, tmp_path):
     with pytest.raises(Exception, match="broken row"):
         pipeline.run_until_stopped(spark, [healthy, failing])
     assert not healthy.isActive
-    spark.streams.resetTerminated()
+    with pytest.raises(Exception, match="broken row"):  # ended before the waiting began
+        pipeline.run_until_stopped(spark, [failing])

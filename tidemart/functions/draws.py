@@ -63,14 +63,8 @@ class Draws:
     def long_id(self, label: str) -> Column:
         """128 bits in the usual 8-4-4-4-12 form."""
         high, low = self._hex(f"{label}/high"), self._hex(f"{label}/low")
-        return F.concat_ws(
-            "-",
-            F.substring(high, 1, 8),
-            F.substring(high, 9, 4),
-            F.substring(high, 13, 4),
-            F.substring(low, 1, 4),
-            F.substring(low, 5, 12),
-        )
+        pieces = (high, 1, 8), (high, 9, 4), (high, 13, 4), (low, 1, 4), (low, 5, 12)
+        return F.concat_ws("-", *[F.substring(text, start, n) for text, start, n in pieces])
 
     def ip(self, label: str) -> Column:
         parts = [self.whole(f"{label}/{i}", 1, 254).cast("string") for i in range(4)]

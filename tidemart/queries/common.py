@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemart.session import pin_results
+from tidemart.sources import given
+from tidemart.sources import messages as message_source
+from tidemart.workspace import fresh_folder
 
 # Columns whose value is the time of the run.
 RUN_TIMES = ("processing_time", "created_at", "processing_timestamp")
@@ -29,6 +32,27 @@ class Query:
         return presentable(self.build(pin_results(spark), folder))
 
 
+_LANDED: dict[tuple[str, str], str] = {}
+
+
+def landing(spark: SparkSession, folder: str) -> str:
+    """The message stream of the given events as files, written once per application.
+
+    Messages come out of files as they would off a broker: nothing of how they were made can be
+    folded into the queries that read them.
+    """
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _LANDED:
+        files = fresh_folder(spark, "messages")
+        message_source.to_files(given.messages(spark, folder), files)
+        _LANDED[key] = files
+    return _LANDED[key]
+
+
+def messages(spark: SparkSession, folder: str) -> DataFrame:
+    return message_source.from_files(spark, landing(spark, folder), stream=False)
+
+
 def presentable(rows: DataFrame) -> DataFrame:
     """Result types both engines have: bigint, double, text, date, timestamp without zone."""
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemart.operators.messages import TOPIC_OF_EVENT
 from tidemart.plans import gold
-from tidemart.queries.common import FIRST_DAY, MESSAGES_SQL, Query
+from tidemart.queries.common import FIRST_DAY, MESSAGES_SQL, Query, landing, messages
 from tidemart.queries.gold import _SALES
 from tidemart.queries.messages import BRONZE_ROWS_SQL, bronze_rows
 from tidemart.schemas import SILVER_EVENT, column_ddl
@@ -28,19 +28,12 @@ def new_lake(spark) -> Lake:
     return Lake(spark, fresh_folder(spark, "lake"), f"t{uuid.uuid4().hex[:10]}_").create()
 
 
-def landed(lake: Lake, rows) -> str:
-    folder = f"{lake.root}/landing"
-    message_source.to_files(rows, folder)
-    return folder
-
-
 def drained(spark, folder) -> Lake:
     """A lake that all messages went through; made once per application and input."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _DRAINED:
         lake = new_lake(spark)
-        source = landed(lake, given.messages(spark, folder))
-        pipeline.drain(lake, message_source.from_files(spark, source))
+        pipeline.drain(lake, message_source.from_files(spark, landing(spark, folder)))
         _DRAINED[key] = lake
     return _DRAINED[key]
 
@@ -79,12 +72,12 @@ def _fanout(spark, folder):
 def _restart(spark, folder):
     """Messages land in two goes; the pipeline is stopped after the first and started anew.
     A third start finds nothing to do."""
-    lake = new_lake(spark)
-    rows = given.messages(spark, folder)
+    lake, source = new_lake(spark), fresh_folder(spark, "messages")
+    rows = messages(spark, folder)
     early = F.col("topic").isin(TOPIC_OF_EVENT["page_view"], TOPIC_OF_EVENT["purchase"])
-    source = landed(lake, rows.where(early))
+    message_source.to_files(rows.where(early), source)
     pipeline.drain(lake, message_source.from_files(spark, source))
-    landed(lake, rows.where(~early))
+    message_source.to_files(rows.where(~early), source)
     for _ in range(2):
         restarted = Lake(spark, lake.root, lake.prefix).create()
         pipeline.drain(restarted, message_source.from_files(spark, source))

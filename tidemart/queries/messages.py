@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemart.functions import payload
-from tidemart.operators import bronze, messages, silver
-from tidemart.queries.common import MESSAGES_SQL, Query
-from tidemart.sources import given
-from tidemart.sources import messages as message_source
-from tidemart.workspace import fresh_folder
+from tidemart.operators import bronze, silver
+from tidemart.operators.messages import event_rate, key_for, topic_distribution, topic_for
+from tidemart.queries.common import MESSAGES_SQL, Query, messages
 
 _WITH = "WITH " + MESSAGES_SQL
 
@@ -31,7 +29,7 @@ TYPE_COUNTS_SQL = (
 
 
 def raw_events(spark, folder):
-    return bronze.to_bronze(given.messages(spark, folder))
+    return bronze.to_bronze(messages(spark, folder))
 
 
 def bronze_rows(rows):
@@ -48,10 +46,8 @@ def bronze_rows(rows):
 
 
 def _envelope_scan(spark, folder):
-    landing = fresh_folder(spark, "messages")
-    message_source.to_files(given.messages(spark, folder), landing)
     body = F.col("value").cast("string")
-    return message_source.from_files(spark, landing, stream=False).select(
+    return messages(spark, folder).select(
         F.col("key").cast("string").alias("message_key"),
         payload.field(body, "event_id").alias("payload_id"),
         payload.field(body, "timestamp").alias("payload_time_text"),
@@ -66,7 +62,7 @@ def _envelope_scan(spark, folder):
 def _field_extraction(spark, folder):
     body = F.col("value").cast("string")
     key, offset = F.col("key"), F.col("offset")
-    return given.messages(spark, folder).select(
+    return messages(spark, folder).select(
         "offset",
         payload.event_identity(key, body, offset, "key_first").alias("id_key_first"),
         payload.event_identity(key, body, offset, "payload_first").alias("id_payload_first"),
@@ -77,7 +73,7 @@ def _field_extraction(spark, folder):
 
 def _topic_routing(spark, folder):
     return raw_events(spark, folder).select(
-        "offset", messages.topic_for(F.col("event_type")).alias("topic")
+        "offset", topic_for(F.col("event_type")).alias("topic")
     )
 
 
@@ -86,7 +82,7 @@ def _message_key(spark, folder):
     user, product = payload.field(F.col("raw_data"), "user_id"), payload.field(F.col("raw_data"), "product_id")
     # A missing user is written as an empty one, which must fall through as well.
     blank = F.coalesce(user, F.lit(""))
-    return rows.select("offset", messages.key_for(blank, product).alias("message_key"))
+    return rows.select("offset", key_for(blank, product).alias("message_key"))
 
 
 QUERIES = {
@@ -138,11 +134,11 @@ QUERIES = {
               FROM bronze""",
     ),
     "topic_distribution": Query(
-        lambda s, f: messages.topic_distribution(given.messages(s, f)),
+        lambda s, f: topic_distribution(messages(s, f)),
         _WITH + " SELECT topic, count(*) AS messages FROM bronze GROUP BY topic",
     ),
     "event_rate": Query(
-        lambda s, f: messages.event_rate(given.messages(s, f)),
+        lambda s, f: event_rate(messages(s, f)),
         """ WITH span AS (SELECT count(*) AS messages,
               (epoch_us(max(ts)) - epoch_us(min(ts))) / CAST(6e7 AS DOUBLE) AS elapsed_minutes FROM events)
             SELECT messages, elapsed_minutes, CASE WHEN elapsed_minutes > 0

@@ -44,8 +44,7 @@ def record(
         "error_type": type(error).__name__ if error else None,
         "error_message": str(error) if error else None,
     }
-    rows = lake.spark.createDataFrame([tuple(row[n] for n in RUN_LOG.names)], RUN_LOG)
-    lake.append(rows, "ops", "run_log")
+    lake.append_entry(tuple(row[name] for name in RUN_LOG.names), "run_log")
     return row
 
 

@@ -46,8 +46,8 @@ LAYOUTS: dict[tuple[str, str], Layout] = {
         ("silver", name): Layout(silver_schema(name), T.StructField("event_date", T.DateType()))
         for name in SILVER_EVENT
     },
-    ("ops", "run_log"): Layout(RUN_LOG),
-    ("ops", "gold_versions"): Layout(GOLD_VERSIONS),
+    ("ops", "run_log"): Layout(RUN_LOG, T.StructField("entry", T.StringType())),
+    ("ops", "gold_versions"): Layout(GOLD_VERSIONS, T.StructField("entry", T.StringType())),
 }
 
 _PARTITION_VALUE = {"route": route, "event_date": lambda: F.to_date("timestamp")}
@@ -154,9 +154,11 @@ class Lake:
         )
         return writer.toTable(self.name(layer, table))
 
-    def append(self, rows: DataFrame, layer: str, table: str) -> None:
-        columns = LAYOUTS[layer, table].columns.names
-        rows.select(*columns).write.mode("append").insertInto(self.name(layer, table))
+    def append_entry(self, row: tuple, table: str) -> None:
+        """Append one row to an ops table, as a folder of its own: jobs that end at the same
+        time do not meet in one."""
+        entry = self.spark.createDataFrame([row], LAYOUTS["ops", table].columns)
+        entry.coalesce(1).write.parquet(f"{self.path('ops', table)}/entry={uuid.uuid4().hex}")
 
     def overwrite_gold(
         self,
@@ -190,8 +192,8 @@ class Lake:
             kept = [f for f in rows.schema if f.name != "date"]
             columns = column_ddl(T.StructType([*kept, rows.schema["date"]]))
             self._point_gold(table, folder, columns)
-            version = (table, folder, columns, datetime.now(timezone.utc))
-            self.append(self.spark.createDataFrame([version], GOLD_VERSIONS), "ops", "gold_versions")
+            now = datetime.now(timezone.utc)
+            self.append_entry((table, folder, columns, now), "gold_versions")
         else:
             raise ValueError(f"unknown write mode {mode!r}")
 

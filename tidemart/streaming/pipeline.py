@@ -24,6 +24,8 @@ INGEST_EVERY = {"processingTime": "30 seconds"}
 REFINE_EVERY = {"processingTime": "1 minute"}
 DRAIN = {"availableNow": True}
 
+WATCH_SECONDS = 10
+
 
 def ingest(
     lake: Lake, messages: DataFrame, *, trigger: dict = INGEST_EVERY, id_order: str = "key_first"
@@ -83,14 +85,20 @@ def stop(queries: list[StreamingQuery]) -> None:
 
 
 def run_until_stopped(spark: SparkSession, queries: list[StreamingQuery]) -> None:
-    """Block until any query ends; stop the rest, and raise if it ended by an error.
+    """Block until any of the queries ends; stop the rest, and raise if it ended by an error.
 
     Waiting on all at once means a failure of any query is noticed, not only of the first.
     """
     try:
-        spark.streams.awaitAnyTermination()
+        while all(query.isActive for query in queries):
+            # Queries that ended before, ours or not, would end the waiting at once.
+            spark.streams.resetTerminated()
+            spark.streams.awaitAnyTermination(WATCH_SECONDS)
     finally:
         stop(queries)
+    for query in queries:
+        if query.exception():
+            raise query.exception()
 
 
 def drain(
