@@ -1,4 +1,4 @@
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from conftest import TINY
@@ -77,8 +77,9 @@ def test_failure_is_logged_and_raised(plain, monkeypatch):
 
 
 def test_target_day():
-    assert jobs.target_day() == jobs.target_day("today") == date.today()
-    assert jobs.target_day("yesterday") == date.today() - timedelta(days=1)
+    today = datetime.now(timezone.utc).date()
+    assert jobs.target_day() == jobs.target_day("today") == today
+    assert jobs.target_day("yesterday") == today - timedelta(days=1)
     assert jobs.target_day("2024-02-29") == date(2024, 2, 29)
     with pytest.raises(ValueError):
         jobs.target_day("2024-02-30'; DROP TABLE x")

@@ -36,8 +36,12 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     stream.add_argument("--job-type", choices=pipeline.JOB_TYPES, default="both")
     stream.add_argument("--once", action="store_true", help="process what is there, then stop")
     stream.add_argument("--id-order", choices=("key_first", "payload_first"), default="key_first")
-    stream.add_argument("--offsets-per-trigger", type=int, help="most Kafka messages in one batch")
+    stream.add_argument("--every", help="time between batches (default: 30 seconds, 1 minute)")
     stream.add_argument("--files-per-trigger", type=int, help="most files in one batch")
+    stream.add_argument(
+        "--kafka-option", action="append", default=[], metavar="NAME=VALUE",
+        help="reader option, e.g. maxOffsetsPerTrigger=50000000 or minPartitions=2000",
+    )
 
     for job, plan in jobs.JOBS.items():
         gold = commands.add_parser(job, parents=[common], help=f"write {plan.table}")
@@ -63,8 +67,7 @@ def _stream(lake: Lake, options: argparse.Namespace) -> None:
     if options.job_type != "processing":
         if options.bootstrap_servers:
             starting = "earliest" if options.once else "latest"
-            most = options.offsets_per_trigger
-            extra = {"maxOffsetsPerTrigger": str(most)} if most else {}
+            extra = dict(option.split("=", 1) for option in options.kafka_option)
             reader = messages.kafka_options(options.bootstrap_servers, starting=starting, **extra)
             source = messages.from_kafka(lake.spark, reader)
         else:
@@ -75,7 +78,8 @@ def _stream(lake: Lake, options: argparse.Namespace) -> None:
     if options.once:
         pipeline.drain(lake, source, options.job_type, **choices)
     else:
-        queries = pipeline.start(lake, options.job_type, source, **choices)
+        trigger = {"processingTime": options.every} if options.every else None
+        queries = pipeline.start(lake, options.job_type, source, trigger=trigger, **choices)
         pipeline.run_until_stopped(lake.spark, queries)
 
 

@@ -29,12 +29,12 @@ def _by_either(
     )
 
 
-def _from_first(value: Column | str) -> Column:
-    return F.when(F.col("by_first"), F.col(value) if isinstance(value, str) else value)
+def _from_first(name: str) -> Column:
+    return F.when(F.col("by_first"), F.col(name))
 
 
-def _from_second(value: Column | str) -> Column:
-    return F.when(~F.col("by_first"), F.col(value) if isinstance(value, str) else value)
+def _from_second(name: str) -> Column:
+    return F.when(~F.col("by_first"), F.col(name))
 
 
 def page_view_metrics(views: DataFrame, day) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -87,11 +87,12 @@ JOBS = {
 
 
 def target_day(text: str | None = None) -> date:
-    """``YYYY-MM-DD``, ``today`` (the default) or ``yesterday``."""
+    """``YYYY-MM-DD``, ``today`` (the default) or ``yesterday``, as UTC days."""
+    today = datetime.now(timezone.utc).date()
     if text in (None, "today"):
-        return date.today()
+        return today
     if text == "yesterday":
-        return date.today() - timedelta(days=1)
+        return today - timedelta(days=1)
     return date.fromisoformat(text)
 
 

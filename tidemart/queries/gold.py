@@ -126,7 +126,7 @@ _VIEW_SIDE = (PAGE_VIEWS_SQL, VIEW_METRICS_SQL)
 _PURCHASE_SIDE = (PURCHASES_SQL, PURCHASE_METRICS_SQL)
 _CUSTOMERS = _with(*_VIEW_SIDE, *_PURCHASE_SIDE, customer_sql(USERS_ONLY))
 _CUSTOMERS_DATED = _with(*_VIEW_SIDE, *_PURCHASE_SIDE, customer_sql(USERS_AND_DAYS))
-_SALES = _with(PURCHASES_SQL, SALES_METRICS_SQL, PAGE_VIEWS_SQL, TRAFFIC_METRICS_SQL, SALES_SQL)
+WHOLE_SALES_SQL = _with(PURCHASES_SQL, SALES_METRICS_SQL, PAGE_VIEWS_SQL, TRAFFIC_METRICS_SQL, SALES_SQL)
 _PRODUCTS = _with(PAGE_VIEWS_SQL, PRODUCT_VIEWS_SQL, ITEMS_SQL, PRODUCT_PURCHASES_SQL, PRODUCTS_SQL)
 
 
@@ -172,7 +172,7 @@ def _lower_bound(spark, folder):
 
 
 QUERIES = {
-    "daily_sales_summary": Query(sales, _SALES + " SELECT * FROM sales"),
+    "daily_sales_summary": Query(sales, WHOLE_SALES_SQL + " SELECT * FROM sales"),
     "daily_customer_analytics": Query(customers, _CUSTOMERS + " SELECT * FROM customers"),
     "daily_customer_analytics_dated": Query(
         customers_dated, _CUSTOMERS_DATED + " SELECT * FROM customers"
@@ -222,7 +222,7 @@ QUERIES = {
         lambda s, f: sales(s, f)
         .agg(*totals.sales_totals())
         .withColumn("avg_conversion_rate", F.round("avg_conversion_rate", 9)),
-        _SALES
+        WHOLE_SALES_SQL
         + f""" SELECT count(*) AS total_days, CAST(sum(total_orders) AS BIGINT) AS total_orders,
               CAST(sum(CAST(total_revenue AS DECIMAL(20,2))) AS DOUBLE) AS total_revenue,
               {exact_decimal_mean('avg_order_value', 6)} AS avg_order_value,

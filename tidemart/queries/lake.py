@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemart.operators.messages import TOPIC_OF_EVENT
 from tidemart.plans import gold
 from tidemart.queries.common import FIRST_DAY, MESSAGES_SQL, Query, landing, messages
-from tidemart.queries.gold import _SALES
+from tidemart.queries.gold import WHOLE_SALES_SQL
 from tidemart.queries.messages import BRONZE_ROWS_SQL, bronze_rows
 from tidemart.schemas import SILVER_EVENT, column_ddl
 from tidemart.sources import given
@@ -176,7 +176,7 @@ def _overwrite(spark, folder):
     return lake.read("gold", "daily_sales_summary")
 
 
-_OVERWRITE_SQL = f"""{_SALES} SELECT s.date,
+_OVERWRITE_SQL = f"""{WHOLE_SALES_SQL} SELECT s.date,
     CASE WHEN renewed THEN 0 ELSE total_orders END AS total_orders,
     CASE WHEN renewed THEN 0.0 ELSE total_revenue END AS total_revenue,
     CASE WHEN renewed THEN 0.0 ELSE avg_order_value END AS avg_order_value,
