@@ -191,19 +191,22 @@ class Lake:
             _gold_files(sized.write, folder)
             kept = [f for f in rows.schema if f.name != "date"]
             columns = column_ddl(T.StructType([*kept, rows.schema["date"]]))
-            self._point_gold(table, folder, columns)
             now = datetime.now(timezone.utc)
             self.append_entry((table, folder, columns, now), "gold_versions")
+            self._point_gold(table, folder, columns)
         else:
             raise ValueError(f"unknown write mode {mode!r}")
 
     def _point_gold(self, table: str, folder: str, columns: str) -> None:
-        name = self.name("gold", table)
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        """Make the table show a folder. It is set up under another name first, so readers see
+        the old rows or the new ones, never an empty table."""
+        name, coming = self.name("gold", table), self.name("gold", f"{table}_{uuid.uuid4().hex}")
         self.spark.sql(
-            f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (date) LOCATION '{folder}'"
+            f"CREATE TABLE {coming} ({columns}) USING parquet PARTITIONED BY (date) LOCATION '{folder}'"
         )
-        self.spark.catalog.recoverPartitions(name)
+        self.spark.catalog.recoverPartitions(coming)
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.spark.sql(f"ALTER TABLE {coming} RENAME TO {name}")
 
     def _find_gold(self, table: str) -> bool:
         """Whether a gold table exists. One that a catalog without memory has forgotten is
