@@ -51,7 +51,8 @@ def record(
 def log_inventory(lake: Lake) -> None:
     """Log the databases and the silver tables there are. Not being able to is no error."""
     try:
-        log.info("databases: %s", [d.name for d in lake.spark.catalog.listDatabases()])
+        databases = lake.spark.sql("SHOW DATABASES").collect()
+        log.info("databases: %s", [row.namespace for row in databases])
         log.info("silver tables: %s", lake.tables("silver"))
     except Exception as error:
         log.warning("could not list the catalog: %s", error)

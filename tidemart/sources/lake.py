@@ -120,8 +120,8 @@ class Lake:
 
     def tables(self, layer: str = "silver") -> list[str]:
         """Names of a layer's tables, from the catalog."""
-        found = self.spark.catalog.listTables(f"{self.prefix}{layer}")
-        return sorted(t.name for t in found if not t.isTemporary)
+        found = self.spark.sql(f"SHOW TABLES IN {self.prefix}{layer}").where("NOT isTemporary")
+        return sorted(row.tableName for row in found.collect())
 
     def inventory(self, layer: str = "silver") -> DataFrame:
         """Row count per table of a layer."""

@@ -8,6 +8,10 @@ from tidemart.operators.messages import ALL_TOPICS
 from tidemart.schemas import ENVELOPE
 
 
+# How long a stream that is landed as files gathers rows for them.
+LAND_EVERY = "10 seconds"
+
+
 def kafka_options(
     servers: str, topics: tuple[str, ...] = ALL_TOPICS, starting: str = "latest", **extra: str
 ) -> dict[str, str]:
@@ -59,4 +63,4 @@ def to_files(
     if not rows.isStreaming:
         return rows.write.mode("append").format(file_format).save(folder)
     writer = rows.writeStream.format(file_format).option("checkpointLocation", checkpoint)
-    return writer.start(folder)
+    return writer.trigger(processingTime=LAND_EVERY).start(folder)
