@@ -7,8 +7,8 @@ A text's set holds the 64-bit hashes of its distinct word n-grams. Two sets with
 How hot tokens and groups of copies are kept apart:
 
 * texts with equal sets are one class, formed by an aggregation with map-side combine;
-* all orders put frequent tokens last: frequencies are counted in a sketch of fixed size over the whole
-  input, so a passage that many texts share is not in their prefixes;
+* all orders put shingles of common words last. Words are counted over the whole input in a sketch of
+  fixed size; what a shingle's words give is the class of its expected frequency;
 * among the holders of a token, first each is compared with one pivot only; links found so merge classes
   into groups, and afterwards only classes of different groups meet. A group of copies therefore costs one
   comparison per member and token, not one per pair, and no link between groups is lost.
@@ -30,39 +30,70 @@ from tidemart.llm.tables import settled
 
 # Slots of the frequency sketch: a fixed size, so it may be sent to every task.
 SLOTS = 1 << 16
+# Shingles are of one frequency class within so many powers of two.
+CLASS_BITS = 3
 ORDERS = 3
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each text. Fewer words than ``n``: all of them are one shingle."""
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each word's hash, A-Z lower-cased, and how many words stand before each text."""
     starts, ends, at = textbytes.words(data, offsets)
-    hashes = textbytes.span_hashes(textbytes.LOWER[data], starts, ends)
+    return textbytes.span_hashes(textbytes.LOWER[data], starts, ends), at
+
+
+def _slot(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
+
+
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int, common: tuple[np.ndarray, np.ndarray] | None = None) -> list:
+    """The sorted distinct shingle hashes of each text. Fewer words than ``n``: all of them are one shingle.
+
+    With ``common``, how common each slot's words and shingles are, each set comes with its frequency classes.
+    """
+    hashes, at = word_hashes(data, offsets)
     out = []
     rolled = hashes.copy()
     for k in range(1, n):
         rolled[: len(hashes) - k] = textbytes.mixed(rolled[: len(hashes) - k] * textbytes.BASE + hashes[k:])
+    if common is not None:
+        # A shingle of common words is expected to be common: the logs add up.
+        logs = np.concatenate([[0.0], np.cumsum(common[0][_slot(hashes)])])
+        expected = np.zeros(len(hashes))
+        expected[: max(len(hashes) - n + 1, 0)] = logs[n:] - logs[: len(logs) - n] if len(hashes) >= n else 0
+        expected += common[1][_slot(rolled)]
+        classes = np.minimum(expected / CLASS_BITS, 63).astype(np.uint64)
+        for a, b in zip(at[:-1], at[1:], strict=True):
+            if b - a >= n:
+                tokens, first = np.unique(rolled[a : b - n + 1], return_index=True)
+                out.append((tokens, classes[a + first]))
+            else:
+                out.append((_short(hashes[a:b]), np.zeros(int(b > a), np.uint64)))
+        return out
     for a, b in zip(at[:-1], at[1:], strict=True):
         if b - a >= n:
             out.append(np.unique(rolled[a : b - n + 1]))
-        elif b > a:
-            whole = hashes[a : a + 1].copy()
-            for h in hashes[a + 1 : b]:
-                whole = textbytes.mixed(whole * textbytes.BASE + h)
-            out.append(textbytes.mixed(whole ^ np.uint64(b - a)))
         else:
-            out.append(np.zeros(0, np.uint64))
+            out.append(_short(hashes[a:b]))
     return out
 
 
+def _short(hashes: np.ndarray) -> np.ndarray:
+    """The set of a text of fewer words than a shingle has."""
+    whole = hashes[:1].copy()
+    for h in hashes[1:]:
+        whole = textbytes.mixed(whole * textbytes.BASE + h)
+    return textbytes.mixed(whole ^ np.uint64(len(hashes)))
+
+
 def _lists(values: list[np.ndarray]) -> pa.Array:
     lengths = np.cumsum([0, *map(len, values)])
     flat = np.concatenate([np.zeros(0, np.uint64), *values]).view(np.int64)
     return pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(flat, pa.int64()))
 
 
-def _keys(sets: list[np.ndarray]) -> np.ndarray:
-    """The class of each set: a 64-bit digest, equal for equal sets."""
-    return np.array([int.from_bytes(blake2b(s.tobytes(), digest_size=8).digest(), "big", signed=True) for s in sets], np.int64)
+def _key(tokens: np.ndarray) -> int:
+    """The class of a set: a 64-bit digest, equal for equal sets."""
+    return int.from_bytes(blake2b(tokens.tobytes(), digest_size=8).digest(), "big", signed=True)
 
 
 def _lengths(sets: list[np.ndarray]) -> pa.Array:
@@ -70,16 +101,17 @@ def _lengths(sets: list[np.ndarray]) -> pa.Array:
 
 
 def _class_task(n: int):
-    """Each row's class, and after them how often each slot's tokens occur in the task's rows."""
+    """Each row's class, and after them how often each slot's words, then shingles, occur in the task's rows."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SLOTS, np.int64)
+        total = np.zeros(2 * SLOTS, np.int64)
         for batch in batches:
             for row, data, offsets in textbytes.blocks(batch.column("text")):
                 sets = shingle_sets(data, offsets, n)
-                total += np.bincount((np.concatenate(sets) & np.uint64(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
+                total[:SLOTS] += np.bincount(_slot(word_hashes(data, offsets)[0]), minlength=SLOTS)
+                total[SLOTS:] += np.bincount(_slot(np.concatenate(sets)), minlength=SLOTS)
                 nothing = pa.nulls(len(sets), pa.int64())
-                columns = [batch.column("id").slice(row, len(sets)), pa.array(_keys(sets)), _lengths(sets), nothing, nothing]
+                columns = [batch.column("id").slice(row, len(sets)), pa.array([_key(x) for x in sets], pa.int64()), _lengths(sets), nothing, nothing]
                 yield pa.RecordBatch.from_arrays(columns, names=_CLASSES)
         used = np.flatnonzero(total)
         nothing = pa.nulls(len(used), pa.int64())
@@ -92,47 +124,55 @@ def _class_task(n: int):
 _CLASSES = ["id", "key", "n_shingles", "slot", "n"]
 
 
-def prefix(tokens: np.ndarray, level: np.ndarray, order: int, num: int, den: int) -> np.ndarray:
-    """The first tokens of a set under an order: by frequency level, then by a hash of the order's own."""
+def prefix(tokens: np.ndarray, classes: np.ndarray, order: int, num: int, den: int) -> np.ndarray:
+    """The first tokens of a set, in the order: by frequency class, then by a hash of the order's own."""
     size = len(tokens)
     keep = size - (num * size + den - 1) // den + 1
-    if not 0 < keep < size:
-        return tokens
-    rank = level[(tokens & np.uint64(SLOTS - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(58)
-    place = rank | (textbytes.mixed(tokens + np.uint64(order + 1)) >> np.uint64(6))
-    return tokens[np.argpartition(place, keep - 1)[:keep]]
+    place = (classes << np.uint64(58)) | (textbytes.mixed(tokens + np.uint64(order + 1)) >> np.uint64(6))
+    first = np.argpartition(place, keep - 1)[:keep] if 0 < keep < size else np.arange(size)
+    return tokens[first[np.argsort(place[first], kind="stable")]]
+
 
+def _posting_task(n: int, common, num: int, den: int):
+    """The prefixes under the first order; a class that the task has met already is not repeated."""
 
-def _posting_task(n: int, levels, num: int, den: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[int] = set()
         for batch in batches:
             for _, data, offsets in textbytes.blocks(batch.column("text")):
-                sets = [s for s in shingle_sets(data, offsets, n) if len(s)]
-                if not sets:
-                    continue
-                found = [prefix(s, levels.value, 0, num, den) for s in sets]
-                times = [len(f) for f in found]
-                columns = [np.concatenate(found).view(np.int64), np.repeat(_keys(sets), times), np.repeat([len(s) for s in sets], times)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "key", "n"])
+                tokens, keys, sizes = [], [], []
+                for s, classes in shingle_sets(data, offsets, n, common.value):
+                    key = _key(s)
+                    if len(s) and key not in met:
+                        met.add(key)
+                        tokens.append(prefix(s, classes, 0, num, den))
+                        keys.append(key)
+                        sizes.append(len(s))
+                if keys:
+                    times = [len(t) for t in tokens]
+                    columns = [np.concatenate(tokens).view(np.int64), np.repeat(np.array(keys, np.int64), times), np.repeat(np.array(sizes, np.int64), times)]
+                    columns.append(np.concatenate([np.arange(t) for t in times]))
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "key", "n", "pos"])
 
     return task
 
 
-def _set_task(n: int, levels, num: int, den: int, *, whole: bool):
+def _set_task(n: int, common, num: int, den: int, *, whole: bool):
     """The classes' whole sets, or their prefixes under the further orders."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            asked = batch.column("key").to_pylist()
             for row, data, offsets in textbytes.blocks(batch.column("text")):
-                sets = shingle_sets(data, offsets, n)
-                key = batch.column("key").slice(row, len(sets))
-                own = _keys(sets) == key.to_numpy()  # rows that share an id need not share a text
-                key, sets = key.filter(pa.array(own)), [s for s, o in zip(sets, own, strict=True) if o]
+                sets = shingle_sets(data, offsets, n, common.value)
+                # Rows that share an id need not share a text.
+                own = [(k, s) for k, s in zip(asked[row:], sets, strict=False) if _key(s[0]) == k]
+                key, size = pa.array([k for k, _ in own], pa.int64()), _lengths([t for _, (t, _) in own])
                 if whole:
-                    yield pa.RecordBatch.from_arrays([key, _lists(sets)], names=["key", "tokens"])
+                    yield pa.RecordBatch.from_arrays([key, size, _lists([t for _, (t, _) in own])], names=["key", "n", "tokens"])
                 else:
-                    orders = [[prefix(s, levels.value, k, num, den) for s in sets] for k in range(1, ORDERS)]
-                    yield pa.RecordBatch.from_arrays([key, *map(_lists, orders)], names=["key", *_OTHERS])
+                    orders = [[prefix(*s, k, num, den) for _, s in own] for k in range(1, ORDERS)]
+                    yield pa.RecordBatch.from_arrays([key, size, *map(_lists, orders)], names=["key", "n", *_OTHERS])
 
     return task
 
@@ -140,9 +180,10 @@ def _set_task(n: int, levels, num: int, den: int, *, whole: bool):
 _OTHERS = [f"p{k}" for k in range(1, ORDERS)]
 
 
-def _fits(x: Column, y: Column, num: int, den: int) -> Column:
-    """Sizes that can reach the similarity at all."""
-    return F.least(x, y) * den >= F.greatest(x, y) * num
+def _reach(x: Column, y: Column, num: int, den: int) -> Column:
+    """How many of ``x``'s first tokens can hold the first one shared, if the sets are similar: 0 or less for none."""
+    least = F.ceil((x + y) * num / F.lit(float(num + den)) - 1e-9)  # tokens that similar sets share
+    return F.when(F.least(x, y) * den >= F.greatest(x, y) * num, x - least + 1).otherwise(0)
 
 
 def linked(documents: DataFrame, *, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -159,17 +200,18 @@ def linked(documents: DataFrame, *, words: int = 5, num: int = 80, den: int = 10
         rows.mapInArrow(_class_task(words), "id long, key long, n_shingles long, slot long, n long"), "classes"
     )
     classed = found.where("slot is null").select("id", "key", "n_shingles")
-    slots = np.zeros(SLOTS, np.int64)
-    for slot, n in found.where("slot is not null").groupBy("slot").agg(F.sum("n")).collect():  # at most SLOTS rows
+    slots = np.zeros(2 * SLOTS)
+    for slot, n in found.where("slot is not null").groupBy("slot").agg(F.sum("n")).collect():  # at most 2 * SLOTS rows
         slots[slot] = n
-    usual = max(1.0, float(np.median(slots)))
-    # Ordinary slots share a level, so that the orders differ; twice as frequent is a level more.
-    levels = spark.sparkContext.broadcast(np.clip(np.log2(np.maximum(slots, 1) / usual), 0, 40).astype(np.uint8))
+    often = [np.log2(np.maximum(part / max(1.0, float(np.median(part))), 1.0)) for part in (slots[:SLOTS], slots[SLOTS:])]
+    # A shingle that fills its slot beyond the others' shares is one of very many texts: it goes last.
+    levels = spark.sparkContext.broadcast((often[0].astype(np.float32), np.where(often[1] >= 1, 24 * often[1], 0).astype(np.float32)))
 
-    # Copies meet in the aggregation by (token, key); a token that one class holds leads nowhere.
-    held = rows.mapInArrow(_posting_task(words, levels, num, den), "token long, key long, n long").distinct().repartition("token")
-    ends = held.groupBy("token").agg(F.min(F.struct("n", "key")).alias("small"), F.max(F.struct("n", "key")).alias("large"))
-    postings = settled(held.join(ends.where("small.key <> large.key"), "token"), "postings")
+    # A token that one class holds leads nowhere.
+    held = rows.mapInArrow(_posting_task(words, levels, num, den), "token long, key long, n long, pos long").repartition("token")
+    one = F.struct("n", "key", "pos")
+    ends = held.groupBy("token").agg(F.min(one).alias("small"), F.max(one).alias("large"))
+    postings = settled(held.join(ends.where("small.key <> large.key"), "token").distinct(), "postings")
 
     names = classed.where("n_shingles > 0").groupBy("key").agg(F.min("id").alias("least"), F.min(F.struct("id")).alias("one"))
     known = postings.select("key").distinct().join(names, "key").select("key", F.col("one.id").alias("id"))
@@ -182,38 +224,44 @@ def linked(documents: DataFrame, *, words: int = 5, num: int = 80, den: int = 10
         """Of distinct pairs ``(a, b)``: those that share a prefix token under the other orders, and then are similar."""
         mine = texts.join(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key")
         near = pairs
-        few = mine.mapInArrow(_set_task(words, levels, num, den, whole=False), "key long, " + ", ".join(f"{p} array<long>" for p in _OTHERS))
+        few = mine.mapInArrow(_set_task(words, levels, num, den, whole=False), "key long, n long, " + ", ".join(f"{p} array<long>" for p in _OTHERS))
         for side in "ab":
-            near = near.join(few.select(F.col("key").alias(side), *[F.col(p).alias(side + p) for p in _OTHERS]), side)
+            near = near.join(few.select(F.col("key").alias(side), *[F.col(p).alias(f"{p}{side}") for p in ("n", *_OTHERS)]), side)
         for p in _OTHERS:
-            near = near.where(F.arrays_overlap(f"a{p}", f"b{p}"))
+            first = [F.slice(f"{p}{x}", 1, F.greatest(_reach(F.col(f"n{x}"), F.col(f"n{y}"), num, den), F.lit(0)).cast("int")) for x, y in ("ab", "ba")]
+            near = near.where(F.arrays_overlap(*first))
         near = settled(near.select("a", "b"), "near")
-        full = mine.mapInArrow(_set_task(words, levels, num, den, whole=True), "key long, tokens array<long>")
+        full = mine.join(near.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key")
+        full = full.mapInArrow(_set_task(words, levels, num, den, whole=True), "key long, n long, tokens array<long>")
         for side in "ab":
             near = near.join(full.select(F.col("key").alias(side), F.col("tokens").alias(f"{side}_tokens")), side)
         common = F.size(F.array_intersect("a_tokens", "b_tokens")).cast("long")
         union = F.size("a_tokens").cast("long") + F.size("b_tokens") - common
         return settled(near.where(common * den >= union * num).select("a", "b"), "links")
 
+    def close(x: tuple[Column, Column], y: tuple[Column, Column]) -> Column:
+        """May a token at these (size, place) be the first that two similar sets share?"""
+        return (x[1] < _reach(x[0], y[0], num, den)) & (y[1] < _reach(y[0], x[0], num, den))
+
     stars = []
     for end in ("small", "large"):
-        star = postings.where(F.col("key") != F.col(f"{end}.key")).where(_fits(F.col("n"), F.col(f"{end}.n"), num, den))
+        near = close((F.col("n"), F.col("pos")), (F.col(f"{end}.n"), F.col(f"{end}.pos")))
+        star = postings.where((F.col("key") != F.col(f"{end}.key")) & near)
         stars.append(star.select(F.least("key", f"{end}.key").alias("a"), F.greatest("key", f"{end}.key").alias("b")))
     first = links(settled(stars[0].unionByName(stars[1]).distinct(), "pairs"))
     groups = settled(components(first), "groups")
 
-    lists = postings.select("token", "key", "n").join(groups.withColumnRenamed("node", "key"), "key", "left")
-    lists = lists.select("token", "key", "n", F.coalesce("component", "key").alias("group"))
+    lists = postings.select("token", "key", "n", "pos").join(groups.withColumnRenamed("node", "key"), "key", "left")
+    lists = lists.select("token", "key", "n", "pos", F.coalesce("component", "key").alias("group"))
     several = lists.groupBy("token").agg((F.min("group") < F.max("group")).alias("several")).where("several")
     lists = settled(lists.join(several.select("token"), "token"), "meeting")
     met = lists.select("token", "group").distinct()
     crossing = met.alias("x").join(met.alias("y"), F.expr("x.token = y.token and x.group < y.group"))
     crossing = crossing.select(F.col("x.token").alias("token"), F.col("x.group").alias("ga"), F.col("y.group").alias("gb"))
-    left = lists.select("token", F.col("group").alias("ga"), F.col("key").alias("ka"), F.col("n").alias("na"))
-    right = lists.select("token", F.col("group").alias("gb"), F.col("key").alias("kb"), F.col("n").alias("nb"))
-    fits = _fits(F.col("na"), F.col("nb"), num, den)
-    rest = crossing.join(left, ["token", "ga"]).join(right, ["token", "gb"]).where(fits)
-    rest = rest.select(F.least("ka", "kb").alias("a"), F.greatest("ka", "kb").alias("b")).distinct()
+    left, right = (lists.select("token", F.col("group").alias(f"g{x}"), *[F.col(c).alias(f"{c}{x}") for c in ("key", "n", "pos")]) for x in "ab")
+    near = close((F.col("na"), F.col("posa")), (F.col("nb"), F.col("posb")))
+    rest = crossing.join(left, ["token", "ga"]).join(right, ["token", "gb"]).where(near)
+    rest = rest.select(F.least("keya", "keyb").alias("a"), F.greatest("keya", "keyb").alias("b")).distinct()
     more = links(settled(rest, "pairs"))
     whole = components(first.unionByName(more)) if more.limit(1).count() else groups
 
