@@ -140,7 +140,11 @@ def scan(documents: DataFrame) -> DataFrame:
     rows = measured.select("doc_id", "sha").alias("d").join(per_text.alias("s"), same, "left")
     nothing = F.array().cast("array<struct<start:bigint,kind:int,stop:bigint>>")
     rows = rows.select("d.doc_id", "d.sha", F.coalesce("s.found", nothing).alias("found"))
-    counts = [F.size(F.filter("found", lambda s, k=KINDS[k]: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in STRONG]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("found", lambda s: s["kind"] == KINDS[kind])).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in STRONG]
     return rows.select("doc_id", "sha", *counts, "found")
 
 
