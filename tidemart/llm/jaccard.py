@@ -208,7 +208,8 @@ def linked(documents: DataFrame, *, words: int = 5, num: int = 80, den: int = 10
     levels = spark.sparkContext.broadcast((often[0].astype(np.float32), np.where(often[1] >= 1, 24 * often[1], 0).astype(np.float32)))
 
     # A token that one class holds leads nowhere.
-    held = rows.mapInArrow(_posting_task(words, levels, num, den), "token long, key long, n long, pos long").repartition("token")
+    held = rows.mapInArrow(_posting_task(words, levels, num, den), "token long, key long, n long, pos long")
+    held = held.where("token is not null").repartition("token")
     one = F.struct("n", "key", "pos")
     ends = held.groupBy("token").agg(F.min(one).alias("small"), F.max(one).alias("large"))
     postings = settled(held.join(ends.where("small.key <> large.key"), "token").distinct(), "postings")

@@ -85,7 +85,14 @@ def _anchor_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, data, offsets in textbytes.blocks(batch.column("text")):
             text, position, h, low, high = anchors(data, offsets)
             at = (position << 16) | (low << 8) | high
-            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(keys[row + text]), pa.array(at)], names=["h", "key", "at"])
+            key = keys[row + text]
+            # Two of a gram's places show that it repeats; the block's further places need not meet them.
+            by = np.argsort(h, kind="stable")
+            first = np.flatnonzero(np.concatenate([[True], h[by][1:] != h[by][:-1]])) if len(h) else by
+            nth = np.arange(len(h)) - np.repeat(first, np.diff(np.append(first, len(h))))
+            salt = np.zeros(len(h), np.int64)
+            salt[by] = np.where(nth < 2, 0, 1 + (key[by] & 0xFFFF))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h, salt, key, at)], names=["h", "salt", "key", "at"])
 
 
 def _context_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -335,12 +342,17 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     originals = spread.join(first.hint("shuffle_hash"), "key").select("key", "id", "text")
 
     # All columns go each way, so that the texts, and then the grams, are shuffled once and read again.
-    marks = originals.mapInArrow(_anchor_task, "h long, key long, at long").repartition("h")
+    marks = originals.mapInArrow(_anchor_task, "h long, salt long, key long, at long")
+    marks = marks.where("h is not null and salt is not null").repartition("h", "salt")
     place = F.struct("key", "at")
-    often = marks.groupBy("h").agg(F.min(place).alias("least"), F.max(place).alias("most")).where("least <> most").select("h")
-    marks = marks.join(often.hint("shuffle_hash"), "h").groupBy("key").agg(F.collect_list(F.struct("h", "at")).alias("marks"))
+    often = marks.groupBy("h", "salt").agg(F.min(place).alias("least"), F.max(place).alias("most"))
+    often = often.where("salt <> 0 or least <> most").select("h", "salt")
+    marks = marks.join(often.hint("shuffle_hash"), ["h", "salt"])
+    marks = marks.groupBy("key").agg(F.collect_list(F.struct("h", "at")).alias("marks"))
     contexts = originals.join(marks.hint("shuffle_hash"), "key").mapInArrow(_context_task, _CONTEXT)
-    spans = contexts.repartition("h").sortWithinPartitions("h").mapInArrow(_repeat_task, "key long, start long, stop long")
+    # What is settled already goes its own way; it does not crowd in with its gram.
+    spread_out = F.when(F.col("ctx").isNull(), F.col("key")).otherwise(F.lit(0))
+    spans = contexts.repartition(F.col("h"), spread_out).sortWithinPartitions("h").mapInArrow(_repeat_task, "key long, start long, stop long")
     spans = spans.groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
 
     out = spread.join(first.hint("shuffle_hash"), "key", "left").join(spans.hint("shuffle_hash"), "key", "left")
