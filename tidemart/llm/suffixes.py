@@ -95,6 +95,25 @@ def _anchor_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h, salt, key, at)], names=["h", "salt", "key", "at"])
 
 
+def _often_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of places in order of their grams: those whose gram has another place, or is known to."""
+    tail, given = None, True  # the batch before's last place, and whether it has been passed on
+    for batch in batches:
+        if not len(batch):
+            continue
+        h, salt = batch.column("h").to_numpy(), batch.column("salt").to_numpy()
+        same = (h[1:] == h[:-1]) & (salt[1:] == salt[:-1])
+        keep = salt != 0
+        keep[1:] |= same
+        keep[:-1] |= same
+        if tail is not None and (tail.column("h")[0].as_py(), tail.column("salt")[0].as_py()) == (h[0], salt[0]):
+            keep[0] = True
+            if not given:
+                yield tail.select(["h", "key", "at"])
+        yield batch.filter(pa.array(keep)).select(["h", "key", "at"])
+        tail, given = batch.slice(len(batch) - 1), bool(keep[-1])
+
+
 def _context_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The contexts of a text's anchors; one seen before in the batch comes without its bytes."""
     for batch in batches:
@@ -341,13 +360,9 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     spread = named.select("key", "id", "text").repartition("key")
     originals = spread.join(first.hint("shuffle_hash"), "key").select("key", "id", "text")
 
-    # All columns go each way, so that the texts, and then the grams, are shuffled once and read again.
-    marks = originals.mapInArrow(_anchor_task, "h long, salt long, key long, at long")
-    marks = marks.where("h is not null and salt is not null").repartition("h", "salt")
-    place = F.struct("key", "at")
-    often = marks.groupBy("h", "salt").agg(F.min(place).alias("least"), F.max(place).alias("most"))
-    often = often.where("salt <> 0 or least <> most").select("h", "salt")
-    marks = marks.join(often.hint("shuffle_hash"), ["h", "salt"])
+    # All columns go each way, so that the texts are shuffled once and read again.
+    marks = originals.mapInArrow(_anchor_task, "h long, salt long, key long, at long").repartition("h", "salt")
+    marks = marks.sortWithinPartitions("h", "salt").mapInArrow(_often_task, "h long, key long, at long")
     marks = marks.groupBy("key").agg(F.collect_list(F.struct("h", "at")).alias("marks"))
     contexts = originals.join(marks.hint("shuffle_hash"), "key").mapInArrow(_context_task, _CONTEXT)
     # What is settled already goes its own way; it does not crowd in with its gram.
