@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemart.llm import textbytes
 from tidemart.llm.components import components
@@ -209,10 +210,9 @@ def linked(documents: DataFrame, *, words: int = 5, num: int = 80, den: int = 10
 
     # A token that one class holds leads nowhere.
     held = rows.mapInArrow(_posting_task(words, levels, num, den), "token long, key long, n long, pos long")
-    held = held.where("token is not null").repartition("token")
-    one = F.struct("n", "key", "pos")
-    ends = held.groupBy("token").agg(F.min(one).alias("small"), F.max(one).alias("large"))
-    postings = settled(held.join(ends.where("small.key <> large.key"), "token").distinct(), "postings")
+    one, holders = F.struct("n", "key", "pos"), Window.partitionBy("token")
+    held = held.withColumn("small", F.min(one).over(holders)).withColumn("large", F.max(one).over(holders))
+    postings = settled(held.where("small.key <> large.key").distinct(), "postings")
 
     names = classed.where("n_shingles > 0").groupBy("key").agg(F.min("id").alias("least"), F.min(F.struct("id")).alias("one"))
     known = postings.select("key").distinct().join(names, "key").select("key", F.col("one.id").alias("id"))
@@ -225,7 +225,9 @@ def linked(documents: DataFrame, *, words: int = 5, num: int = 80, den: int = 10
         """Of distinct pairs ``(a, b)``: those that share a prefix token under the other orders, and then are similar."""
         mine = texts.join(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key")
         near = pairs
+        # As tables: what a task makes is otherwise made again for each side of a join.
         few = mine.mapInArrow(_set_task(words, levels, num, den, whole=False), "key long, n long, " + ", ".join(f"{p} array<long>" for p in _OTHERS))
+        few = settled(few, "prefixes")
         for side in "ab":
             near = near.join(few.select(F.col("key").alias(side), *[F.col(p).alias(f"{p}{side}") for p in ("n", *_OTHERS)]), side)
         for p in _OTHERS:
@@ -233,7 +235,7 @@ def linked(documents: DataFrame, *, words: int = 5, num: int = 80, den: int = 10
             near = near.where(F.arrays_overlap(*first))
         near = settled(near.select("a", "b"), "near")
         full = mine.join(near.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key")
-        full = full.mapInArrow(_set_task(words, levels, num, den, whole=True), "key long, n long, tokens array<long>")
+        full = settled(full.mapInArrow(_set_task(words, levels, num, den, whole=True), "key long, n long, tokens array<long>"), "sets")
         for side in "ab":
             near = near.join(full.select(F.col("key").alias(side), F.col("tokens").alias(f"{side}_tokens")), side)
         common = F.size(F.array_intersect("a_tokens", "b_tokens")).cast("long")
