@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 from tidemart.llm import textbytes
 
 BITS = 18
-# The fit's bound: labelled texts, and of them at most so many characters of text together.
-SAMPLE = 8000
-LEAST_TEXTS = 4  # a feature of fewer sampled texts has no weight
-STEPS, RATE, DECAY = 150, 0.08, 2e-4
+# The fit's bound: so many labelled texts.
+SAMPLE = 16_000
+LEAST_TEXTS, LEAST_CONTRAST = 3, 1.5  # features of fewer sampled texts, or of no telling, have no weight
+STEPS, RATE, DECAY = 150, 0.08, 1e-3
 SELECT = 0.5
 
 # Classes of bytes: white space, word (letters, digits, all beyond ASCII), other signs.
@@ -91,10 +91,14 @@ def _feature_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def fit(grades: np.ndarray, text: np.ndarray, slot: np.ndarray, levels: int) -> tuple[np.ndarray, np.ndarray]:
     """Weights for all slots and the ordered thresholds, by full-batch gradient steps with adaptive rates."""
     n = len(grades)
-    seen = np.bincount(slot, minlength=1 << BITS)
-    keep = seen[slot] >= LEAST_TEXTS
+    # Features enter in proportion to how differently the best grade's texts and the others have them.
+    best = grades == levels - 1
+    seen, good = np.bincount(slot, minlength=1 << BITS), np.bincount(slot[best[text]], minlength=1 << BITS)
+    contrast = np.abs(np.log((good + 1) / (best.sum() + 2)) - np.log((seen - good + 1) / ((~best).sum() + 2)))
+    keep = (seen[slot] >= LEAST_TEXTS) & (contrast[slot] >= LEAST_CONTRAST)
     text, slot = text[keep], slot[keep]
     used, column = np.unique(slot, return_inverse=True)
+    scale = contrast[used]
     share = np.cumsum(np.bincount(grades, minlength=levels) + 1.0) / (n + levels)
     cut = np.log(share[:-1] / (1 - share[:-1]))
     # The first threshold, and the logs of the gaps between them: they stay in order.
@@ -105,7 +109,7 @@ def fit(grades: np.ndarray, text: np.ndarray, slot: np.ndarray, levels: int) ->
         weights = values[: len(used)]
         gaps = np.exp(values[len(used) + 1 :])
         cuts = values[len(used)] + np.concatenate([[0.0], np.cumsum(gaps)])
-        score = np.bincount(text, weights[column], minlength=n)
+        score = np.bincount(text, (weights * scale)[column], minlength=n)
         below = logistic(cuts[None, :] - score[:, None])
         below = np.concatenate([np.zeros((n, 1)), below, np.ones((n, 1))], axis=1)
         slope = below * (1 - below)
@@ -118,12 +122,12 @@ def fit(grades: np.ndarray, text: np.ndarray, slot: np.ndarray, levels: int) ->
         np.add.at(by_cut, grades, lower / n)
         by_cut = by_cut[1:-1]
         by_gap = gaps * (np.cumsum(by_cut[::-1])[::-1][1:])
-        slopes = np.concatenate([np.bincount(column, by_score[text], minlength=len(used)) + DECAY * weights, [by_cut.sum()], by_gap])
+        slopes = np.concatenate([np.bincount(column, by_score[text], minlength=len(used)) * scale + DECAY * weights, [by_cut.sum()], by_gap])
         mean = 0.9 * mean + 0.1 * slopes
         square = 0.99 * square + 0.01 * slopes**2
         values = values - RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
     weights = np.zeros(1 << BITS, np.float32)
-    weights[used] = values[: len(used)]
+    weights[used] = values[: len(used)] * scale
     return weights, values[len(used)] + np.concatenate([[0.0], np.cumsum(np.exp(values[len(used) + 1 :]))])
 
 
