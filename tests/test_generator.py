@@ -1,6 +1,8 @@
 import json
 
+import generator_rules as rules
 import pytest
+from conftest import TINY
 from pyspark.sql import functions as F
 
 from tidemart.operators.bronze import to_bronze
@@ -103,3 +105,38 @@ def test_unending(spark, tmp_path):
     finally:
         query.stop()
     assert spark.read.parquet(str(tmp_path / "m")).count() > 0
+
+
+def test_rules(spark):
+    events, parts = (spark.read.parquet(f"{TINY}/{t}.parquet").count() for t in ("events", "part"))
+    checked = {r.event_type: (r.events, r.broken) for r in rules.checks(spark, TINY).collect()}
+    assert checked == dict.fromkeys(g.EVENT_SHARES, (events, 0))
+    assert tuple(rules.catalog_checks(spark, TINY).first()) == (parts, parts, 0)
+    assert tuple(rules.through_silver(spark, TINY).first()) == (events, 0)
+    assert {r.event_type: r.as_expected for r in rules.mix(spark, TINY).collect()} == dict.fromkeys(g.EVENT_SHARES, 1)
+
+
+@pytest.mark.parametrize(("gap", "seconds"), [(0.3, 7), (2, 9), (10, 35), (0.01, 3), (1, 5)])
+def test_any_pace_is_kept(spark, gap, seconds):
+    rows = spark.range(seconds).select("id", F.explode(g.paced(F.col("id"), gap)).alias("number")).collect()
+    assert sorted(r.number for r in rows) == list(range(-int(-seconds / gap // 1)))
+    assert all(r.id <= r.number * gap < r.id + 1 + 1e-6 for r in rows)
+
+
+def test_without_pause(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(g, "BURST", 50)
+    stream = g.unending(spark, gap=0, first=1000)
+    query = stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).start(str(tmp_path / "rows"))
+    try:
+        while not query.lastProgress or query.lastProgress.batchId < 2:
+            query.awaitTermination(1)
+    finally:
+        query.stop()
+    numbers = sorted(r.number for r in spark.read.parquet(str(tmp_path / "rows")).select("number").collect())
+    assert len(numbers) >= 100 and numbers == list(range(1000, 1000 + len(numbers)))
+    with pytest.raises(ValueError, match="negative"):
+        g.unending(spark, gap=-1)
+
+
+def test_first_number(spark):
+    assert [r.number for r in g.numbered(spark, 3, first=7).collect()] == [7, 8, 9]

@@ -46,7 +46,7 @@ def test_success(plain):
 
 
 def test_one_day_totals(plain):
-    record = jobs.run(plain, "customer", "2024-01-30", same_day=True)
+    record = jobs.run(plain, "customer", "2024-01-30")
     written = plain.read("gold", "daily_customer_analytics")
     assert record["metrics"]["total_revenue_processed"] == f"${written.agg(F.sum('total_revenue')).first()[0]:.2f}"
     assert int(record["metrics"]["high_value_customers"]) == written.where("customer_segment = 'high_value'").count()

@@ -84,12 +84,62 @@ def test_failed_overwrite_leaves_the_table(spark, lake):
 def test_forgotten_gold_tables_are_found_again(spark, lake):
     lake.overwrite_gold(_days(spark, "2024-01-01"), "t")
     lake.overwrite_gold(_days(spark, "2024-01-02", value=2), "t")
-    spark.sql(f"DROP TABLE {lake.name('gold', 't')}")
+    spark.sql(f"DROP VIEW {lake.name('gold', 't')}")
     opened = Lake(spark, lake.root, lake.prefix).create()
     opened.overwrite_gold(_days(spark, "2024-01-03", value=3), "t", "dynamic")
     assert _content(opened) == [("2024-01-02", 2), ("2024-01-03", 3)]
 
 
+def test_switch_shows_old_or_new_rows_wherever_it_stops(spark, lake, monkeypatch):
+    lake.overwrite_gold(_days(spark, "2024-01-01"), "t")
+    name = lake.name("gold", "t")
+    steps = ["CREATE TABLE", "CREATE OR REPLACE VIEW"]
+    real = type(spark).sql
+    for step in steps:
+
+        def stopping(self, query, *a, step=step, **k):
+            if query.startswith(step) and "gold" in query:
+                raise KeyboardInterrupt(step)
+            return real(self, query, *a, **k)
+
+        with monkeypatch.context() as patched:
+            patched.setattr(type(spark), "sql", stopping)
+            with pytest.raises(KeyboardInterrupt):
+                lake.overwrite_gold(_days(spark, "2024-01-02", value=2), "t")
+        assert [(str(r.date), r.value) for r in spark.sql(f"SELECT date, value FROM {name}").collect()] == [("2024-01-01", 1)]
+        assert lake.tables("gold") == ["t"]
+    with monkeypatch.context() as patched:
+        patched.setattr(Lake, "append_entry", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+        with pytest.raises(KeyboardInterrupt):
+            lake.overwrite_gold(_days(spark, "2024-01-02", value=2), "t")
+    assert [(str(r.date), r.value) for r in spark.sql(f"SELECT date, value FROM {name}").collect()] == [("2024-01-02", 2)]
+    assert lake.tables("gold") == ["t"]
+    lake.overwrite_gold(_days(spark, "2024-01-02", "2024-01-03", value=3), "t", "dynamic")
+    assert _content(lake) == [("2024-01-02", 3), ("2024-01-03", 3)]
+
+
+def test_vacuum_keeps_what_is_shown(spark, lake):
+    for value in range(4):
+        lake.overwrite_gold(_days(spark, "2024-01-01", value=value), "t")
+    assert len(lake.vacuum_gold("t", 2)) == 2
+    assert _content(lake) == [("2024-01-01", 3)]
+    assert len(lake.tables("gold_files")) == 2
+    assert lake.vacuum_gold("t", 2) == [] == lake.vacuum_gold("never_written", 1)
+    with pytest.raises(ValueError, match="at least one"):
+        lake.vacuum_gold("t", 0)
+
+
+def test_streams_add_few_files(spark, lake, tmp_path):
+    """Eight input files over thirty days: a batch adds at most a few files to each folder."""
+    folder = str(tmp_path / "landing")
+    message_source.to_files(given.messages(spark, TINY).repartition(8), folder)
+    pipeline.drain(lake, message_source.from_files(spark, folder))
+    for layer, table in (("bronze", "raw_events"), ("silver", "page_views")):
+        files = lake.read(layer, table).inputFiles()
+        folders = {f.rsplit("/", 1)[0] for f in files}
+        assert len(files) <= 2 * len(folders)
+
+
 def test_shared_folder_comes_from_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir")
     assert workspace.shared_root(spark) == named

@@ -9,6 +9,7 @@ from tidemart.operators.bronze import to_bronze
 from tidemart.operators.silver import to_silver
 from tidemart.plans import gold
 from tidemart.plans.generator import Shop, numbered
+from tidemart.queries import QUERIES
 from tidemart.queries.common import messages
 from tidemart.sources.given import page_views, purchases, purchases_by_line
 
@@ -20,7 +21,7 @@ def _plan(rows):
     return rows._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in sorted(driver.queries()) if not n.startswith(RUNS_JOBS)])
+@pytest.mark.parametrize("name", [n for n in sorted(QUERIES) if not n.startswith(RUNS_JOBS)])
 def test_no_pairwise_joins_no_python_no_single_task(spark, name):
     plan = _plan(driver.queries()[name](spark, TINY))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "CollectLimit", "collect_list", "collect_set"):

@@ -5,6 +5,7 @@ import pytest
 from conftest import TINY
 
 import __spark_entry__ as driver
+from tidemart.queries import QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -33,7 +34,7 @@ def _rows(columns, data):
     return sorted(shown)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, oracle, name):
     result = driver.queries()[name](spark, TINY)
     got = [tuple(r) for r in result.collect()]

@@ -55,7 +55,7 @@ def test_command_line_end_to_end(spark, tmp_path):
     main(["stream", "--once", "--landing", landing, "--lake", lake])
     main(["stream", "--once", "--job-type", "processing", "--files-per-trigger", "1",
           "--landing", landing, "--lake", lake])
-    main(["customer", "--lake", lake, "--date", "yesterday", "--same-day", "--show"])
+    main(["customer", "--lake", lake, "--date", "yesterday", "--show"])
     main(["product", "--lake", lake, "--date", "2999-01-01", "--show"])
     opened = Lake(spark, lake)
     assert opened.read("bronze", "raw_events").count() == 400

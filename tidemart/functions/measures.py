@@ -27,14 +27,11 @@ def mean_money(total: Column, entries: Column) -> Column:
 def unit_conversion(units: Column, views: Column) -> Column:
     """Units bought per view as DECIMAL(21,11); 0 without views, NULL without purchases.
 
-    Ten-digit operands give the contract's scale. Counts beyond ten digits go through wider
-    operands, where a plain cast would fail.
+    Operands have one width for all sizes. The quotient carries 18 digits before it is rounded
+    to eleven; a ratio of 10^10 or more does not fit and is an error, never a silent NULL.
     """
-    ratio = units.try_cast("decimal(10,0)") / views.try_cast("decimal(10,0)")
-    wide = units.cast("decimal(20,0)") / views.cast("decimal(20,0)")
-    return F.when(
-        views > 0, F.coalesce(ratio, wide.try_cast("decimal(21,11)"))
-    ).otherwise(F.expr("0.0"))
+    ratio = units.cast("decimal(20,0)") / views.cast("decimal(20,0)")
+    return F.when(views > 0, ratio.cast("decimal(21,11)")).otherwise(F.expr("0.0"))
 
 
 def per_visitor(amount: Column, visitors: Column) -> Column:

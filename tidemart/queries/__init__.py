@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemart.queries import generated, gold, jobs, lake, messages, silver
+from tidemart.queries import gold, jobs, lake, messages, silver
 from tidemart.queries.common import Query
 
 QUERIES: dict[str, Query] = {
@@ -11,5 +11,4 @@ QUERIES: dict[str, Query] = {
     **silver.QUERIES,
     **lake.QUERIES,
     **jobs.QUERIES,
-    **generated.QUERIES,
 }

@@ -32,16 +32,28 @@ class Query:
         return presentable(self.build(pin_results(spark), folder))
 
 
-_LANDED: dict[tuple[str, str], str] = {}
+_LANDED: dict[tuple, str] = {}
+
+
+def state(spark: SparkSession, folder: str) -> tuple:
+    """The given files that messages are made of, with their sizes and times: other files, other messages."""
+    found = []
+    for name in ("events", "orders", "lineitem", "part"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}.parquet")
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        own = files.getFileStatus(path)
+        for status in files.listStatus(path) if own.isDirectory() else [own]:
+            found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return tuple(sorted(found))
 
 
 def landing(spark: SparkSession, folder: str) -> str:
-    """The message stream of the given events as files, written once per application.
+    """The message stream of the given events as files, written once per application and state of them.
 
     Messages come out of files as they would off a broker: nothing of how they were made can be
     folded into the queries that read them.
     """
-    key = (spark.sparkContext.applicationId, folder)
+    key = (spark.sparkContext.applicationId, state(spark, folder))
     if key not in _LANDED:
         files = fresh_folder(spark, "messages")
         message_source.to_files(given.messages(spark, folder), files)

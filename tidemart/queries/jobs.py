@@ -39,9 +39,12 @@ def _log(lake: Lake):
         "data_version",
         F.substring_index("table_location", ".", -1).alias("gold_table"),
         metric("total_customers_processed"),
+        metric("high_value_customers"),
         metric("total_revenue_processed"),
         metric("total_days_processed"),
         metric("total_orders"),
+        metric("total_revenue"),
+        metric("unique_customers"),
         metric("total_products"),
         metric("total_purchases"),
         "error_type",
@@ -81,23 +84,27 @@ v AS (SELECT CAST(payload_time AS DATE) AS d, payload_user AS u, payload_product
       FROM accepted WHERE event_type = 'page_view' AND payload_time IS NOT NULL),
 b AS (SELECT CAST(payload_time AS DATE) AS d, payload_user AS u, amount, n, k
       FROM accepted WHERE event_type = 'purchase' AND payload_time IS NOT NULL),
-i AS (SELECT IF(i = 1, k, CONCAT(k, '-', CAST(i AS VARCHAR))) AS p, i AS units
+i AS (SELECT IF(i = 1, k, CONCAT(k, '-', CAST(i AS VARCHAR))) AS p, i AS units, amount * i AS paid
       FROM (SELECT *, unnest(range(1, n % 4 + 1)) AS i FROM b WHERE n % 29 <> 0))"""
 
 _SUCCESS_SQL = f"""{_SIDES_SQL},
 c AS (SELECT x.u AS xu, COALESCE(y.revenue, 0) AS revenue
       FROM (SELECT DISTINCT u, d FROM v) x
-      FULL JOIN (SELECT u, d, sum(amount) AS revenue FROM b GROUP BY u, d) y ON x.u = y.u),
+      FULL JOIN (SELECT u, d, sum(amount) AS revenue FROM b GROUP BY u, d) y ON x.u = y.u AND x.d = y.d),
 logged AS (
   SELECT 'daily_customer_analytics' AS gold_table,
          CAST((SELECT count(*) FROM c) AS VARCHAR) AS total_customers_processed,
+         CAST((SELECT count(*) FROM c WHERE revenue >= 1000) AS VARCHAR) AS high_value_customers,
          CONCAT('$', CAST((SELECT CAST(sum(revenue) AS DECIMAL(20,2)) FROM c) AS VARCHAR)) AS total_revenue_processed,
-         NULL AS total_days_processed, NULL AS total_orders, NULL AS total_products,
-         NULL AS total_purchases
-  UNION ALL SELECT 'daily_sales_summary', NULL, NULL,
+         NULL AS total_days_processed, NULL AS total_orders, NULL AS total_revenue, NULL AS unique_customers,
+         NULL AS total_products, NULL AS total_purchases
+  UNION ALL SELECT 'daily_sales_summary', NULL, NULL, NULL,
          CAST((SELECT count(*) FROM (SELECT d FROM v UNION SELECT d FROM b)) AS VARCHAR),
-         CAST((SELECT count(*) FROM b) AS VARCHAR), NULL, NULL
-  UNION ALL SELECT 'product_performance_analytics', NULL, NULL, NULL, NULL,
+         CAST((SELECT count(*) FROM b) AS VARCHAR),
+         CONCAT('$', CAST((SELECT CAST(sum(amount) AS DECIMAL(20,2)) FROM b) AS VARCHAR)),
+         CAST((SELECT sum(n) FROM (SELECT count(DISTINCT u) AS n FROM b GROUP BY d)) AS VARCHAR), NULL, NULL
+  UNION ALL SELECT 'product_performance_analytics', NULL, NULL, NULL, NULL, NULL,
+         CONCAT('$', CAST((SELECT CAST(sum(paid) AS DECIMAL(20,2)) FROM i) AS VARCHAR)), NULL,
          CAST((SELECT count(*) FROM (SELECT p FROM v WHERE p IS NOT NULL UNION SELECT p FROM i)) AS VARCHAR),
          CAST((SELECT CAST(sum(units) AS BIGINT) FROM i) AS VARCHAR))
 SELECT DATE '{FIRST_DAY}' AS processing_date, 'SUCCESS' AS status, '{FIRST_DAY}-v1' AS data_version,

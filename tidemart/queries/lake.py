@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from tidemart.operators.messages import TOPIC_OF_EVENT
 from tidemart.plans import gold
-from tidemart.queries.common import FIRST_DAY, MESSAGES_SQL, Query, landing, messages
+from tidemart.queries import silver
+from tidemart.queries.common import FIRST_DAY, MESSAGES_SQL, Query, landing, messages, state
 from tidemart.queries.gold import WHOLE_SALES_SQL
 from tidemart.queries.messages import BRONZE_ROWS_SQL, bronze_rows
+from tidemart.queries.silver import flat
 from tidemart.schemas import SILVER_EVENT, column_ddl
 from tidemart.sources import given
 from tidemart.sources import messages as message_source
@@ -29,8 +31,8 @@ def new_lake(spark) -> Lake:
 
 
 def drained(spark, folder) -> Lake:
-    """A lake that all messages went through; made once per application and input."""
-    key = (spark.sparkContext.applicationId, folder)
+    """A lake that all messages went through; made once per application and state of the input."""
+    key = (spark.sparkContext.applicationId, state(spark, folder))
     if key not in _DRAINED:
         lake = new_lake(spark)
         pipeline.drain(lake, message_source.from_files(spark, landing(spark, folder)))
@@ -38,17 +40,12 @@ def drained(spark, folder) -> Lake:
     return _DRAINED[key]
 
 
-def silver_overview(lake: Lake):
-    """Per silver table: rows, distinct ids, rows without a time."""
+def silver_content(lake: Lake):
+    """All rows of the five silver tables; a column that a table lacks is null in its rows."""
     whole = None
     for table in SILVER_EVENT:
-        part = lake.read("silver", table).agg(
-            F.count(F.lit(1)).alias("row_count"),
-            F.countDistinct("event_id").alias("ids"),
-            F.count_if(F.col("timestamp").isNull()).alias("untimed"),
-        )
-        part = part.select(F.lit(table).alias("table_name"), "*")
-        whole = part if whole is None else whole.unionByName(part)
+        part = flat(lake.read("silver", table), table).select(F.lit(table).alias("table_name"), "*")
+        whole = part if whole is None else whole.unionByName(part, allowMissingColumns=True)
     return whole
 
 
@@ -56,9 +53,9 @@ _TABLE_OF_TYPE_SQL = """CASE event_type WHEN 'page_view' THEN 'page_views'
     WHEN 'purchase' THEN 'purchases' WHEN 'add_to_cart' THEN 'cart_events'
     WHEN 'user_session' THEN 'user_sessions' ELSE 'product_updates' END"""
 
-OVERVIEW_SQL = f"""{_WITH} SELECT {_TABLE_OF_TYPE_SQL} AS table_name, count(*) AS row_count,
-    count(DISTINCT bronze_id) AS ids, count(*) FILTER (payload_time IS NULL) AS untimed
-    FROM accepted GROUP BY 1"""
+CONTENT_SQL = " UNION ALL BY NAME ".join(
+    f"SELECT '{table}' AS table_name, * FROM ({silver.QUERIES[f'silver_{table}'].sql})" for table in SILVER_EVENT
+)
 
 
 def _ingest(spark, folder):
@@ -66,7 +63,7 @@ def _ingest(spark, folder):
 
 
 def _fanout(spark, folder):
-    return silver_overview(drained(spark, folder))
+    return silver_content(drained(spark, folder))
 
 
 def _restart(spark, folder):
@@ -81,7 +78,7 @@ def _restart(spark, folder):
     for _ in range(2):
         restarted = Lake(spark, lake.root, lake.prefix).create()
         pipeline.drain(restarted, message_source.from_files(spark, source))
-    return silver_overview(lake)
+    return silver_content(lake)
 
 
 def _bronze_stream(spark, folder):
@@ -189,8 +186,8 @@ _OVERWRITE_SQL = f"""{WHOLE_SALES_SQL} SELECT s.date,
 
 QUERIES = {
     "stream_bronze_ingest": Query(_ingest, BRONZE_ROWS_SQL),
-    "stream_silver_fanout": Query(_fanout, OVERVIEW_SQL),
-    "stream_restart_no_dupes": Query(_restart, OVERVIEW_SQL),
+    "stream_silver_fanout": Query(_fanout, CONTENT_SQL),
+    "stream_restart_no_dupes": Query(_restart, CONTENT_SQL),
     "bronze_stream_scan": Query(
         _bronze_stream,
         _WITH

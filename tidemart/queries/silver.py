@@ -38,14 +38,31 @@ def silver(spark, folder, table):
     return to_silver(raw_events(spark, folder), table)
 
 
-def _flat(*columns, table):
-    """A query of the table with these columns and the three metadata entries."""
+_FLAT = {
+    "page_views": (
+        "event_id", "timestamp", "user_id", "session_id", "product_id", "page_type",
+        "referrer", "user_agent", "ip_address", "device_type",
+    ),
+    "cart_events": (
+        "event_id", "timestamp", "user_id", "session_id", "product_id", "quantity", "price",
+        "total_value", "cart_id",
+    ),
+    "user_sessions": (
+        "event_id", "timestamp", "user_id", "session_id", "session_type", "device_type",
+        "ip_address", "user_agent",
+    ),
+    "product_updates": ("event_id", "timestamp", "product_id", "update_type"),
+}
+
+
+def flat(rows, table):
+    """A silver table's rows with nested columns flattened, and three metadata entries."""
+    entries = [F.try_element_at("metadata", F.lit(k)).alias(f"metadata_{k}") for k in ("k", "flag", "depth")]
+    return rows.select(*(_purchase_columns() if table == "purchases" else _FLAT[table]), *entries)
 
-    def build(spark, folder):
-        entries = [F.try_element_at("metadata", F.lit(k)).alias(f"metadata_{k}") for k in ("k", "flag", "depth")]
-        return silver(spark, folder, table).select(*columns, *entries)
 
-    return build
+def _flat(table):
+    return lambda spark, folder: flat(silver(spark, folder, table), table)
 
 
 def accepted_sql(kind: str, columns: str) -> str:
@@ -125,10 +142,7 @@ def _on_messages(build, **options):
 
 QUERIES = {
     "silver_page_views": Query(
-        _flat(
-            "event_id", "timestamp", "user_id", "session_id", "product_id", "page_type",
-            "referrer", "user_agent", "ip_address", "device_type", table="page_views",
-        ),
+        _flat("page_views"),
         accepted_sql(
             "page_view",
             f"""{_HEAD_SQL}, {_BUYER_SQL}, payload_product AS product_id, {_PAGE_SQL},
@@ -138,14 +152,11 @@ QUERIES = {
         ),
     ),
     "silver_purchases": Query(
-        lambda s, f: _flat(*_purchase_columns(), table="purchases")(s, f),
+        _flat("purchases"),
         accepted_sql("purchase", _PURCHASE_COLUMNS_SQL),
     ),
     "silver_cart_events": Query(
-        _flat(
-            "event_id", "timestamp", "user_id", "session_id", "product_id", "quantity", "price",
-            "total_value", "cart_id", table="cart_events",
-        ),
+        _flat("cart_events"),
         accepted_sql(
             "add_to_cart",
             f"""{_HEAD_SQL}, {_BUYER_SQL}, payload_product AS product_id,
@@ -155,10 +166,7 @@ QUERIES = {
         ),
     ),
     "silver_user_sessions": Query(
-        _flat(
-            "event_id", "timestamp", "user_id", "session_id", "session_type", "device_type",
-            "ip_address", "user_agent", table="user_sessions",
-        ),
+        _flat("user_sessions"),
         accepted_sql(
             "user_session",
             f"""{_HEAD_SQL}, {_BUYER_SQL},
@@ -167,7 +175,7 @@ QUERIES = {
         ),
     ),
     "silver_product_updates": Query(
-        _flat("event_id", "timestamp", "product_id", "update_type", table="product_updates"),
+        _flat("product_updates"),
         accepted_sql(
             "product_update",
             f"""{_HEAD_SQL}, payload_product AS product_id,

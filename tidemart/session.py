@@ -15,6 +15,8 @@ SPEED_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Streams without state are sized like batches: a hot folder's rows are split over tasks.
+    "spark.sql.adaptive.streaming.stateless.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
 }
 

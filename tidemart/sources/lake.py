@@ -22,7 +22,8 @@ from tidemart.schemas import (
     silver_schema,
 )
 
-LAYERS = ("bronze", "silver", "gold", "ops")
+# Gold names are views over the version in force; the versions are tables of a layer of their own.
+LAYERS = ("bronze", "silver", "gold", "gold_files", "ops")
 
 
 @dataclass(frozen=True)
@@ -141,10 +142,15 @@ class Lake:
         self, rows: DataFrame, layer: str, table: str, *, job: str, trigger: dict
     ) -> StreamingQuery:
         """Append a stream to a table. The checkpoint plus the sink's file log make a restart
-        neither lose nor repeat rows."""
+        neither lose nor repeat rows.
+
+        A batch is shuffled by folder before it is written, so it adds few files to each folder
+        however many tasks read it; adaptive execution splits a folder with many rows.
+        """
         partition = LAYOUTS[layer, table].partition.name
         writer: DataStreamWriter = (
             rows.withColumn(partition, _PARTITION_VALUE[partition]())
+            .hint("rebalance", partition)
             .writeStream.queryName(f"{self.prefix}{job}")
             .format("parquet")
             .outputMode("append")
@@ -169,9 +175,10 @@ class Lake:
     ) -> None:
         """Write a gold table partitioned by ``date``.
 
-        ``replace``: the table then holds these rows only. They go to a new folder and the
-        table is pointed at it once they are all written, so a failed run leaves the old table
-        as it was. ``dynamic``: only the dates among these rows are replaced.
+        ``replace``: the table then holds these rows only. They go to a new version in a new
+        folder; the table's name is a view, and one catalog call moves it to the new version once
+        that is all written. A run that stops anywhere leaves the old rows or the new ones, and
+        no other name. ``dynamic``: only the dates among these rows are replaced.
 
         The rebalance hint gives each date as many files as its size calls for: adaptive
         execution merges small dates and splits large ones. ``totals`` are gathered after that
@@ -184,29 +191,37 @@ class Lake:
         if mode == "dynamic" and self._find_gold(table):
             # By path: inserting into a table takes the overwrite mode from the session only.
             writer = sized.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            _gold_files(writer, self._location(name))
-            self.spark.catalog.recoverPartitions(name)
+            version = self._version(table)
+            _gold_files(writer, f"{self.path('gold', table)}/{version}")
+            self.spark.catalog.recoverPartitions(self._version_name(table, version))
+            self.spark.catalog.refreshTable(name)
         elif mode in ("replace", "dynamic"):
-            folder = f"{self.path('gold', table)}/{uuid.uuid4().hex}"
+            version = uuid.uuid4().hex
+            folder = f"{self.path('gold', table)}/{version}"
             _gold_files(sized.write, folder)
             kept = [f for f in rows.schema if f.name != "date"]
             columns = column_ddl(T.StructType([*kept, rows.schema["date"]]))
+            self._show_gold(table, folder, columns)
             now = datetime.now(timezone.utc)
             self.append_entry((table, folder, columns, now), "gold_versions")
-            self._point_gold(table, folder, columns)
         else:
             raise ValueError(f"unknown write mode {mode!r}")
 
-    def _point_gold(self, table: str, folder: str, columns: str) -> None:
-        """Make the table show a folder. It is set up under another name first, so readers see
-        the old rows or the new ones, never an empty table."""
-        name, coming = self.name("gold", table), self.name("gold", f"{table}_{uuid.uuid4().hex}")
+    def _version_name(self, table: str, version: str) -> str:
+        return self.name("gold_files", f"{table}_{version}")
+
+    def _show_gold(self, table: str, folder: str, columns: str) -> None:
+        """Register a folder as a version and, in one catalog call, make the table show it."""
+        version = folder.rsplit("/", 1)[1]
+        name = self._version_name(table, version)
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY (date) LOCATION '{folder}'"
+        )
+        self.spark.catalog.recoverPartitions(name)
         self.spark.sql(
-            f"CREATE TABLE {coming} ({columns}) USING parquet PARTITIONED BY (date) LOCATION '{folder}'"
+            f"CREATE OR REPLACE VIEW {self.name('gold', table)} TBLPROPERTIES ('version' = '{version}') "
+            f"AS SELECT * FROM {name}"
         )
-        self.spark.catalog.recoverPartitions(coming)
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self.spark.sql(f"ALTER TABLE {coming} RENAME TO {name}")
 
     def _find_gold(self, table: str) -> bool:
         """Whether a gold table exists. One that a catalog without memory has forgotten is
@@ -216,12 +231,33 @@ class Lake:
         versions = self.read("ops", "gold_versions").where(F.col("table_name") == table)
         newest = versions.agg(F.max_by(F.struct("folder", "columns"), "published").alias("v")).first()["v"]
         if newest is not None:
-            self._point_gold(table, newest["folder"], newest["columns"])
+            self._show_gold(table, newest["folder"], newest["columns"])
         return newest is not None
 
-    def _location(self, name: str) -> str:
-        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
-        return described.where("col_name = 'Location'").first()["data_type"]
+    def _version(self, table: str) -> str:
+        """The version that a gold table shows."""
+        return self.spark.sql(f"SHOW TBLPROPERTIES {self.name('gold', table)} ('version')").first()["value"]
+
+    def vacuum_gold(self, table: str, keep: int) -> list[str]:
+        """Delete all but the newest ``keep`` versions of a gold table, never the one it shows.
+
+        Never done unasked: queries that are still reading an old version lose their files.
+        """
+        if keep < 1:
+            raise ValueError("at least one version is kept")
+        if not self._find_gold(table):
+            return []
+        versions = self.read("ops", "gold_versions").where(F.col("table_name") == table)
+        newest = versions.orderBy(F.col("published").desc()).limit(keep).collect()
+        kept = {row.folder.rsplit("/", 1)[1] for row in newest} | {self._version(table)}
+        jvm = self.spark._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.path("gold", table))
+        files = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        gone = [s.getPath() for s in files.listStatus(root) if s.isDirectory() and s.getPath().getName() not in kept]
+        for folder in gone:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._version_name(table, folder.getName())}")
+            files.delete(folder, True)
+        return sorted(folder.getName() for folder in gone)
 
 
 def _gold_files(writer: DataFrameWriter, folder: str) -> None:

@@ -31,12 +31,15 @@ def from_kafka(spark: SparkSession, options: dict[str, str], *, stream: bool = T
     return reader.format("kafka").options(**options).load()
 
 
-def to_kafka(messages: DataFrame, servers: str, checkpoint: str | None = None):
-    """Send messages to their topics; returns the running query when they are a stream."""
-    rows = messages.select("key", "value", "topic")
+def to_kafka(messages: DataFrame, servers: str, checkpoint: str | None = None, **extra: str):
+    """Send messages to their topics; returns the running query when they are a stream.
+
+    ``extra`` passes writer options, e.g. ``kafka.security.protocol``.
+    """
+    rows, options = messages.select("key", "value", "topic"), {"kafka.bootstrap.servers": servers, **extra}
     if not rows.isStreaming:
-        return rows.write.format("kafka").option("kafka.bootstrap.servers", servers).save()
-    writer = rows.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
+        return rows.write.format("kafka").options(**options).save()
+    writer = rows.writeStream.format("kafka").options(**options)
     return writer.option("checkpointLocation", checkpoint).start()
 
 
