@@ -7,8 +7,9 @@ A text's set holds the 64-bit hashes of its distinct word n-grams. Two sets with
 How hot tokens and groups of copies are kept apart:
 
 * texts with equal sets are one class, formed by an aggregation with map-side combine;
-* all orders put shingles of common words last. Words are counted over the whole input in a sketch of
-  fixed size; what a shingle's words give is the class of its expected frequency;
+* all orders put shingles of common words late: words are counted over the whole input in a sketch of
+  fixed size, and what a shingle's words give is the class of its expected frequency. Shingles found to be
+  in more than ``FREQUENT`` prefixes, such as a passage that many texts share, come last;
 * among the holders of a token, first each is compared with one pivot only; links found so merge classes
   into groups, and afterwards only classes of different groups meet. A group of copies therefore costs one
   comparison per member and token, not one per pair, and no link between groups is lost.
@@ -33,6 +34,8 @@ from tidemart.llm.tables import settled
 SLOTS = 1 << 16
 # Shingles are of one frequency class within so many powers of two.
 CLASS_BITS = 3
+# Tokens that more classes hold are frequent; they are remembered by so many bits of theirs.
+FREQUENT, FREQUENT_BITS = 24, 22
 ORDERS = 3
 
 
@@ -49,7 +52,8 @@ def _slot(hashes: np.ndarray) -> np.ndarray:
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int, common: tuple[np.ndarray, np.ndarray] | None = None) -> list:
     """The sorted distinct shingle hashes of each text. Fewer words than ``n``: all of them are one shingle.
 
-    With ``common``, how common each slot's words and shingles are, each set comes with its frequency classes.
+    With ``common``, how common each slot's words are and which slots' shingles are frequent, each set comes with
+    its frequency classes.
     """
     hashes, at = word_hashes(data, offsets)
     out = []
@@ -61,8 +65,8 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int, common: tuple[np
         logs = np.concatenate([[0.0], np.cumsum(common[0][_slot(hashes)])])
         expected = np.zeros(len(hashes))
         expected[: max(len(hashes) - n + 1, 0)] = logs[n:] - logs[: len(logs) - n] if len(hashes) >= n else 0
-        expected += common[1][_slot(rolled)]
-        classes = np.minimum(expected / CLASS_BITS, 63).astype(np.uint64)
+        classes = np.minimum(expected / CLASS_BITS, 31).astype(np.uint64)
+        classes += np.uint64(32) * common[1][(rolled >> np.uint64(64 - FREQUENT_BITS)).astype(np.int64)]
         for a, b in zip(at[:-1], at[1:], strict=True):
             if b - a >= n:
                 tokens, first = np.unique(rolled[a : b - n + 1], return_index=True)
@@ -102,15 +106,14 @@ def _lengths(sets: list[np.ndarray]) -> pa.Array:
 
 
 def _class_task(n: int):
-    """Each row's class, and after them how often each slot's words, then shingles, occur in the task's rows."""
+    """Each row's class, and after them how often each slot's words occur in the task's rows."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(2 * SLOTS, np.int64)
+        total = np.zeros(SLOTS, np.int64)
         for batch in batches:
             for row, data, offsets in textbytes.blocks(batch.column("text")):
                 sets = shingle_sets(data, offsets, n)
-                total[:SLOTS] += np.bincount(_slot(word_hashes(data, offsets)[0]), minlength=SLOTS)
-                total[SLOTS:] += np.bincount(_slot(np.concatenate(sets)), minlength=SLOTS)
+                total += np.bincount(_slot(word_hashes(data, offsets)[0]), minlength=SLOTS)
                 nothing = pa.nulls(len(sets), pa.int64())
                 columns = [batch.column("id").slice(row, len(sets)), pa.array([_key(x) for x in sets], pa.int64()), _lengths(sets), nothing, nothing]
                 yield pa.RecordBatch.from_arrays(columns, names=_CLASSES)
@@ -134,8 +137,11 @@ def prefix(tokens: np.ndarray, classes: np.ndarray, order: int, num: int, den: i
     return tokens[first[np.argsort(place[first], kind="stable")]]
 
 
-def _posting_task(n: int, common, num: int, den: int):
-    """The prefixes under the first order; a class that the task has met already is not repeated."""
+def _posting_task(n: int, common, num: int, den: int, *, narrow: bool = False):
+    """The prefixes under the first order; a class that the task has met already is not repeated.
+
+    ``narrow`` gives the tokens alone, and as many as two sets of equal size need.
+    """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
@@ -149,7 +155,11 @@ def _posting_task(n: int, common, num: int, den: int):
                         tokens.append(prefix(s, classes, 0, num, den))
                         keys.append(key)
                         sizes.append(len(s))
-                if keys:
+                if narrow and keys:
+                    reach = [s - -(-2 * s * num // (num + den)) + 1 for s in sizes]
+                    tokens = np.concatenate([t[:k] for t, k in zip(tokens, reach, strict=True)]).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(tokens)], names=["token"])
+                elif keys:
                     times = [len(t) for t in tokens]
                     columns = [np.concatenate(tokens).view(np.int64), np.repeat(np.array(keys, np.int64), times), np.repeat(np.array(sizes, np.int64), times)]
                     columns.append(np.concatenate([np.arange(t) for t in times]))
@@ -201,12 +211,18 @@ def linked(documents: DataFrame, *, words: int = 5, num: int = 80, den: int = 10
         rows.mapInArrow(_class_task(words), "id long, key long, n_shingles long, slot long, n long"), "classes"
     )
     classed = found.where("slot is null").select("id", "key", "n_shingles")
-    slots = np.zeros(2 * SLOTS)
-    for slot, n in found.where("slot is not null").groupBy("slot").agg(F.sum("n")).collect():  # at most 2 * SLOTS rows
+    slots = np.zeros(SLOTS)
+    for slot, n in found.where("slot is not null").groupBy("slot").agg(F.sum("n")).collect():  # at most SLOTS rows
         slots[slot] = n
-    often = [np.log2(np.maximum(part / max(1.0, float(np.median(part))), 1.0)) for part in (slots[:SLOTS], slots[SLOTS:])]
-    # A shingle that fills its slot beyond the others' shares is one of very many texts: it goes last.
-    levels = spark.sparkContext.broadcast((often[0].astype(np.float32), np.where(often[1] >= 1, 24 * often[1], 0).astype(np.float32)))
+    words_level = np.log2(np.maximum(slots / max(1.0, float(np.median(slots))), 1.0)).astype(np.float32)
+    # A first round of prefixes shows which of their tokens many classes hold; those go behind all others.
+    frequent = np.zeros(1 << FREQUENT_BITS, np.uint64)
+    first_levels = spark.sparkContext.broadcast((words_level, frequent))
+    held = rows.mapInArrow(_posting_task(words, first_levels, num, den, narrow=True), "token long").groupBy("token").count()
+    slot = F.shiftrightunsigned("token", 64 - FREQUENT_BITS).alias("slot")
+    for (slot,) in held.where(F.col("count") > FREQUENT).select(slot).distinct().toLocalIterator():  # at most 2^FREQUENT_BITS
+        frequent[slot] = 1
+    levels = spark.sparkContext.broadcast((words_level, frequent))
 
     # A token that one class holds leads nowhere.
     held = rows.mapInArrow(_posting_task(words, levels, num, den), "token long, key long, n long, pos long")
