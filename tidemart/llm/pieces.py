@@ -18,8 +18,9 @@ them, become byte pieces, so decoding returns every text exactly.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,8 @@ SPACE, MARK = " ", "▁"  # in texts, and in the vocabulary
 NEVER = -(1 << 60)  # the score of what cannot be
 # A piece costs SCALE * ln(rank + FLAT); a byte piece costs as much as the rarest piece, and half again.
 SCALE, FLAT = 1000, 300
-_WORDS_HELD = 300_000
+_WORDS_HELD = 300_000  # words remembered, and as many older ones
+_SIDE_BY_SIDE = 40  # words of up to so many characters are cut side by side
 
 
 class Vocabulary:
@@ -63,9 +65,12 @@ class Vocabulary:
         if inner:
             raise ValueError(f"pieces with an inner space, such as {inner[0]!r}: words are not independent")
         self.longest = max(map(len, self.pieces), default=1)
+        # Beginnings of pieces that are none themselves lead on, with nothing to add.
+        self.table: dict[str, tuple[int, int] | None] = {p[:n]: None for p in self.pieces for n in range(1, len(p))} | self.pieces
         self.byte_score = -round(1.5 * SCALE * np.log(rank + FLAT))
         self.scores = {i: s for s, i in self.pieces.values()} | dict.fromkeys(self.bytes, self.byte_score)
-        self._known: dict[str, tuple[int, ...]] = {}
+        self._known: dict[str, list[int]] = {}
+        self._older: dict[str, list[int]] = {}
 
     def forward(self, text: str, start: int = 0, stop: int | None = None) -> tuple[list[int], list]:
         """Best sums from ``start`` to every position, by pieces that begin before ``stop``; and the last pieces."""
@@ -73,21 +78,22 @@ class Vocabulary:
         best = [NEVER] * (len(text) + 1)
         back: list = [None] * (len(text) + 1)
         best[start] = 0
-        get, longest, n = self.pieces.get, self.longest, len(text)
+        get, n = self.table.get, len(text)
         for i in range(start, stop):
             here = best[i]
             if here == NEVER:
                 continue
-            single = False
-            for j in range(i + 1, min(i + longest, n) + 1):
-                found = get(text[i:j])
+            for j in range(i + 1, n + 1):
+                found = get(text[i:j], 0)
                 if found:
-                    single = single or j == i + 1
                     # Of equal sums the longer last piece: it began first, and stays.
-                    if here + found[0] > best[j]:
-                        best[j] = here + found[0]
+                    total = here + found[0]
+                    if total > best[j]:
+                        best[j] = total
                         back[j] = (i, found[1])
-            if not single:
+                elif found == 0:
+                    break
+            if text[i] not in self.pieces:
                 raw = text[i].encode()
                 value = here + len(raw) * self.byte_score
                 if value > best[i + 1]:
@@ -106,22 +112,104 @@ class Vocabulary:
         out.reverse()
         return out
 
-    def word(self, text: str) -> tuple[int, ...]:
-        """The ids of a word, which is cut as if it stood alone."""
+    def word(self, text: str) -> list[int]:
+        """The ids of a word, which is cut as if it stood alone. The latest words are remembered."""
         known = self._known.get(text)
         if known is None:
-            _, back = self.forward(text)
-            known = tuple(self.trace(back, 0, len(text)))
-            if len(self._known) >= _WORDS_HELD:
-                self._known.clear()
-            self._known[text] = known
+            known = self._older.get(text)
+            if known is None:
+                known = self.trace(self.forward(text)[1], 0, len(text))
+            self._remember({text: known})
         return known
 
+    def _remember(self, found: dict[str, list[int]]) -> None:
+        if len(self._known) + len(found) > _WORDS_HELD:
+            self._older, self._known = self._known, {}
+        self._known.update(found)
+
     def encode(self, text: str) -> list[int]:
         """A whole text, or a part of one between two cuts."""
-        out: list[int] = []
-        for word in words(text):
-            out.extend(self.word(word))
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """Whole texts; the words that are new among them are cut side by side."""
+        cut = [words(t) for t in texts]
+        found: dict[str, list[int]] = {}
+        new = []
+        for word in set(itertools.chain.from_iterable(cut)):
+            ids = self._known.get(word) or self._older.get(word)
+            if ids is None:
+                new.append(word)
+            else:
+                found[word] = ids
+        short = [w for w in new if len(w) <= _SIDE_BY_SIDE]
+        found.update(zip(short, self._cut_all(short), strict=True))
+        found.update((w, self.trace(self.forward(w)[1], 0, len(w))) for w in new if len(w) > _SIDE_BY_SIDE)
+        self._remember({w: found[w] for w in new})
+        return [list(itertools.chain.from_iterable(map(found.__getitem__, ws))) for ws in cut]
+
+    @cached_property
+    def _tree(self) -> tuple[np.ndarray, ...]:
+        """The table as arrays: sorted edges (node, character) with the nodes they lead to, and each node's piece."""
+        nodes = {p: k for k, p in enumerate(["", *sorted(self.table)])}
+        edges = sorted((nodes[p[:-1]] << 21 | ord(p[-1]), k) for p, k in nodes.items() if p)
+        score, ids = np.full(len(nodes), NEVER, np.int64), np.full(len(nodes), -1, np.int64)
+        for p, (value, i) in self.pieces.items():
+            score[nodes[p]], ids[nodes[p]] = value, i
+        return np.array([e for e, _ in edges]), np.array([k for _, k in edges]), score, ids
+
+    def _cut_all(self, texts: list[str]) -> list[list[int]]:
+        """The ids of many short words: every step of the search is taken for all words at once."""
+        if not texts:
+            return []
+        edges, leads, score, piece = self._tree
+        texts_by_length = sorted(range(len(texts)), key=lambda k: -len(texts[k]))
+        sizes = np.array([len(texts[k]) for k in texts_by_length])
+        width = int(sizes[0])
+        codes = np.zeros((len(texts), width), np.int64)
+        flat = np.frombuffer("".join(texts[k] for k in texts_by_length).encode("utf-32-le"), np.uint32)
+        codes[np.arange(width) < sizes[:, None]] = flat
+        raw = (1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF)) * self.byte_score
+        best = np.full((width + 1, len(texts)), NEVER, np.int64)
+        back = np.zeros((width + 1, len(texts)), np.int64)
+        last = np.full((width + 1, len(texts)), -1, np.int64)  # the last piece; -1 for bytes
+        best[0] = 0
+        for i in range(width):
+            alive = np.arange(int(np.searchsorted(-sizes, -i, "left")))  # longest first: those longer than i
+            node = np.zeros(len(alive), np.int64)
+            for j in range(i + 1, width + 1):
+                key = node << 21 | codes[alive, j - 1]
+                at = np.minimum(np.searchsorted(edges, key), len(edges) - 1)
+                hit = edges[at] == key
+                if j == i + 1:
+                    # A character that is no piece is written in bytes.
+                    own = np.where(hit, score[leads[at]], NEVER)
+                    bare = alive[own == NEVER]
+                    total = best[i, bare] + raw[bare, i]
+                    better = total > best[j, bare]
+                    best[j, bare[better]], back[j, bare[better]], last[j, bare[better]] = total[better], i, -1
+                alive, node = alive[hit], leads[at[hit]]
+                inside = sizes[alive] > j
+                value = score[node]
+                total = best[i, alive] + value
+                better = (value > NEVER) & (total > best[j, alive])
+                who = alive[better]
+                best[j, who], back[j, who], last[j, who] = total[better], i, piece[node[better]]
+                alive, node = alive[inside], node[inside]
+                if not len(alive):
+                    break
+        out: list[list[int]] = [[]] * len(texts)
+        back, last = back.T.tolist(), last.T.tolist()
+        for row, k in enumerate(texts_by_length):
+            ids, stop, starts, ends = [], int(sizes[row]), back[row], last[row]
+            while stop:
+                start = starts[stop]
+                if ends[stop] >= 0:
+                    ids.append(ends[stop])
+                else:
+                    ids.extend(self.bytes[b] for b in reversed(texts[k][start:stop].encode()))
+                stop = start
+            out[k] = ids[::-1]
         return out
 
     def score(self, ids) -> int:
@@ -280,7 +368,9 @@ def _encode_task(path: str):
         for batch in batches:
             for start in range(0, len(batch), 256):
                 part = batch.slice(start, 256)
-                ids = [None if t is None else v.encode(t) for t in part.column("text").to_pylist()]
+                texts = part.column("text").to_pylist()
+                found = v.encode_all([t or "" for t in texts])
+                ids = [None if t is None else x for t, x in zip(texts, found, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     return task
