@@ -36,6 +36,8 @@ SLOTS = 1 << 16
 CLASS_BITS = 3
 # Tokens that more classes hold are frequent; they are remembered by so many bits of theirs.
 FREQUENT, FREQUENT_BITS = 24, 22
+# Bits by which the tokens are told apart of which more than one class has; a clash only costs a shuffled row.
+SHARED_BITS = 25
 ORDERS = 3
 
 
@@ -66,7 +68,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int, common: tuple[np
         expected = np.zeros(len(hashes))
         expected[: max(len(hashes) - n + 1, 0)] = logs[n:] - logs[: len(logs) - n] if len(hashes) >= n else 0
         classes = np.minimum(expected / CLASS_BITS, 31).astype(np.uint64)
-        classes += np.uint64(32) * common[1][(rolled >> np.uint64(64 - FREQUENT_BITS)).astype(np.int64)]
+        classes[_set_in(common[1], FREQUENT_BITS, rolled)] += np.uint64(32)
         for a, b in zip(at[:-1], at[1:], strict=True):
             if b - a >= n:
                 tokens, first = np.unique(rolled[a : b - n + 1], return_index=True)
@@ -137,37 +139,54 @@ def prefix(tokens: np.ndarray, classes: np.ndarray, order: int, num: int, den: i
     return tokens[first[np.argsort(place[first], kind="stable")]]
 
 
-def _posting_task(n: int, common, num: int, den: int, *, narrow: bool = False):
+def _posting_task(n: int, common, num: int, den: int, *, narrow: bool = False, shared=None):
     """The prefixes under the first order; a class that the task has met already is not repeated.
 
-    ``narrow`` gives the tokens alone, and as many as two sets of equal size need.
+    Without ``shared`` their tokens alone, and if ``narrow`` only as many as two sets of equal size need; with it, the
+    tokens whose bits are set there, each with its class, the set's size and its place in the order.
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
         for batch in batches:
             for _, data, offsets in textbytes.blocks(batch.column("text")):
-                tokens, keys, sizes = [], [], []
+                tokens, keys, sizes = [np.zeros(0, np.uint64)], [], []
                 for s, classes in shingle_sets(data, offsets, n, common.value):
                     key = _key(s)
                     if len(s) and key not in met:
                         met.add(key)
-                        tokens.append(prefix(s, classes, 0, num, den))
+                        reach = len(s) - -(-2 * len(s) * num // (num + den)) + 1 if narrow else None
+                        tokens.append(prefix(s, classes, 0, num, den)[:reach])
                         keys.append(key)
                         sizes.append(len(s))
-                if narrow and keys:
-                    reach = [s - -(-2 * s * num // (num + den)) + 1 for s in sizes]
-                    tokens = np.concatenate([t[:k] for t, k in zip(tokens, reach, strict=True)]).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(tokens)], names=["token"])
-                elif keys:
-                    times = [len(t) for t in tokens]
-                    columns = [np.concatenate(tokens).view(np.int64), np.repeat(np.array(keys, np.int64), times), np.repeat(np.array(sizes, np.int64), times)]
-                    columns.append(np.concatenate([np.arange(t) for t in times]))
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "key", "n", "pos"])
+                times = [len(t) for t in tokens[1:]]
+                token = np.concatenate(tokens)
+                if shared is None:
+                    yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64))], names=["token"])
+                    continue
+                columns = [np.repeat(np.array(c, np.int64), times) for c in (keys, sizes)]
+                columns.append(np.concatenate([np.zeros(0, np.int64), *map(np.arange, times)]))
+                keep = _set_in(shared.value, SHARED_BITS, token)
+                yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (token.view(np.int64), *columns)], names=["token", "key", "n", "pos"])
 
     return task
 
 
+def _bitmap(tokens: DataFrame, bits: int) -> np.ndarray:
+    """A bitmap of the tokens' leading bits, put together where the tokens are: 2^(bits - 6) words at most."""
+    slot = F.shiftrightunsigned("token", 64 - bits)
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(token, {64 - bits}) & 63 as int))")
+    found = tokens.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    out = np.zeros(1 << (bits - 6), np.int64)
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return out.view(np.uint64)
+
+
+def _set_in(bitmap: np.ndarray, bits: int, tokens: np.ndarray) -> np.ndarray:
+    slot = tokens >> np.uint64(64 - bits)
+    return (bitmap[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
+
+
 def _set_task(n: int, common, num: int, den: int, *, whole: bool):
     """The classes' whole sets, or their prefixes under the further orders."""
 
@@ -216,16 +235,18 @@ def linked(documents: DataFrame, *, words: int = 5, num: int = 80, den: int = 10
         slots[slot] = n
     words_level = np.log2(np.maximum(slots / max(1.0, float(np.median(slots))), 1.0)).astype(np.float32)
     # A first round of prefixes shows which of their tokens many classes hold; those go behind all others.
-    frequent = np.zeros(1 << FREQUENT_BITS, np.uint64)
-    first_levels = spark.sparkContext.broadcast((words_level, frequent))
-    held = rows.mapInArrow(_posting_task(words, first_levels, num, den, narrow=True), "token long").groupBy("token").count()
-    slot = F.shiftrightunsigned("token", 64 - FREQUENT_BITS).alias("slot")
-    for (slot,) in held.where(F.col("count") > FREQUENT).select(slot).distinct().toLocalIterator():  # at most 2^FREQUENT_BITS
-        frequent[slot] = 1
-    levels = spark.sparkContext.broadcast((words_level, frequent))
-
-    # A token that one class holds leads nowhere.
-    held = rows.mapInArrow(_posting_task(words, levels, num, den), "token long, key long, n long, pos long")
+    send = spark.sparkContext.broadcast
+
+    def tokens(levels, **options) -> DataFrame:
+        task = _posting_task(words, levels, num, den, **options)
+        return rows.mapInArrow(task, "token long").groupBy("token").count()
+
+    nothing = np.zeros(1 << (FREQUENT_BITS - 6), np.uint64)
+    frequent = _bitmap(tokens(send((words_level, nothing)), narrow=True).where(F.col("count") > FREQUENT), FREQUENT_BITS)
+    levels = send((words_level, frequent))
+    # A second one shows which tokens lead anywhere: more than one task or class has them.
+    shared = send(_bitmap(tokens(levels).where("count > 1"), SHARED_BITS))
+    held = rows.mapInArrow(_posting_task(words, levels, num, den, shared=shared), "token long, key long, n long, pos long")
     one, holders = F.struct("n", "key", "pos"), Window.partitionBy("token")
     held = held.withColumn("small", F.min(one).over(holders)).withColumn("large", F.max(one).over(holders))
     postings = settled(held.where("small.key <> large.key").distinct(), "postings")
