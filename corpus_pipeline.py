@@ -46,10 +46,11 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's target weight asks: not at all, or up to three times."""
     ship(spark)
-    taken = mixing.mix(docs).select("doc_id", "source", "copies").distinct().alias("t")
-    same = F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")) & F.col("d.source").eqNullSafe(F.col("t.source"))
-    rows = docs.alias("d").join(taken, same).where("t.copies > 0").select("d.*", "t.copies")
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    taken = mixing.mix(docs).where("copies > 0").select("place", "source", "copies").distinct().alias("t")
+    placed = docs.withColumn("__place", mixing.place(F.col("doc_id"), F.col("text"))).alias("d")
+    same = (F.col("d.__place") == F.col("t.place")) & F.col("d.source").eqNullSafe(F.col("t.source"))
+    each = F.explode(F.sequence(F.lit(1), F.col("t.copies"))).alias("__copy")
+    return placed.join(taken, same).select("d.*", each).select(*docs.columns)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

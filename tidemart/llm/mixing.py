@@ -57,7 +57,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = LA
 
 
 def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = LARGEST_REPEAT) -> DataFrame:
-    """``(doc_id, source, size, source_size, target, copies)`` for every row of ``documents (doc_id, text, source)``.
+    """``(doc_id, source, size, source_size, target, copies, place)`` for every row of ``documents (doc_id, text, source)``.
 
     ``copies`` says how often the document is taken, 0 to ``most`` times. A source's taken words differ
     from its target by at most half the words at its boundary place: that is one document, or all rows
@@ -100,7 +100,7 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = LA
     goal = goal.withColumn("low", F.col("low") + F.when(nearer, 1).otherwise(0))
     out = sizes.alias("d").join(goal.alias("g"), same)
     copies = F.col("g.whole") + F.when(F.col("d.place") < F.col("g.low"), 1).otherwise(0)
-    return out.select("d.doc_id", "d.source", "d.size", "g.source_size", "g.target", F.least(copies, F.lit(most)).cast("int").alias("copies"))
+    return out.select("d.doc_id", "d.source", "d.size", "g.source_size", "g.target", F.least(copies, F.lit(most)).cast("int").alias("copies"), "d.place")
 
 
 MIX_SQL = r"""
