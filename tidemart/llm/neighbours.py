@@ -30,7 +30,7 @@ from tidemart.llm.tables import settled
 SAMPLE = 20_000  # distinct vectors the splits are fitted on
 TREES = 12
 LEAF_ROWS = 256  # about so many sampled vectors a leaf
-PROBES = 160  # leaves a query visits in the whole forest
+PROBES = 200  # leaves a query visits in the whole forest
 PART_ROWS = 20_000
 SEED = 7
 
