@@ -144,7 +144,6 @@ class HashArrays:
     """The models of all languages: for each order a sorted array of hashes, and a row of logs for each."""
 
     def __init__(self, rows: DataFrame):
-        slot = F.udf  # noqa: F841  (hashing stays with the arrays: rows are hashed in batches below)
         hashed = rows.mapInArrow(_slot_task, "lang string, n int, slot int, logp double, log_rest double")
         # At most 2^SLOT_BITS rows for each language and order reach the driver, and then the tasks.
         table = hashed.groupBy("lang", "n", "slot").agg(F.max("logp").alias("logp"), F.max("log_rest").alias("log_rest")).toArrow()
@@ -187,10 +186,6 @@ class HashArrays:
         two = np.where(np.isnan(two), self._found(1, b, self.rests[1], 0.0) + one, two)
         return self._found(2, a | (b << 21), self.rests[2], 0.0) + two
 
-    def filled(self) -> HashArrays:
-        """With nothing missing among the seen trigrams, so that nearly all lookups are one search."""
-        return self
-
 
 def _slot_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
