@@ -28,7 +28,7 @@ from pyspark.sql.window import Window
 
 from tidemart.llm import textbytes
 from tidemart.llm.components import components
-from tidemart.llm.tables import settled
+from tidemart.llm.tables import dropped, settled
 
 # Slots of the frequency sketch: a fixed size, so it may be sent to every task.
 SLOTS = 1 << 16
@@ -271,13 +271,16 @@ def linked(documents: DataFrame, *, words: int = 5, num: int = 80, den: int = 10
             first = [F.slice(f"{p}{x}", 1, F.greatest(_reach(F.col(f"n{x}"), F.col(f"n{y}"), num, den), F.lit(0)).cast("int")) for x, y in ("ab", "ba")]
             near = near.where(F.arrays_overlap(*first))
         near = settled(near.select("a", "b"), "near")
+        dropped(few)
         full = mine.join(near.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key")
         full = settled(full.mapInArrow(_set_task(words, levels, num, den, whole=True), "key long, n long, tokens array<long>"), "sets")
         for side in "ab":
             near = near.join(full.select(F.col("key").alias(side), F.col("tokens").alias(f"{side}_tokens")), side)
         common = F.size(F.array_intersect("a_tokens", "b_tokens")).cast("long")
         union = F.size("a_tokens").cast("long") + F.size("b_tokens") - common
-        return settled(near.where(common * den >= union * num).select("a", "b"), "links")
+        found = settled(near.where(common * den >= union * num).select("a", "b"), "links")
+        dropped(full)
+        return found
 
     def close(x: tuple[Column, Column], y: tuple[Column, Column]) -> Column:
         """May a token at these (size, place) be the first that two similar sets share?"""
@@ -302,7 +305,10 @@ def linked(documents: DataFrame, *, words: int = 5, num: int = 80, den: int = 10
     near = close((F.col("na"), F.col("posa")), (F.col("nb"), F.col("posb")))
     rest = crossing.join(left, ["token", "ga"]).join(right, ["token", "gb"]).where(near)
     rest = rest.select(F.least("keya", "keyb").alias("a"), F.greatest("keya", "keyb").alias("b")).distinct()
-    more = links(settled(rest, "pairs"))
+    rest = settled(rest, "pairs")
+    dropped(postings, lists)
+    more = links(rest)
+    dropped(texts)
     whole = components(first.unionByName(more)) if more.limit(1).count() else groups
 
     member = names.select("key", "least").join(whole.withColumnRenamed("node", "key"), "key", "left")

@@ -20,11 +20,19 @@ def settled(rows: DataFrame, label: str) -> DataFrame:
     spark = rows.sparkSession
     files = fresh_folder(spark, label)
     rows.write.parquet(files)
+    # What was shuffled for it is not needed any more, but stays on the executors' disks until the
+    # driver's JVM finds that out. An operator of many steps would pile up all of them.
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(rows.schema).parquet(files)
 
 
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def dropped(*tables: DataFrame) -> None:
+    """Delete settled tables that nothing will read again."""
+    for rows in tables:
+        jvm, context = rows.sparkSession._jvm, rows.sparkSession.sparkContext
+        for folder in {f.rsplit("/", 1)[0] for f in rows.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 _SHIPPED: set[str] = set()
