@@ -19,6 +19,7 @@ them, become byte pieces, so decoding returns every text exactly.
 from __future__ import annotations
 
 import itertools
+from array import array
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
 
@@ -35,8 +36,8 @@ SPACE, MARK = " ", "▁"  # in texts, and in the vocabulary
 NEVER = -(1 << 60)  # the score of what cannot be
 # A piece costs SCALE * ln(rank + FLAT); a byte piece costs as much as the rarest piece, and half again.
 SCALE, FLAT = 1000, 300
-_WORDS_HELD = 300_000  # words remembered, and as many older ones
-_SIDE_BY_SIDE = 40  # words of up to so many characters are cut side by side
+_WORDS_HELD = 500_000  # words remembered, and as many older ones
+_SIDE_BY_SIDE = (7, 10, 14, 40)  # words of up to so many characters are cut side by side
 
 
 class Vocabulary:
@@ -65,12 +66,17 @@ class Vocabulary:
         if inner:
             raise ValueError(f"pieces with an inner space, such as {inner[0]!r}: words are not independent")
         self.longest = max(map(len, self.pieces), default=1)
-        # Beginnings of pieces that are none themselves lead on, with nothing to add.
-        self.table: dict[str, tuple[int, int] | None] = {p[:n]: None for p in self.pieces for n in range(1, len(p))} | self.pieces
         self.byte_score = -round(1.5 * SCALE * np.log(rank + FLAT))
-        self.scores = {i: s for s, i in self.pieces.values()} | dict.fromkeys(self.bytes, self.byte_score)
-        self._known: dict[str, list[int]] = {}
-        self._older: dict[str, list[int]] = {}
+        self.scores = np.full(size, self.byte_score, np.int64)
+        for value, i in self.pieces.values():
+            self.scores[i] = value
+        self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
+
+    @cached_property
+    def table(self) -> dict[str, tuple[int, int] | None]:
+        """The pieces, and their beginnings: those that are none themselves lead on, with nothing to add."""
+        return {p[:n]: None for p in self.pieces for n in range(1, len(p))} | self.pieces
 
     def forward(self, text: str, start: int = 0, stop: int | None = None) -> tuple[list[int], list]:
         """Best sums from ``start`` to every position, by pieces that begin before ``stop``; and the last pieces."""
@@ -112,29 +118,20 @@ class Vocabulary:
         out.reverse()
         return out
 
-    def word(self, text: str) -> list[int]:
-        """The ids of a word, which is cut as if it stood alone. The latest words are remembered."""
-        known = self._known.get(text)
-        if known is None:
-            known = self._older.get(text)
-            if known is None:
-                known = self.trace(self.forward(text)[1], 0, len(text))
-            self._remember({text: known})
-        return known
-
-    def _remember(self, found: dict[str, list[int]]) -> None:
+    def _remember(self, found: dict[str, bytes]) -> None:
+        """The latest words are remembered: as many as are held, and before them as many older ones."""
         if len(self._known) + len(found) > _WORDS_HELD:
             self._older, self._known = self._known, {}
         self._known.update(found)
 
     def encode(self, text: str) -> list[int]:
         """A whole text, or a part of one between two cuts."""
-        return self.encode_all([text])[0]
+        return np.frombuffer(self.encode_all([text])[0], np.int32).tolist()
 
-    def encode_all(self, texts: list[str]) -> list[list[int]]:
-        """Whole texts; the words that are new among them are cut side by side."""
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Whole texts, their ids as packed int32; the words that are new among them are cut side by side."""
         cut = [words(t) for t in texts]
-        found: dict[str, list[int]] = {}
+        found: dict[str, bytes] = {}
         new = []
         for word in set(itertools.chain.from_iterable(cut)):
             ids = self._known.get(word) or self._older.get(word)
@@ -142,11 +139,14 @@ class Vocabulary:
                 new.append(word)
             else:
                 found[word] = ids
-        short = [w for w in new if len(w) <= _SIDE_BY_SIDE]
-        found.update(zip(short, self._cut_all(short), strict=True))
-        found.update((w, self.trace(self.forward(w)[1], 0, len(w))) for w in new if len(w) > _SIDE_BY_SIDE)
-        self._remember({w: found[w] for w in new})
-        return [list(itertools.chain.from_iterable(map(found.__getitem__, ws))) for ws in cut]
+        cuts = {w: self.trace(self.forward(w)[1], 0, len(w)) for w in new if len(w) > _SIDE_BY_SIDE[-1]}
+        for least, most in itertools.pairwise((0, *_SIDE_BY_SIDE)):
+            alike = [w for w in new if least < len(w) <= most]
+            cuts.update(zip(alike, self._cut_all(alike), strict=True))
+        fresh = {w: array("i", ids).tobytes() for w, ids in cuts.items()}
+        found.update(fresh)
+        self._remember(fresh)
+        return [b"".join(map(found.__getitem__, ws)) for ws in cut]
 
     @cached_property
     def _tree(self) -> tuple[np.ndarray, ...]:
@@ -213,7 +213,7 @@ class Vocabulary:
         return out
 
     def score(self, ids) -> int:
-        return sum(self.scores[i] for i in ids)
+        return int(self.scores[np.array(ids, np.int64)].sum())
 
     def matrix(self, text: str, size: int) -> np.ndarray:
         """Best sums of a chunk of ``size`` characters, from entering at j to leaving at size + k.
@@ -232,7 +232,7 @@ class Vocabulary:
             # All paths pass through the first and the last cut: only the ends depend on the states.
             first, last = cuts[0], cuts[-1]
             head = np.array([self.forward(text[:first], j)[0][first] for j in range(states)])
-            middle = sum(self.score(self.word(w)) for w in words(text[first:last]))
+            middle = self.score(self.encode(text[first:last]))
             best, _ = self.forward(text[last:], 0, size - last)
             tail = np.full(states, NEVER, np.int64)
             reach = min(states, len(text) - size + 1)
@@ -368,10 +368,11 @@ def _encode_task(path: str):
         for batch in batches:
             for start in range(0, len(batch), 256):
                 part = batch.slice(start, 256)
-                texts = part.column("text").to_pylist()
-                found = v.encode_all([t or "" for t in texts])
-                ids = [None if t is None else x for t, x in zip(texts, found, strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
+                found = v.encode_all([t or "" for t in part.column("text").to_pylist()])
+                ends = np.cumsum([0, *[len(x) // 4 for x in found]])
+                flat = pa.array(np.frombuffer(b"".join(found), np.int32))
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat, mask=part.column("text").is_null())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids], names=["doc_id", "ids"])
 
     return task
 
@@ -409,8 +410,9 @@ def _decode_task(path: str):
         for batch in batches:
             for start in range(0, len(batch), 256):
                 part = batch.slice(start, 256)
-                texts = [None if x is None else v.decode(x) for x in part.column("ids").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("ids"), pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
+                ids = part.column("ids")
+                texts = [v.decode(x.values.to_numpy().tolist()) if x.is_valid else None for x in ids]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids, pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
 
     return task
 
