@@ -298,8 +298,16 @@ def linked(documents: DataFrame, *, words: int = 5, num: int = 80, den: int = 10
     lists = lists.select("token", "key", "n", "pos", F.coalesce("component", "key").alias("group"))
     several = lists.groupBy("token").agg((F.min("group") < F.max("group")).alias("several")).where("several")
     lists = settled(lists.join(several.select("token"), "token"), "meeting")
-    met = lists.select("token", "group").distinct()
-    crossing = met.alias("x").join(met.alias("y"), F.expr("x.token = y.token and x.group < y.group"))
+    # Groups meet at a token only if their sizes and first places there leave room for a similar pair.
+    met = lists.groupBy("token", "group").agg(F.min("pos").alias("pos"), F.min("n").alias("lo"), F.max("n").alias("hi"))
+
+    def room(x: str, y: str) -> Column:
+        hi, lo = F.col(f"{x}.hi"), F.col(f"{y}.lo")
+        reach = hi - F.ceil((hi + lo) * num / F.lit(float(num + den)) - 1e-9) + 1
+        return (F.col(f"{x}.pos") < reach) & (hi * den >= lo * num)
+
+    apart = F.expr("x.token = y.token and x.group < y.group")
+    crossing = met.alias("x").join(met.alias("y"), apart & room("x", "y") & room("y", "x"))
     crossing = crossing.select(F.col("x.token").alias("token"), F.col("x.group").alias("ga"), F.col("y.group").alias("gb"))
     left, right = (lists.select("token", F.col("group").alias(f"g{x}"), *[F.col(c).alias(f"{c}{x}") for c in ("key", "n", "pos")]) for x in "ab")
     near = close((F.col("na"), F.col("posa")), (F.col("nb"), F.col("posb")))
