@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemart.llm import jaccard, language, pieces, quality
+from tidemart.llm import jaccard, language, pieces, quality, textbytes
 from tidemart.llm.components import components
 from tidemart.llm.queries import QUERIES, held_out
 
@@ -76,6 +76,24 @@ def test_chain_of_near_copies(shipped):
     assert joined(frame, words=3, num=90) == linked(rows, 3, 90)
 
 
+def test_frequency_class_depends_on_the_words_alone():
+    """Equal passages at both ends of a block of 2 MB, of few words that are all common."""
+    random.seed(11)
+    vocabulary = [f"w{i}" for i in range(200)]
+    passage = random.choices(vocabulary, k=3_000)
+    texts = [" ".join(t).encode() for t in (passage, random.choices(vocabulary, k=430_000), passage)]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    assert 1_800_000 < len(data) <= textbytes.BLOCK_BYTES
+    slots = np.zeros(jaccard.SLOTS)
+    np.add.at(slots, jaccard._slot(jaccard.word_hashes(data, offsets)[0]), 1)
+    common = (jaccard.word_levels(slots * 1_000), np.zeros(1 << (jaccard.FREQUENT_BITS - 6), np.uint64))
+    (tokens, classes), _, (same, others) = jaccard.shingle_sets(data, offsets, 3, common)
+    assert (tokens == same).all() and (classes == others).all()
+    for order in range(jaccard.ORDERS):
+        assert (jaccard.prefix(tokens, classes, order, 90, 100) == jaccard.prefix(same, others, order, 90, 100)).all()
+
+
 def test_join_of_odd_rows(odd_documents):
     rows = odd_documents.select(F.col("doc_id").alias("id"), "text", "key", "token")
     assert joined(rows, words=3, num=90) == linked([(r.id, r.text) for r in rows.collect()], 3, 90)

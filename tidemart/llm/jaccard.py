@@ -32,6 +32,8 @@ from tidemart.llm.tables import dropped, settled
 
 # Slots of the frequency sketch: a fixed size, so it may be sent to every task.
 SLOTS = 1 << 16
+# Levels of words are whole parts of a power of two, so that sums do not depend on what stands before them.
+LEVEL_PARTS = 100
 # Shingles are of one frequency class within so many powers of two.
 CLASS_BITS = 3
 # Tokens that more classes hold are frequent; they are remembered by so many bits of theirs.
@@ -51,6 +53,11 @@ def _slot(hashes: np.ndarray) -> np.ndarray:
     return (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
 
 
+def word_levels(slots: np.ndarray) -> np.ndarray:
+    """How common each slot's words are, in parts of a power of two; 0 up to the median slot."""
+    return np.rint(LEVEL_PARTS * np.log2(np.maximum(slots / max(1.0, float(np.median(slots))), 1.0))).astype(np.int64)
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int, common: tuple[np.ndarray, np.ndarray] | None = None) -> list:
     """The sorted distinct shingle hashes of each text. Fewer words than ``n``: all of them are one shingle.
 
@@ -64,10 +71,10 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int, common: tuple[np
         rolled[: len(hashes) - k] = textbytes.mixed(rolled[: len(hashes) - k] * textbytes.BASE + hashes[k:])
     if common is not None:
         # A shingle of common words is expected to be common: the logs add up.
-        logs = np.concatenate([[0.0], np.cumsum(common[0][_slot(hashes)])])
-        expected = np.zeros(len(hashes))
+        logs = np.concatenate([[0], np.cumsum(common[0][_slot(hashes)], dtype=np.int64)])
+        expected = np.zeros(len(hashes), np.int64)
         expected[: max(len(hashes) - n + 1, 0)] = logs[n:] - logs[: len(logs) - n] if len(hashes) >= n else 0
-        classes = np.minimum(expected / CLASS_BITS, 31).astype(np.uint64)
+        classes = np.minimum(expected // (CLASS_BITS * LEVEL_PARTS), 31).astype(np.uint64)
         classes[_set_in(common[1], FREQUENT_BITS, rolled)] += np.uint64(32)
         for a, b in zip(at[:-1], at[1:], strict=True):
             if b - a >= n:
@@ -233,7 +240,7 @@ def linked(documents: DataFrame, *, words: int = 5, num: int = 80, den: int = 10
     slots = np.zeros(SLOTS)
     for slot, n in found.where("slot is not null").groupBy("slot").agg(F.sum("n")).collect():  # at most SLOTS rows
         slots[slot] = n
-    words_level = np.log2(np.maximum(slots / max(1.0, float(np.median(slots))), 1.0)).astype(np.float32)
+    words_level = word_levels(slots)
     # A first round of prefixes shows which of their tokens many classes hold; those go behind all others.
     send = spark.sparkContext.broadcast
 
