@@ -125,3 +125,21 @@ def test_every_vector_is_indexed():
     assert leaves.shape == (2000, 4) and leaves.min() >= 0 and leaves.max() < forest.leaves
     everywhere = next(iter(forest.search(made[:1], 10**6)))
     assert sorted(everywhere) == list(range(forest.leaves))
+
+
+@pytest.mark.parametrize("n", [2_000, 6_000, 20_000])
+def test_recall_where_few_of_the_leaves_are_visited(shipped, monkeypatch, n):
+    """Small leaves and few probes to begin with: as in a large table, a fixed number would see a small share."""
+    monkeypatch.setattr(neighbours, "FITTED", 64)
+    made = vectors_of(n, 24, n)
+    made /= np.linalg.norm(made, axis=1, keepdims=True)
+    rows = shipped.createDataFrame([(i, v.tolist()) for i, v in enumerate(made)], "id long, v array<float>")
+    asked = rows.where(f"id % {n // 200} = 0")
+    found = [tuple(r) for r in neighbours.nearest(rows, asked, 20, leaf_rows=32, probes=20, sample=1_000).collect()]
+    vectors = made.astype(np.float64)
+    truth = []
+    for q in range(0, n, n // 200):
+        scores = vectors @ vectors[q]
+        scores[q] = -np.inf
+        truth += [(q, r, int(i), scores[i]) for r, i in enumerate(np.argsort(-scores)[:20])]
+    assert recall(found, truth) >= 0.9

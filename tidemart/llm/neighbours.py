@@ -5,7 +5,9 @@ Vectors are ranked by inner product. For the trees each gets one more component
 
 The trees' splits are fitted on a sample of at most ``SAMPLE`` distinct vectors, every vector is indexed: it
 is routed down each tree to a leaf. A query searches all trees through one shared priority queue of
-branches, nearest boundary first, and so takes the most promising leaves of the whole forest. Queries and
+branches, nearest boundary first, and so takes the most promising leaves of the whole forest. How many it takes
+is fitted to the table: ``FITTED`` queries are answered by brute force, and the leaves it takes to find ``RECALL``
+of their neighbours are what every query visits. Queries and
 vectors meet by leaf; candidates are ranked there exactly, in double precision, and a leaf hands on its
 best ``k`` a query.
 
@@ -30,7 +32,10 @@ from tidemart.llm.tables import settled
 SAMPLE = 20_000  # distinct vectors the splits are fitted on
 TREES = 12
 LEAF_ROWS = 256  # about so many sampled vectors a leaf
-PROBES = 200  # leaves a query visits in the whole forest
+PROBES = 200  # leaves a query visits in the whole forest at least
+RECALL = 0.95  # of the fitted queries' neighbours are in the leaves visited
+FITTED = 256  # queries answered by brute force
+VISITS = 50_000  # are handed on together
 PART_ROWS = 20_000
 SEED = 7
 
@@ -141,8 +146,9 @@ def _route_task(shared, width: int):
 def _search_task(shared, width: int, probes: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, len(batch), 256):
-                part = batch.slice(start, 256)
+            step = max(1, min(256, VISITS // probes))
+            for start in range(0, len(batch), step):
+                part = batch.slice(start, step)
                 visits = list(shared.value.search(_matrix(part.column("v"), width), probes))
                 times = [len(x) for x in visits]
                 row = pa.array(np.repeat(np.arange(len(part)), times))
@@ -185,6 +191,77 @@ def _rank_task(width: int, k: int):
     return task
 
 
+def _exact_task(shared, asked, width: int, k: int):
+    """Of the task's vectors each fitted query's best by exact inner products, with their leaves."""
+
+    def best_of(parts: list[tuple]) -> tuple:
+        ids, scores, leaves = (np.concatenate(c) for c in zip(*parts, strict=True))
+        best = np.lexsort((ids, -scores))[:k]
+        return ids[best], scores[best], leaves[best]
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, points = asked.value
+        found: list[tuple | None] = [None] * len(own)
+        for batch in batches:
+            if not len(batch):
+                continue
+            rows = _matrix(batch.column("v"), width)
+            lists = batch.column("ids").combine_chunks() if isinstance(batch.column("ids"), pa.ChunkedArray) else batch.column("ids")
+            starts, ids = lists.offsets.to_numpy(), lists.values.to_numpy()
+            leaves = shared.value.leaves_of(rows)
+            for q, row in enumerate(points @ rows.T):
+                least = np.partition(row, len(row) - k - 1)[len(row) - k - 1] if len(row) > k + 1 else -np.inf
+                near = np.flatnonzero(row >= least)
+                of = np.repeat(near, starts[near + 1] - starts[near])
+                candidates = np.concatenate([ids[starts[r] : starts[r + 1]] for r in near])
+                other = candidates != own[q]
+                new = (candidates[other], row[of][other], leaves[of][other])
+                found[q] = best_of([new] if found[q] is None else [found[q], new])
+        for q, one in enumerate(found):
+            if one is not None:
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(one[0]), q)), pa.array(one[0]), pa.array(one[1]), pa.array(list(one[2]), pa.list_(pa.int64()))], names=["q", "vec_id", "score", "leaves"])
+
+    return task
+
+
+def _needed_task(shared, asked, probes: int):
+    """For each true neighbour of a fitted query, how many leaves the query visits until it finds it."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for q, lists in zip(batch.column("q").to_pylist(), batch.column("leaves").to_pylist(), strict=True):
+                visits = next(iter(shared.value.search(asked.value[1][q : q + 1], probes)))
+                turn = np.empty(probes, np.int64)
+                turn[visits] = np.arange(1, probes + 1)
+                yield pa.RecordBatch.from_arrays([pa.array(turn[np.array(lists)].min(axis=1))], names=["needed"])
+
+    return task
+
+
+def fitted_probes(members: DataFrame, queries: DataFrame, shared, width: int, k: int, least: int) -> int:
+    """The leaves to visit so that ``RECALL`` of the neighbours of ``FITTED`` of the queries are found; ``least`` at least.
+
+    ``members`` are ``(ids, v)`` and ``queries`` are ``(query_id, v)``, both as ``nearest`` makes them.
+    """
+    leaves = shared.value.leaves
+    if leaves <= least:
+        return least
+    some = queries.orderBy(F.xxhash64("query_id", "v")).limit(FITTED).toArrow()
+    if not len(some):
+        return least
+    spark = members.sparkSession
+    asked = spark.sparkContext.broadcast((some.column("query_id").to_numpy(), _matrix(some.column("v").combine_chunks(), width)))
+    found = members.mapInArrow(_exact_task(shared, asked, width, k), "q long, vec_id long, score double, leaves array<long>")
+    order = Window.partitionBy("q").orderBy(F.col("score").desc(), "vec_id")
+    found = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    # Searches of all leaves take long in a large forest, so they are dealt out one by one.
+    lists = found.groupBy("q").agg(F.collect_list("leaves").alias("leaves")).repartition(16, "q")
+    needed = lists.mapInArrow(_needed_task(shared, asked, leaves), "needed long").toArrow().column("needed").to_numpy()
+    if not len(needed):
+        return least
+    return max(least, int(np.sort(needed)[int(np.ceil(RECALL * len(needed))) - 1]))
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, *, trees: int = TREES, leaf_rows: int = LEAF_ROWS, probes: int = PROBES, sample: int = SAMPLE) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for each query the ``k`` vectors of largest inner product found.
 
@@ -192,6 +269,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, *, trees: int =
     zero or hold a null or non-finite component, take no part; nor do vectors of another length than the most. A row whose
     id is the query's is no candidate. Ties go to smaller ids, scores are inner products of the
     given components in double precision. If nothing is usable there are no rows. Further columns are ignored.
+    At least ``probes`` leaves are visited, and as many more as the table needs.
     """
     spark = vectors.sparkSession
 
@@ -216,6 +294,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, *, trees: int =
 
     members = merged.mapInArrow(_route_task(forest, width), "leaf long, ids array<long>, v array<double>")
     asked = prepared(queries).where(F.size("v") == width).select(F.col("id").alias("query_id"), "v").distinct()
+    probes = fitted_probes(merged, asked, forest, width, k, probes)
     asked = asked.mapInArrow(_search_task(forest, width, probes), "leaf long, query_id long, v array<double>")
     if n > PART_ROWS:
         # Leaves are few (they come from the sample), so their parts are known to all tasks.
