@@ -118,3 +118,27 @@ def test_every_window_has_its_anchor():
     text, position, _, low, high = suffixes.anchors(np.frombuffer(b"".join(texts), np.uint8), offsets)
     covered = {(t, p - d) for t, p, a, b in zip(text, position, low, high, strict=True) for d in range(a, b + 1)}
     assert covered == {(i, s) for i, t in enumerate(texts) for s in range(len(t) - 99)}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_windows_of_crowded_grams(shipped, monkeypatch, seed):
+    """Grams of more than a few places meet window by window, with the same results."""
+    monkeypatch.setattr(suffixes, "CROWDED", 3)
+    rows = corpus(seed)
+    assert run(shipped, rows) == brute(rows)
+
+
+def test_a_common_passage_does_not_gather_its_surroundings(shipped, monkeypatch):
+    """One passage between texts that all differ: only equal windows meet, not all contexts of a gram."""
+    monkeypatch.setattr(suffixes, "CROWDED", 20)
+    random.seed(4)
+    passage = "".join(random.choices("abcdefgh", k=300))
+    rows = [(i, "".join(random.choices("abcdefgh", k=120)) + passage + "".join(random.choices("abcdefgh", k=120))) for i in range(200)]
+    made = shipped.createDataFrame(rows, "id long, text string").repartition(2)
+    crowded = suffixes.crowded_slots(made)
+    contexts = suffixes.contexts_of(made.selectExpr("id key", "id", "text"), crowded).where("ctx is not null")
+    counts = [r["count"] for r in contexts.groupBy("h").count().collect()]
+    assert crowded.any() and max(counts) <= 20
+    whole = suffixes.contexts_of(made.selectExpr("id key", "id", "text"), np.zeros_like(crowded)).where("ctx is not null")
+    assert max(r["count"] for r in whole.groupBy("h").count().collect()) > 100
+    assert results(suffixes.without_repeats(made).drop("kept")) == brute(rows)

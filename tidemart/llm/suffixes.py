@@ -10,8 +10,10 @@ Sorting every suffix of a corpus would shuffle it a hundredfold. Instead:
    Equal windows pick equal grams, so a window can repeat only if its anchor's gram does. Grams that occur
    once are left behind after a shuffle of 24 bytes for about every 35 bytes of text.
 3. Around each remaining anchor its context is cut out: all bytes of the windows that picked it. Equal
-   contexts are merged in the task that cuts them, so a passage in very many texts reaches the next
-   shuffle once per task.
+   contexts are merged in the batch of texts they are cut from, so a passage in very many texts reaches the
+   next shuffle once per batch. A gram that may have more than ``CROWDED`` places, by a sketch of all grams,
+   has its contexts cut up into windows: each is a context of one distance and meets only its equals, under
+   a hash of its own. Surroundings that differ go to different tasks.
 4. Contexts meet by gram. The suffixes to the right of the anchors and the reversed prefixes to their left
    are sorted: multikey quicksort on eight-byte characters down to ``SHALLOW`` bytes, then a blind trie for
    each group that is still equal there. Two windows at the same distance from their anchors are equal if
@@ -22,7 +24,7 @@ Sorting every suffix of a corpus would shuffle it a hundredfold. Instead:
 from __future__ import annotations
 
 from collections.abc import Iterator
-from hashlib import sha256
+from hashlib import blake2b, sha256
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +37,12 @@ SPAN = 100
 GRAM = 32
 REACH = SPAN - GRAM  # an anchor lies at most so far into its window
 SHALLOW = 40
-# Contexts are sorted together up to so many at a time; a gram's contexts are never parted.
+# Contexts are sorted together up to so many at a time; the contexts of one key are never parted.
 TOGETHER = 100_000
+# Grams of more places than this do not meet by gram, but window by window. Places are counted in slots, so
+# some rarer grams may go the same way; this changes no result.
+CROWDED = 100_000
+SLOT_BITS = 18
 _CONTEXT = "h long, id long, key long, at long, ctx binary"
 _CONTEXT_NAMES = ["h", "id", "key", "at", "ctx"]
 
@@ -114,33 +120,82 @@ def _often_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tail, given = batch.slice(len(batch) - 1), bool(keep[-1])
 
 
-def _context_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The contexts of a text's anchors; one seen before in the batch comes without its bytes."""
+def _slot(h: np.ndarray) -> np.ndarray:
+    return (h.view(np.uint64) & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)
+
+
+def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many of the task's places have grams of each slot."""
+    total = np.zeros(1 << SLOT_BITS, np.int64)
     for batch in batches:
-        first: dict[tuple, tuple] = {}
-        seen: list[tuple] = []
-        ids, keys = batch.column("id").to_pylist(), batch.column("key").to_pylist()
-        for i in range(len(batch)):
-            text = batch.column("text")[i].as_buffer()
-            text = memoryview(text) if text is not None else memoryview(b"")
-            marks = batch.column("marks")[i].values
-            id_, key = _order(ids[i]), keys[i]
-            for h, at in zip(marks.field("h").to_pylist(), marks.field("at").to_pylist(), strict=True):
-                position, low, high = at >> 16, (at >> 8) & 255, at & 255
-                if position - high < 0 or position - low + SPAN > len(text):
-                    continue  # of another text under the same key
-                same = (h, at & 0xFFFF, bytes(text[position - high : position - low + SPAN]))
-                mine = (id_, key, at)
-                other = first.setdefault(same, mine)
-                if other != mine:
-                    if mine < other:
-                        first[same], mine = mine, other
-                    seen.append((h, *mine, None))
-        made = [(h, *mine, ctx) for (h, _, ctx), mine in first.items()] + seen
-        for k in range(0, len(made), TOGETHER):
-            columns = zip(*made[k : k + TOGETHER], strict=True)
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=_CONTEXT_NAMES)
+        for _, data, offsets in textbytes.blocks(batch.column("text")):
+            total += np.bincount(_slot(anchors(data, offsets)[2]), minlength=len(total))
+    used = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["slot", "n"])
+
+
+def crowded_slots(rows: DataFrame) -> np.ndarray:
+    """For each slot: may one of its grams have more than ``CROWDED`` places in the texts?"""
+    counts = rows.select("text").mapInArrow(_count_task, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    found = counts.where(F.col("n") > CROWDED).toArrow()
+    out = np.zeros(1 << SLOT_BITS, bool)
+    out[found.column("slot").to_numpy()] = True
+    # As in tables.settled: the counts' shuffle need not stay on disk.
+    rows.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
+def _window_key(h: int, d: int, window: bytes) -> int:
+    return int.from_bytes(blake2b(window, digest_size=8, salt=(h & (1 << 64) - 1).to_bytes(8, "big"), person=bytes([d])).digest(), "big", signed=True)
+
+
+def _context_task(crowded):
+    """The contexts of a text's anchors; one seen before in the batch comes without its bytes.
+
+    Contexts of grams in ``crowded`` slots come as their windows, each with a key of its own for ``h``.
+    """
+
+    def merged(first: dict, seen: list, same: tuple, mine: tuple) -> None:
+        """Of equal contexts the earliest keeps its bytes."""
+        other = first.setdefault(same, mine)
+        if other != mine:
+            if mine < other:
+                first[same], mine = mine, other
+            seen.append((same[0], *mine, None))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first: dict[tuple, tuple] = {}
+            parted: dict[tuple, tuple] = {}
+            windows: dict[tuple, tuple] = {}
+            seen: list[tuple] = []
+            ids, keys = batch.column("id").to_pylist(), batch.column("key").to_pylist()
+            for i in range(len(batch)):
+                text = batch.column("text")[i].as_buffer()
+                text = memoryview(text) if text is not None else memoryview(b"")
+                marks = batch.column("marks")[i].values
+                id_, key = _order(ids[i]), keys[i]
+                hashes = marks.field("h").to_numpy()
+                many = crowded.value[_slot(hashes)].tolist()
+                for h, at, apart in zip(hashes.tolist(), marks.field("at").to_pylist(), many, strict=True):
+                    position, low, high = at >> 16, (at >> 8) & 255, at & 255
+                    if position - high < 0 or position - low + SPAN > len(text):
+                        continue  # of another text under the same key
+                    same = (h, at & 0xFFFF, bytes(text[position - high : position - low + SPAN]))
+                    merged(parted if apart else first, seen, same, (id_, key, at))
+            for (h, reach, ctx), (id_, key, at) in parted.items():
+                low, high = reach >> 8, reach & 255
+                for d in range(low, high + 1):
+                    window = ctx[high - d : high - d + SPAN]
+                    one = (d << 8) | d
+                    merged(windows, seen, (_window_key(h, d, window), one, window), (id_, key, (at >> 16 << 16) | one))
+            made = [(h, *mine, ctx) for x in (first, windows) for (h, _, ctx), mine in x.items()] + seen
+            for k in range(0, len(made), TOGETHER):
+                columns = zip(*made[k : k + TOGETHER], strict=True)
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=_CONTEXT_NAMES)
+
+    return task
 
 
 def _order(id_: int | None) -> int:
@@ -345,6 +400,16 @@ def _kept_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def contexts_of(originals: DataFrame, crowded: np.ndarray) -> DataFrame:
+    """``(h, id, key, at, ctx)``: the contexts of repeated grams, under the key by which they meet."""
+    crowded = originals.sparkSession.sparkContext.broadcast(crowded)
+    # All columns go each way, so that the texts are shuffled once and read again.
+    marks = originals.mapInArrow(_anchor_task, "h long, salt long, key long, at long").repartition("h", "salt")
+    marks = marks.sortWithinPartitions("h", "salt").mapInArrow(_often_task, "h long, key long, at long")
+    marks = marks.groupBy("key").agg(F.collect_list(F.struct("h", "at")).alias("marks"))
+    return originals.join(marks.hint("shuffle_hash"), "key").mapInArrow(_context_task(crowded), _CONTEXT)
+
+
 def without_repeats(documents: DataFrame) -> DataFrame:
     """``(id, n_bytes, n_removed, n_spans, kept_sha256, kept)`` for every row of ``documents (id long, text)``.
 
@@ -360,11 +425,7 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     spread = named.select("key", "id", "text").repartition("key")
     originals = spread.join(first.hint("shuffle_hash"), "key").select("key", "id", "text")
 
-    # All columns go each way, so that the texts are shuffled once and read again.
-    marks = originals.mapInArrow(_anchor_task, "h long, salt long, key long, at long").repartition("h", "salt")
-    marks = marks.sortWithinPartitions("h", "salt").mapInArrow(_often_task, "h long, key long, at long")
-    marks = marks.groupBy("key").agg(F.collect_list(F.struct("h", "at")).alias("marks"))
-    contexts = originals.join(marks.hint("shuffle_hash"), "key").mapInArrow(_context_task, _CONTEXT)
+    contexts = contexts_of(originals, crowded_slots(rows))
     # What is settled already goes its own way; it does not crowd in with its gram.
     spread_out = F.when(F.col("ctx").isNull(), F.col("key")).otherwise(F.lit(0))
     spans = contexts.repartition(F.col("h"), spread_out).sortWithinPartitions("h").mapInArrow(_repeat_task, "key long, start long, stop long")
