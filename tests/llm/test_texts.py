@@ -283,6 +283,22 @@ def test_model_follows_the_formulas(shipped):
         assert all(abs(got[g] - np.log(want[g])) < 1e-9 for g in want)
 
 
+def test_unseen_trigrams_never_read_as_seen(shipped):
+    """Many different characters: trigrams that share 22 bits of a hash with a seen one are still unseen."""
+    random.seed(3)
+    signs = [chr(0x4E00 + i) for i in range(3_000)]
+    rows = [("zh", "".join(random.choices(signs, k=2_000))) for _ in range(20)]
+    arrays = language.GramArrays(language.models(shipped.createDataFrame(rows, "lang string, text string")))
+    seen = arrays.keys[3]
+    assert len(seen) > 35_000
+    made = np.random.default_rng(3).integers(0x4E00, 0x4E00 + 3_000, (3, 20_000))
+    unseen = np.setdiff1d(made[0] | (made[1] << 21) | (made[2] << 42), seen)
+    hashes = [textbytes.mixed(x.astype(np.uint64)) >> np.uint64(42) for x in (seen, unseen)]
+    assert np.isin(hashes[1], hashes[0]).sum() > 50
+    assert (arrays.logp(unseen) == arrays._backed_off(unseen).astype(np.float32)).all()
+    assert not np.isnan(arrays._found(3, seen, arrays.logs[3], np.nan)).any()
+
+
 def test_language_of_odd_rows(odd_documents, no_documents):
     out = language.identify(odd_documents, held_out(F.col("doc_id"))).collect()
     assert len(out) == odd_documents.count()

@@ -3,8 +3,8 @@
 Texts become streams of lower-case letters, with one mark for any run of other characters and one for the
 text's start. Trigrams are counted over all training texts in the tasks that read them; the models are built
 from the counts with joins and windows. For scoring, each order's probabilities are kept as a sorted
-array of hashes with a column of log probabilities for each language. A hash has ``SLOT_BITS`` bits, so the
-arrays that go to every task are bounded whatever the corpus. A text gets the language of lowest cross-entropy
+array of the packed characters with a column of log probabilities for each language. The arrays go to every
+task; they grow with the different trigrams of the training texts. A text gets the language of lowest cross-entropy
 a character; it is *accepted* where that entropy is no higher than nearly all training texts of
 that language have (``ACCEPTED`` of them), which is the calibrated rejection.
 """
@@ -23,7 +23,6 @@ from pyspark.sql.window import Window
 from tidemart.llm import textbytes
 from tidemart.llm.tables import settled
 
-SLOT_BITS = 22
 UNKNOWN = "und"
 ACCEPTED = 0.995
 # Alphabet size behind the unigrams: what a never seen character shares.
@@ -136,37 +135,32 @@ def models(training: DataFrame) -> DataFrame:
     return rows.select("lang", "n", "gram", F.log("p").alias("logp"), F.log(F.greatest("rest", F.lit(1e-9))).alias("log_rest"))
 
 
-def _slots(grams: np.ndarray) -> np.ndarray:
-    return (textbytes.mixed(grams.astype(np.uint64)) >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
-
-
-class HashArrays:
-    """The models of all languages: for each order a sorted array of hashes, and a row of logs for each."""
+class GramArrays:
+    """The models of all languages: for each order a sorted array of grams, and a row of logs for each."""
 
     def __init__(self, rows: DataFrame):
-        hashed = rows.mapInArrow(_slot_task, "lang string, n int, slot int, logp double, log_rest double")
-        # At most 2^SLOT_BITS rows for each language and order reach the driver, and then the tasks.
-        table = hashed.groupBy("lang", "n", "slot").agg(F.max("logp").alias("logp"), F.max("log_rest").alias("log_rest")).toArrow()
-        lang = np.array(table.column("lang").to_pylist(), object)
-        self.langs = sorted(set(lang))
-        number = np.array([self.langs.index(x) for x in lang], np.int64)
-        order, slots = table.column("n").to_numpy(), table.column("slot").to_numpy()
+        # A row for each language and gram reaches the driver, and then the tasks.
+        table = rows.select("lang", "n", "gram", F.col("logp").cast("float"), F.col("log_rest").cast("float")).toArrow()
+        lang = table.column("lang").combine_chunks().dictionary_encode()
+        names = lang.dictionary.to_pylist()
+        self.langs = sorted(names)
+        number = np.array([self.langs.index(x) for x in names], np.int64)[lang.indices.to_numpy()]
+        order, grams = table.column("n").to_numpy(), table.column("gram").to_numpy()
         logp, rest = table.column("logp").to_numpy(zero_copy_only=False), table.column("log_rest").to_numpy()
         self.keys, self.logs, self.rests = {}, {}, {}
         for n in (1, 2, 3):
             mine = order == n
-            self.keys[n] = np.unique(slots[mine])
-            at = np.searchsorted(self.keys[n], slots[mine])
+            self.keys[n] = np.unique(grams[mine])
+            at = np.searchsorted(self.keys[n], grams[mine])
             self.logs[n] = np.full((len(self.keys[n]), len(self.langs)), np.nan, np.float32)
             self.logs[n][at, number[mine]] = logp[mine]
             self.rests[n] = np.zeros((len(self.keys[n]), len(self.langs)), np.float32)
             self.rests[n][at, number[mine]] = rest[mine]
 
     def _found(self, n: int, grams: np.ndarray, values: np.ndarray, missing: float) -> np.ndarray:
-        slots = _slots(grams)
-        at = np.minimum(np.searchsorted(self.keys[n], slots), len(self.keys[n]) - 1)
+        at = np.minimum(np.searchsorted(self.keys[n], grams), len(self.keys[n]) - 1)
         out = values[at]
-        out[self.keys[n][at] != slots] = missing
+        out[self.keys[n][at] != grams] = missing
         return out
 
     def logp(self, grams: np.ndarray) -> np.ndarray:
@@ -187,15 +181,6 @@ class HashArrays:
         return self._found(2, a | (b << 21), self.rests[2], 0.0) + two
 
 
-def _slot_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        slots = pa.array(_slots(batch.column("gram").to_numpy()), pa.int32())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("lang"), batch.column("n").cast(pa.int32()), slots, batch.column("logp"), batch.column("log_rest")],
-            names=["lang", "n", "slot", "logp", "log_rest"],
-        )
-
-
 def _score_task(shared):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -240,7 +225,7 @@ def identify(documents: DataFrame, held_out: Column) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), held_out.alias("out")
     )
     training = rows.where(~F.coalesce("out", F.lit(True)) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
-    shared = documents.sparkSession.sparkContext.broadcast(HashArrays(models(training)))
+    shared = documents.sparkSession.sparkContext.broadcast(GramArrays(models(training)))
     asked = rows.select("doc_id", "lang", F.coalesce("out", F.lit(False)).alias("held_out"), "text")
     scored = settled(asked.mapInArrow(_score_task(shared), _SCORED), "scored")
     own = scored.where(~F.col("held_out") & (F.col("lang") == F.col("lang_pred")))
