@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import bitsliced, chat, jaccard, language, mixing, neighbours, pieces, quality, secrets, suffixes
+from tidemart.llm import bitsliced, chat, jaccard, language, mixing, neighbours, pieces, quality, secrets, spelling, suffixes
 from tidemart.llm.tables import given, ship
 
 NEIGHBOURS = 20
@@ -92,6 +92,10 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "cross_entropy", "accepted")
 
 
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.grouped(given(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text"))
+
+
 QUERIES: dict[str, CorpusQuery] = {
     "op1_secret_scans": CorpusQuery(op1_secret_scans),
     "op2_source_mixing": CorpusQuery(op2_source_mixing, mixing.MIX_SQL),
@@ -103,4 +107,5 @@ QUERIES: dict[str, CorpusQuery] = {
     "op8_suffix_dedup": CorpusQuery(op8_suffix_dedup),
     "op9_bit_sliced_topk": CorpusQuery(op9_bit_sliced_topk, bitsliced.TOP_SQL),
     "op10_language_id": CorpusQuery(op10_language_id),
+    "op13_spelling_variants": CorpusQuery(op13_spelling_variants),
 }
