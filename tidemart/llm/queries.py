@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import bitsliced, chat, jaccard, language, mixing, neighbours, pieces, quality, secrets, spelling, suffixes
+from tidemart.llm import bitsliced, chat, jaccard, language, mixing, neighbours, pieces, quality, secrets, spelling, suffixes, whitening
 from tidemart.llm.tables import given, ship
 
 NEIGHBOURS = 20
@@ -92,6 +92,14 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "cross_entropy", "accepted")
 
 
+COMPONENTS = 8
+
+
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = given(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"))
+    return whitening.whitened(rows, COMPONENTS).withColumnRenamed("id", "vec_id")
+
+
 def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.grouped(given(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text"))
 
@@ -107,5 +115,6 @@ QUERIES: dict[str, CorpusQuery] = {
     "op8_suffix_dedup": CorpusQuery(op8_suffix_dedup),
     "op9_bit_sliced_topk": CorpusQuery(op9_bit_sliced_topk, bitsliced.TOP_SQL),
     "op10_language_id": CorpusQuery(op10_language_id),
+    "op12_embedding_whitening": CorpusQuery(op12_embedding_whitening),
     "op13_spelling_variants": CorpusQuery(op13_spelling_variants),
 }
