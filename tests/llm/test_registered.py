@@ -20,7 +20,7 @@ KINDS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VA
 
 def test_all_are_registered():
     named = driver.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in named) == 1
     assert "pipeline" in named
 

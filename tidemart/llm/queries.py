@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import bitsliced, chat, jaccard, language, mixing, neighbours, pieces, quality, secrets, spelling, suffixes, whitening
+from tidemart.llm import bitsliced, chat, jaccard, language, mixing, neighbours, pieces, quality, secrets, setsketch, spelling, suffixes, whitening
 from tidemart.llm.tables import given, ship
 
 NEIGHBOURS = 20
@@ -92,6 +92,11 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "cross_entropy", "accepted")
 
 
+def op11_setsketch_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rows = given(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text")
+    return setsketch.near_duplicates(rows, words=4, num=80, den=100).withColumnRenamed("id", "doc_id")
+
+
 COMPONENTS = 8
 
 
@@ -115,6 +120,7 @@ QUERIES: dict[str, CorpusQuery] = {
     "op8_suffix_dedup": CorpusQuery(op8_suffix_dedup),
     "op9_bit_sliced_topk": CorpusQuery(op9_bit_sliced_topk, bitsliced.TOP_SQL),
     "op10_language_id": CorpusQuery(op10_language_id),
+    "op11_setsketch_dedup": CorpusQuery(op11_setsketch_dedup),
     "op12_embedding_whitening": CorpusQuery(op12_embedding_whitening),
     "op13_spelling_variants": CorpusQuery(op13_spelling_variants),
 }
