@@ -84,10 +84,17 @@ def met(held: DataFrame, sets_of: Callable[[DataFrame], DataFrame], num: int, de
 
 def _round(large: DataFrame, sets: DataFrame, num: int, den: int, done: list[DataFrame]) -> tuple[DataFrame, DataFrame]:
     """Links to the members of largest slack, and the smaller buckets of what may be similar besides."""
-    # Members of many large buckets make good pivots: their buckets then share one.
-    weight = large.groupBy("node").agg(F.sum("size").alias("weight"))
-    pivot = large.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node"))["node"].alias("pivot"))
-    asked = large.select("bucket", "node").join(pivot, "bucket").select("node", "pivot").distinct()
+    # Members of many large buckets make good pivots. A pivot need not be in the bucket: what is best for a bucket is handed on
+    # to those that its members are in besides, so that a group of copies mostly has one.
+    weight = large.groupBy("node").agg(F.sum("size").alias("weight")).withColumn("pivot", F.col("node"))
+    for _ in range(2):
+        best = large.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "pivot")).alias("best"))
+        weight = large.join(best, "bucket").groupBy("node").agg(F.max("best").alias("best")).select("node", "best.weight", "best.pivot")
+        weight = settled(weight, "weights")
+        done.append(weight)
+    best = large.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "pivot"))["pivot"].alias("pivot"))
+    asked = large.select("bucket", "node").join(best, "bucket").select("node", "pivot").distinct()
+    asked = asked.unionByName(asked.select(F.col("pivot").alias("node"), "pivot")).distinct()
     own = asked.join(sets, "node").join(sets.select(F.col("node").alias("pivot"), F.col("tokens").alias("given")), "pivot")
     differ = F.concat(F.array_except("tokens", "given"), F.array_except("given", "tokens"))
     own = own.select("pivot", "node", F.size("tokens").cast("long").alias("n"), differ.alias("differ"))
