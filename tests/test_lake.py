@@ -1,11 +1,14 @@
 import pytest
 from conftest import TINY
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tidemart import workspace
 from tidemart.schemas import RAW_EVENTS, SILVER_EVENT, silver_schema
 from tidemart.sources import given
 from tidemart.sources import messages as message_source
+from tidemart.sources.commits import Manifest
+from tidemart.sources.files import Store
 from tidemart.sources.lake import Lake
 from tidemart.streaming import pipeline
 
@@ -90,32 +93,107 @@ def test_forgotten_gold_tables_are_found_again(spark, lake):
     assert _content(opened) == [("2024-01-02", 2), ("2024-01-03", 3)]
 
 
-def test_switch_shows_old_or_new_rows_wherever_it_stops(spark, lake, monkeypatch):
-    lake.overwrite_gold(_days(spark, "2024-01-01"), "t")
-    name = lake.name("gold", "t")
-    steps = ["CREATE TABLE", "CREATE OR REPLACE VIEW"]
-    real = type(spark).sql
-    for step in steps:
+def _by_name(spark, lake):
+    return sorted((str(r.date), r.value) for r in spark.sql(f"SELECT date, value FROM {lake.name('gold', 't')}").collect())
+
+
+def _stopping(monkeypatch, owner, method, when):
+    """From now on the method stops the run when its arguments are like that."""
+    real = getattr(owner, method)
+
+    def stops(self, *args, **options):
+        if when(*args):
+            raise KeyboardInterrupt
+        return real(self, *args, **options)
+
+    monkeypatch.setattr(owner, method, stops)
 
-        def stopping(self, query, *a, step=step, **k):
-            if query.startswith(step) and "gold" in query:
-                raise KeyboardInterrupt(step)
-            return real(self, query, *a, **k)
 
+# Where an overwrite can stop, in order; from the second on its version is logged.
+STEPS = [
+    (Lake, "_parts", lambda *a: True),
+    (Manifest, "append", lambda *a: True),
+    (Lake, "_show", lambda *a: True),
+    (SparkSession, "sql", lambda q, *a: q.startswith("CREATE TABLE") and "gold_files" in q),
+    (SparkSession, "sql", lambda q, *a: q.startswith("ALTER TABLE")),
+    (SparkSession, "sql", lambda q, *a: q.startswith("CREATE OR REPLACE VIEW")),
+]
+
+
+@pytest.mark.parametrize("mode", ["replace", "dynamic"])
+def test_overwrite_shows_old_or_new_rows_wherever_it_stops(spark, lake, monkeypatch, mode):
+    lake.overwrite_gold(_days(spark, "2024-01-01", "2024-01-02"), "t")
+    old = [("2024-01-01", 1), ("2024-01-02", 1)]
+    for k, (owner, method, when) in enumerate(STEPS):
+        value = 10 + k
+        new = [("2024-01-02", value)] if mode == "replace" else [("2024-01-01", 1), ("2024-01-02", value)]
         with monkeypatch.context() as patched:
-            patched.setattr(type(spark), "sql", stopping)
+            _stopping(patched, owner, method, when)
             with pytest.raises(KeyboardInterrupt):
-                lake.overwrite_gold(_days(spark, "2024-01-02", value=2), "t")
-        assert [(str(r.date), r.value) for r in spark.sql(f"SELECT date, value FROM {name}").collect()] == [("2024-01-01", 1)]
+                lake.overwrite_gold(_days(spark, "2024-01-02", value=value), "t", mode)
+        assert _by_name(spark, lake) == old
         assert lake.tables("gold") == ["t"]
-    with monkeypatch.context() as patched:
-        patched.setattr(Lake, "append_entry", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
-        with pytest.raises(KeyboardInterrupt):
-            lake.overwrite_gold(_days(spark, "2024-01-02", value=2), "t")
-    assert [(str(r.date), r.value) for r in spark.sql(f"SELECT date, value FROM {name}").collect()] == [("2024-01-02", 2)]
-    assert lake.tables("gold") == ["t"]
+        # Once logged, the version is what a lake opened anew shows, by either way.
+        logged = k >= 2
+        opened = Lake(spark, lake.root, lake.prefix).create()
+        assert _content(opened) == _by_name(spark, opened) == (new if logged else old)
+        old = new if logged else old
     lake.overwrite_gold(_days(spark, "2024-01-02", "2024-01-03", value=3), "t", "dynamic")
-    assert _content(lake) == [("2024-01-02", 3), ("2024-01-03", 3)]
+    assert _content(lake)[-2:] == [("2024-01-02", 3), ("2024-01-03", 3)]
+
+
+def test_readers_of_an_old_version_are_not_disturbed(spark, lake):
+    """A dynamic overwrite adds folders; those a reader has open stay as they are."""
+    lake.overwrite_gold(_days(spark, "2024-01-01", "2024-01-02"), "t")
+    before = lake.read("gold", "t")
+    files = set(before.inputFiles())
+    lake.overwrite_gold(_days(spark, "2024-01-02", value=2), "t", "dynamic")
+    assert sorted((str(r.date), r.value) for r in before.collect()) == [("2024-01-01", 1), ("2024-01-02", 1)]
+    assert len(files & set(lake.read("gold", "t").inputFiles())) == 1
+
+
+def test_two_overwrites_at_once_both_take_effect(spark, lake, monkeypatch):
+    """Another run's version comes in while this one writes: the next is decided from what that left."""
+    lake.overwrite_gold(_days(spark, "2024-01-01", "2024-01-02", "2024-01-03"), "t")
+    real, other = Manifest.append, Lake(spark, lake.root, lake.prefix)
+
+    def late(self, make):
+        monkeypatch.setattr(Manifest, "append", real)
+        other.overwrite_gold(_days(spark, "2024-01-02", value=2), "t", "dynamic")
+        return real(self, make)
+
+    monkeypatch.setattr(Manifest, "append", late)
+    lake.overwrite_gold(_days(spark, "2024-01-03", value=3), "t", "dynamic")
+    assert _content(lake) == [("2024-01-01", 1), ("2024-01-02", 2), ("2024-01-03", 3)]
+
+
+def test_only_one_gets_a_number(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    assert store.create(f"{tmp_path}/x", "first") and not store.create(f"{tmp_path}/x", "second")
+    assert store.read(f"{tmp_path}/x") == "first"
+    assert [n for n in store.list(str(tmp_path)) if not n.endswith(".crc")] == ["x"]
+
+
+def test_manifest_stays_small(spark, tmp_path):
+    """Two hundred entries, a follower behind by fifty: what is kept is bounded, and adds up to the same."""
+    manifest, live = Manifest(spark, str(tmp_path / "m")), []
+    for k in range(200):
+        entry = {"add": [[f"v{k % 3}", f"c{k}"]], "job": ["j", k]}
+        live.append((f"v{k % 3}", f"c{k}"))
+        if k % 20 == 19:  # a seal
+            entry |= {"drop": live[:-1], "same": True, "generation": f"g{k}"}
+            live = live[-1:]
+        assert manifest.append(lambda state, e=entry: e) == k
+        if k % 10 == 9:
+            manifest.trim(8, passed=k - 50 if 100 < k < 160 else None)
+            opened = Manifest(spark, manifest.folder).state()
+            assert opened.live == live == manifest.state().live and opened.jobs == {"j": k}
+            assert len(Store(spark, manifest.folder).list(manifest.folder)) <= (62 if 100 < k < 160 else 12)
+    assert [e["version"] for e in manifest.entries(195, 199)] == [196, 197, 198, 199]
+    with pytest.raises(LookupError, match="no longer kept"):
+        manifest.entries(150, 199)
+    assert [s.version for s in manifest.history()] == list(range(191, 200))
+    assert manifest.history()[-1].live == live
 
 
 def test_vacuum_keeps_what_is_shown(spark, lake):
@@ -129,6 +207,28 @@ def test_vacuum_keeps_what_is_shown(spark, lake):
         lake.vacuum_gold("t", 0)
 
 
+def test_vacuum_leaves_running_writes_alone(spark, lake, monkeypatch):
+    lake.overwrite_gold(_days(spark, "2024-01-01"), "t")
+    real, seen = Manifest.append, []
+
+    def meanwhile(self, make):
+        seen.append(Lake(spark, lake.root, lake.prefix).vacuum_gold("t", 1))
+        return real(self, make)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(Manifest, "append", meanwhile)
+        lake.overwrite_gold(_days(spark, "2024-01-02", value=2), "t")
+    assert seen == [[]] and _content(lake) == [("2024-01-02", 2)]
+    # What a run left that never came to its entry goes once it is old enough.
+    with monkeypatch.context() as patched:
+        _stopping(patched, Manifest, "append", lambda *a: True)
+        with pytest.raises(KeyboardInterrupt):
+            lake.overwrite_gold(_days(spark, "2024-01-03"), "t")
+    assert len(lake.vacuum("gold", "t", 2)) == 0
+    assert len(lake.vacuum("gold", "t", 2, left_alone=-1.0)) == 1
+    assert len(lake.vacuum("gold", "t", 1)) == 1 and _content(lake) == [("2024-01-02", 2)]
+
+
 def test_streams_add_few_files(spark, lake, tmp_path):
     """Eight input files over thirty days: a batch adds at most a few files to each folder."""
     folder = str(tmp_path / "landing")

@@ -47,7 +47,8 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     )
     stream.add_argument("--id-order", choices=("key_first", "payload_first"), default="key_first")
     stream.add_argument("--every", help="time between batches (default: 30 seconds, 1 minute)")
-    stream.add_argument("--files-per-trigger", type=int, help="most files in one batch")
+    stream.add_argument("--files-per-trigger", type=int, help="most files, or commits of raw events, in one batch")
+    stream.add_argument("--single-query", action="store_true", help="one query for all silver tables")
     stream.add_argument(
         "--kafka-option", action="append", default=[], metavar="NAME=VALUE",
         help="reader option, e.g. maxOffsetsPerTrigger=50000000 or minPartitions=2000",
@@ -65,9 +66,12 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
                 "--user-only", action="store_true", help="join on the user alone: over n days up to n x n rows a user"
             )
 
-    vacuum = commands.add_parser("vacuum", parents=[common], help="delete old versions of the gold tables")
+    vacuum = commands.add_parser("vacuum", parents=[common], help="delete old versions of all tables")
     vacuum.add_argument("--keep", type=int, required=True, help="versions of each table that stay")
 
+    seal = commands.add_parser("seal", parents=[common], help="rewrite days of silver, and raw events, into large files")
+    seal.add_argument("--before", default="today", help="YYYY-MM-DD, today or yesterday: this day and later ones are left alone")
+
     generate = commands.add_parser("generate", parents=[common, channel], help="make events")
     generate.add_argument("--num-events", type=int, default=1000)
     generate.add_argument("--delay", type=float, default=0.1, help="seconds between events")
@@ -91,7 +95,7 @@ def _stream(lake: Lake, options: argparse.Namespace) -> None:
             source = messages.from_files(
                 lake.spark, options.landing, max_files_per_trigger=options.files_per_trigger
             )
-    choices = {"id_order": options.id_order, "files": options.files_per_trigger}
+    choices = {"id_order": options.id_order, "files": options.files_per_trigger, "single": options.single_query}
     if options.once:
         pipeline.drain(lake, source, options.job_type, **choices)
     else:
@@ -112,6 +116,15 @@ def _gold(lake: Lake, options: argparse.Namespace) -> None:
 def _vacuum(lake: Lake, options: argparse.Namespace) -> None:
     for plan in jobs.JOBS.values():
         log.info("%s: deleted %s", plan.table, lake.vacuum_gold(plan.table, options.keep) or "nothing")
+    for layer, table in pipeline.TABLES:
+        log.info("%s: deleted %s", table, lake.vacuum(layer, table, options.keep) or "nothing")
+
+
+def _seal(lake: Lake, options: argparse.Namespace) -> None:
+    day = jobs.target_day(options.before)
+    for layer, table in pipeline.TABLES:
+        found = lake.seal(layer, table, day if layer == "silver" else None)
+        log.info("%s: sealed %s", table, found or "nothing")
 
 
 def _pairs(options: argparse.Namespace) -> dict[str, str]:
@@ -184,6 +197,8 @@ def main(arguments: list[str] | None = None) -> None:
         _stream(lake, options)
     elif options.command == "vacuum":
         _vacuum(lake, options)
+    elif options.command == "seal":
+        _seal(lake, options)
     elif options.command == "generate":
         _generate(lake, options)
     else:

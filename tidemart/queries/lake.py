@@ -82,18 +82,19 @@ def _restart(spark, folder):
 
 
 def _bronze_stream(spark, folder):
-    """Bronze read as a stream, kept as files by its own query, and counted per type."""
+    """Bronze followed as a stream, commit by commit, kept as files, and counted per type."""
     lake = drained(spark, folder)
-    copy = fresh_folder(spark, "bronze-copy")
-    query = (
-        lake.stream("bronze", "raw_events")
-        .writeStream.format("parquet")
-        .option("checkpointLocation", f"{copy}/checkpoint")
-        .trigger(**pipeline.DRAIN)
-        .start(f"{copy}/rows")
-    )
-    query.awaitTermination()
-    rows = spark.read.parquet(f"{copy}/rows")
+    copy, got = fresh_folder(spark, "bronze-copy"), [None]
+
+    def take(newest):
+        parts, upto = lake.added("bronze", "raw_events", got[0], newest)
+        if parts:
+            lake.rows_of("bronze", "raw_events", parts).write.mode("overwrite").parquet(f"{copy}/upto={upto}")
+        got[0] = upto
+
+    job = f"copy-{uuid.uuid4().hex[:10]}"
+    lake.follow("bronze", "raw_events", take, job=job, trigger=pipeline.DRAIN, commits=2).awaitTermination()
+    rows = spark.read.parquet(copy)
     return rows.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("events"),
         F.min("offset").alias("first_offset"),

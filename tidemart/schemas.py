@@ -161,15 +161,6 @@ RUN_LOG = T.StructType(
     ]
 )
 
-GOLD_VERSIONS = T.StructType(
-    [
-        T.StructField("table_name", TEXT),
-        T.StructField("folder", TEXT),
-        T.StructField("columns", TEXT),
-        T.StructField("published", INSTANT),
-    ]
-)
-
 
 def payload_schema(event_type: str) -> T.StructType:
     """What silver parses: the id comes from bronze and the type is already known."""
