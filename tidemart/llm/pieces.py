@@ -25,6 +25,7 @@ from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +37,10 @@ SPACE, MARK = " ", "▁"  # in texts, and in the vocabulary
 NEVER = -(1 << 60)  # the score of what cannot be
 # A piece costs SCALE * ln(rank + FLAT); a byte piece costs as much as the rarest piece, and half again.
 SCALE, FLAT = 1000, 300
-_WORDS_HELD = 500_000  # words remembered, and as many older ones
+# A worker's memory of words: so many bytes, and as many of older ones. Longer words are not remembered.
+_HELD_BYTES, _WORD_BYTES, _LONGEST_HELD = 24_000_000, 200, 64
+_TOGETHER = 8192  # words that are cut side by side at once
+_SLICE_CHARS, _SLICE_CHUNKS = 500_000, 16  # what a task works on at once
 _SIDE_BY_SIDE = (7, 10, 14, 40)  # words of up to so many characters are cut side by side
 
 
@@ -72,6 +76,7 @@ class Vocabulary:
             self.scores[i] = value
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
+        self._held = 0
 
     @cached_property
     def table(self) -> dict[str, tuple[int, int] | None]:
@@ -119,10 +124,15 @@ class Vocabulary:
         return out
 
     def _remember(self, found: dict[str, bytes]) -> None:
-        """The latest words are remembered: as many as are held, and before them as many older ones."""
-        if len(self._known) + len(found) > _WORDS_HELD:
-            self._older, self._known = self._known, {}
-        self._known.update(found)
+        """The latest words are remembered: as many bytes as are held, and before them as many of older ones."""
+        for word, ids in found.items():
+            if len(word) > _LONGEST_HELD:
+                continue
+            own = _WORD_BYTES + len(word) + len(ids)
+            if self._held + own > _HELD_BYTES:
+                self._older, self._known, self._held = self._known, {}, 0
+            self._known[word] = ids
+            self._held += own
 
     def encode(self, text: str) -> list[int]:
         """A whole text, or a part of one between two cuts."""
@@ -139,11 +149,12 @@ class Vocabulary:
                 new.append(word)
             else:
                 found[word] = ids
-        cuts = {w: self.trace(self.forward(w)[1], 0, len(w)) for w in new if len(w) > _SIDE_BY_SIDE[-1]}
+        fresh = {w: array("i", self.trace(self.forward(w)[1], 0, len(w))).tobytes() for w in new if len(w) > _SIDE_BY_SIDE[-1]}
         for least, most in itertools.pairwise((0, *_SIDE_BY_SIDE)):
             alike = [w for w in new if least < len(w) <= most]
-            cuts.update(zip(alike, self._cut_all(alike), strict=True))
-        fresh = {w: array("i", ids).tobytes() for w, ids in cuts.items()}
+            for at in range(0, len(alike), _TOGETHER):
+                some = alike[at : at + _TOGETHER]
+                fresh.update((w, array("i", ids).tobytes()) for w, ids in zip(some, self._cut_all(some), strict=True))
         found.update(fresh)
         self._remember(fresh)
         return [b"".join(map(found.__getitem__, ws)) for ws in cut]
@@ -315,29 +326,52 @@ def _chunk_task(path: str, size: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reach = vocabulary(path).longest
         for batch in batches:
-            for doc_id, sha, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "sha", "text")), strict=True):
-                starts = range(0, len(text), size)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([doc_id] * len(starts), pa.int64()), pa.array([sha] * len(starts)), pa.array(range(len(starts)), pa.int64()),
-                        pa.array([min(size, len(text) - a) for a in starts], pa.int64()), pa.array([text[a : a + size + reach] for a in starts]),
-                    ],
-                    names=["doc_id", "sha", "n", "size", "text"],
-                )
+            for k in range(len(batch)):
+                doc_id, sha, text = (batch.column(c)[k].as_py() for c in ("doc_id", "sha", "text"))
+                starts = list(range(0, len(text), size))
+                for first in range(0, len(starts), _SLICE_CHUNKS):
+                    some = starts[first : first + _SLICE_CHUNKS]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([doc_id] * len(some), pa.int64()), pa.array([sha] * len(some)), pa.array([a // size for a in some], pa.int64()),
+                            pa.array([min(size, len(text) - a) for a in some], pa.int64()), pa.array([text[a : a + size + reach] for a in some]),
+                        ],
+                        names=["doc_id", "sha", "n", "size", "text"],
+                    )
 
     return task
 
 
+def _slices(batch: pa.RecordBatch, column: str, chars: int = _SLICE_CHARS) -> Iterator[pa.RecordBatch]:
+    """Runs of rows whose strings, or lists, in the column hold about so many entries; one longer row is a run of its own."""
+    sizes = pc.binary_length(batch.column(column)) if pa.types.is_string(batch.column(column).type) else pc.list_value_length(batch.column(column))
+    ends = np.cumsum(pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(batch):
+        stop = int(np.searchsorted(ends, (ends[start - 1] if start else 0) + chars, "right"))
+        stop = max(stop, start + 1)
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def _matrix_task(path: str):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for batch in batches:
-            made = [v.matrix(t, n).tobytes() for t, n in zip(batch.column("text").to_pylist(), batch.column("size").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("doc_id", "sha", "n")], pa.array(made, pa.binary())], names=["doc_id", "sha", "n", "matrix"])
+            for start in range(0, len(batch), _SLICE_CHUNKS):
+                part = batch.slice(start, _SLICE_CHUNKS)
+                made = [v.matrix(t, n).tobytes() for t, n in zip(part.column("text").to_pylist(), part.column("size").to_pylist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in ("doc_id", "sha", "n")], pa.array(made, pa.binary())], names=["doc_id", "sha", "n", "matrix"])
 
     return task
 
 
+def _packed(found: list[bytes], mask: pa.Array | None = None) -> pa.ListArray:
+    """Lists of ids from packed int32."""
+    ends = np.cumsum([0, *[len(x) // 4 for x in found]])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), np.int32)), mask=mask)
+
+
 def _scan_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(len(batch)):
@@ -354,8 +388,11 @@ def _trace_task(path: str):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for batch in batches:
-            ids = [v.between(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("text", "size", "enter", "leave")), strict=True)]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("doc_id", "sha", "n")], pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "sha", "n", "ids"])
+            for start in range(0, len(batch), _SLICE_CHUNKS):
+                part = batch.slice(start, _SLICE_CHUNKS)
+                each = zip(*(part.column(c).to_pylist() for c in ("text", "size", "enter", "leave")), strict=True)
+                ids = _packed([array("i", v.between(*x)).tobytes() for x in each])
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in ("doc_id", "sha", "n")], ids], names=["doc_id", "sha", "n", "ids"])
 
     return task
 
@@ -366,13 +403,9 @@ def _encode_task(path: str):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for batch in batches:
-            for start in range(0, len(batch), 256):
-                part = batch.slice(start, 256)
+            for part in _slices(batch, "text"):
                 found = v.encode_all([t or "" for t in part.column("text").to_pylist()])
-                ends = np.cumsum([0, *[len(x) // 4 for x in found]])
-                flat = pa.array(np.frombuffer(b"".join(found), np.int32))
-                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat, mask=part.column("text").is_null())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids], names=["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), _packed(found, part.column("text").is_null())], names=["doc_id", "ids"])
 
     return task
 
@@ -408,8 +441,7 @@ def _decode_task(path: str):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for batch in batches:
-            for start in range(0, len(batch), 256):
-                part = batch.slice(start, 256)
+            for part in _slices(batch, "ids"):
                 ids = part.column("ids")
                 texts = [v.decode(x.values.to_numpy().tolist()) if x.is_valid else None for x in ids]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids, pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
