@@ -61,7 +61,7 @@ def by_pivots(shipped, sets, buckets, num, den):
     sure, pairs = pivots.met(held, lambda nodes: frame.join(nodes, "node"), num, den)
     for a, b in sure.collect():
         assert a < b and den * len(sets[a] & sets[b]) >= num * len(sets[a] | sets[b])
-    links = sure.unionByName(setsketch.confirmed(pairs, frame, num, den))
+    links = sure.unionByName(pivots.confirmed(pairs, frame, num, den))
     return {r.node: r.component for r in components(links).collect()}, sure.count() + pairs.count()
 
 

@@ -3,7 +3,10 @@
 import hashlib
 import random
 import re
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -163,6 +166,61 @@ def test_product_is_associative():
     assert (pieces.product(pieces.product(a, b), c) == pieces.product(a, pieces.product(b, c))).all()
 
 
+def traced_chunks(many):
+    """Traces one batch of so many chunks in a process of its own; the peak of its memory in MB, without what it began with."""
+    script = f"""
+import random, resource
+import numpy as np, pyarrow as pa
+from tidemart.llm import pieces
+v = pieces.vocabulary(pieces.MODEL)
+random.seed(1)
+words = ["".join(random.choices("abcdefghijklmnop", k=random.randrange(1, 11))) for _ in range(60_000)]
+text = " ".join(random.choices(words, k=pieces.CHUNK))[: pieces.CHUNK + v.longest]
+v.encode("warm up")
+texts = [text[k:] + text[:k] for k in random.sample(range(len(text)), {many})]
+batch = pa.table({{"doc_id": [1] * {many}, "sha": ["s"] * {many}, "n": list(range({many})), "size": [pieces.CHUNK] * {many}, "text": texts, "enter": [0] * {many}, "leave": [0] * {many}}})
+batch = batch.combine_chunks().to_batches()[0]
+texts.clear()
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+rows = sum(len(b) for b in pieces._trace_task(pieces.MODEL)(iter([batch])))
+assert rows == {many}
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024)
+"""
+    done = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=600, cwd=Path(pieces.__file__).parents[2])
+    assert done.returncode == 0, done.stderr[-2000:]
+    return float(done.stdout.split()[-1])
+
+
+def test_tracing_a_large_batch_takes_little_memory():
+    """A thousand chunks of 32,768 characters, their outcome read as it comes: 250 MB at most."""
+    assert traced_chunks(1000) < 250
+
+
+def test_ids_are_those_of_a_brute_force_cut(shipped, vocabulary):
+    """Best sums and, where only one cut has the best sum, the very ids."""
+    rows = shipped.read.parquet(f"{tiny()}/documents.parquet").where("length(text) < 3000").limit(25).collect()
+    found = {r.doc_id: r for r in QUERIES["op6_sentencepiece"](shipped, tiny()).collect()}
+    for row in rows:
+        text, best, ways, back = row.text, [0], [1], [None]
+        for j in range(1, len(text) + 1):
+            options = [(best[i] + vocabulary.pieces[text[i:j]][0], i, [vocabulary.pieces[text[i:j]][1]]) for i in range(max(0, j - vocabulary.longest), j) if text[i:j] in vocabulary.pieces]
+            if text[j - 1] not in vocabulary.pieces:
+                raw = text[j - 1].encode()
+                options.append((best[j - 1] + len(raw) * vocabulary.byte_score, j - 1, [vocabulary.bytes[b] for b in raw]))
+            top = max(o[0] for o in options)
+            best.append(top)
+            ways.append(sum(ways[i] for value, i, _ in options if value == top))
+            back.append(min((i, ids) for value, i, ids in options if value == top))
+        at, ids = len(text), []
+        while at:
+            at, own = back[at][0], back[at][1]
+            ids = own + ids
+        assert vocabulary.score(vocabulary.encode(text)) == best[-1]
+        if ways[-1] == 1:
+            assert found[row.doc_id].ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+            assert found[row.doc_id].n_pieces == len(ids)
+
+
 def test_encoding_of_odd_rows(odd_documents, no_documents):
     want = sorted(((r.doc_id, r.text) for r in odd_documents.collect()), key=repr)
     for chunk in (pieces.CHUNK, 50):

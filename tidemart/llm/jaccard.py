@@ -10,9 +10,8 @@ How hot tokens and groups of copies are kept apart:
 * all orders put shingles of common words late: words are counted over the whole input in a sketch of
   fixed size, and what a shingle's words give is the class of its expected frequency. Shingles found to be
   in more than ``FREQUENT`` prefixes, such as a passage that many texts share, come last;
-* among the holders of a token, first each is compared with one pivot only; links found so merge classes
-  into groups, and afterwards only classes of different groups meet. A group of copies therefore costs one
-  comparison per member and token, not one per pair, and no link between groups is lost.
+* many holders of one token are not compared with each other: ``pivots`` links or separates them by their differences to
+  one of them, exactly, and leaves pairs of small groups. These have to pass the other orders and are then compared on whole sets.
 """
 
 from __future__ import annotations
@@ -24,10 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from tidemart.llm import textbytes
-from tidemart.llm.components import components
+from tidemart.llm import pivots, sieve, textbytes
 from tidemart.llm.tables import dropped, settled
 
 # Slots of the frequency sketch: a fixed size, so it may be sent to every task.
@@ -110,6 +107,12 @@ def _key(tokens: np.ndarray) -> int:
     return int.from_bytes(blake2b(tokens.tobytes(), digest_size=8).digest(), "big", signed=True)
 
 
+def _mark(keys: list[int], ids: list) -> np.ndarray:
+    """64 bits for a class and one of its ids."""
+    own = textbytes.mixed(np.array([0 if i is None else i for i in ids], np.int64).view(np.uint64))
+    return textbytes.mixed(np.array(keys, np.int64).view(np.uint64) + own)
+
+
 def _lengths(sets: list[np.ndarray]) -> pa.Array:
     return pa.array([len(s) for s in sets], pa.int64())
 
@@ -123,18 +126,19 @@ def _class_task(n: int):
             for row, data, offsets in textbytes.blocks(batch.column("text")):
                 sets = shingle_sets(data, offsets, n)
                 total += np.bincount(_slot(word_hashes(data, offsets)[0]), minlength=SLOTS)
-                nothing = pa.nulls(len(sets), pa.int64())
-                columns = [batch.column("id").slice(row, len(sets)), pa.array([_key(x) for x in sets], pa.int64()), _lengths(sets), nothing, nothing]
+                nothing, keys, ids = pa.nulls(len(sets), pa.int64()), [_key(x) for x in sets], batch.column("id").slice(row, len(sets))
+                marks = pa.array(_mark(keys, ids.to_pylist()).view(np.int64))
+                columns = [ids, pa.array(keys, pa.int64()), _lengths(sets), marks, nothing, nothing]
                 yield pa.RecordBatch.from_arrays(columns, names=_CLASSES)
         used = np.flatnonzero(total)
         nothing = pa.nulls(len(used), pa.int64())
-        columns = [nothing, nothing, nothing, pa.array(used), pa.array(total[used])]
+        columns = [nothing, nothing, nothing, nothing, pa.array(used), pa.array(total[used])]
         yield pa.RecordBatch.from_arrays(columns, names=_CLASSES)
 
     return task
 
 
-_CLASSES = ["id", "key", "n_shingles", "slot", "n"]
+_CLASSES = ["id", "key", "n_shingles", "mark", "slot", "n"]
 
 
 def prefix(tokens: np.ndarray, classes: np.ndarray, order: int, num: int, den: int) -> np.ndarray:
@@ -194,22 +198,27 @@ def _set_in(bitmap: np.ndarray, bits: int, tokens: np.ndarray) -> np.ndarray:
     return (bitmap[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
 
 
-def _set_task(n: int, common, num: int, den: int, *, whole: bool):
-    """The classes' whole sets, or their prefixes under the further orders."""
+def _set_task(n: int, common, wanted, num: int, den: int, *, whole: bool):
+    """The whole sets of the classes asked for, or their prefixes under the further orders, from the rows that carry their first id."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[int] = set()
         for batch in batches:
-            asked = batch.column("key").to_pylist()
             for row, data, offsets in textbytes.blocks(batch.column("text")):
                 sets = shingle_sets(data, offsets, n, common.value)
-                # Rows that share an id need not share a text.
-                own = [(k, s) for k, s in zip(asked[row:], sets, strict=False) if _key(s[0]) == k]
-                key, size = pa.array([k for k, _ in own], pa.int64()), _lengths([t for _, (t, _) in own])
+                keys = [_key(t) for t, _ in sets]
+                passing = sieve.passes(wanted.value, _mark(keys, batch.column("id").slice(row, len(sets)).to_pylist()))
+                own = []
+                for k in np.flatnonzero(passing):
+                    if len(sets[k][0]) and keys[k] not in met:
+                        met.add(keys[k])
+                        own.append((keys[k], sets[k]))
+                node, size = pa.array([k for k, _ in own], pa.int64()), _lengths([t for _, (t, _) in own])
                 if whole:
-                    yield pa.RecordBatch.from_arrays([key, size, _lists([t for _, (t, _) in own])], names=["key", "n", "tokens"])
+                    yield pa.RecordBatch.from_arrays([node, _lists([t for _, (t, _) in own])], names=["node", "tokens"])
                 else:
                     orders = [[prefix(*s, k, num, den) for _, s in own] for k in range(1, ORDERS)]
-                    yield pa.RecordBatch.from_arrays([key, size, *map(_lists, orders)], names=["key", "n", *_OTHERS])
+                    yield pa.RecordBatch.from_arrays([node, size, *map(_lists, orders)], names=["node", "n", *_OTHERS])
 
     return task
 
@@ -234,9 +243,9 @@ def linked(documents: DataFrame, *, words: int = 5, num: int = 80, den: int = 10
     spark = documents.sparkSession
     rows = documents.select(F.col("id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     found = settled(
-        rows.mapInArrow(_class_task(words), "id long, key long, n_shingles long, slot long, n long"), "classes"
+        rows.mapInArrow(_class_task(words), "id long, key long, n_shingles long, mark long, slot long, n long"), "classes"
     )
-    classed = found.where("slot is null").select("id", "key", "n_shingles")
+    classed = found.where("slot is null").select("id", "key", "n_shingles", "mark")
     slots = np.zeros(SLOTS)
     for slot, n in found.where("slot is not null").groupBy("slot").agg(F.sum("n")).collect():  # at most SLOTS rows
         slots[slot] = n
@@ -254,80 +263,41 @@ def linked(documents: DataFrame, *, words: int = 5, num: int = 80, den: int = 10
     # A second one shows which tokens lead anywhere: more than one task or class has them.
     shared = send(_bitmap(tokens(levels).where("count > 1"), SHARED_BITS))
     held = rows.mapInArrow(_posting_task(words, levels, num, den, shared=shared), "token long, key long, n long, pos long")
-    one, holders = F.struct("n", "key", "pos"), Window.partitionBy("token")
-    held = held.withColumn("small", F.min(one).over(holders)).withColumn("large", F.max(one).over(holders))
-    postings = settled(held.where("small.key <> large.key").distinct(), "postings")
-
-    names = classed.where("n_shingles > 0").groupBy("key").agg(F.min("id").alias("least"), F.min(F.struct("id")).alias("one"))
-    known = postings.select("key").distinct().join(names, "key").select("key", F.col("one.id").alias("id"))
-    # The text of one row of each class that has candidates; equal rows give the same text.
-    texts = settled(
-        rows.join(known.withColumnRenamed("id", "of"), F.col("id").eqNullSafe(F.col("of"))).select("key", "text"), "texts"
-    )
-
-    def links(pairs: DataFrame) -> DataFrame:
-        """Of distinct pairs ``(a, b)``: those that share a prefix token under the other orders, and then are similar."""
-        mine = texts.join(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key")
-        near = pairs
-        # As tables: what a task makes is otherwise made again for each side of a join.
-        few = mine.mapInArrow(_set_task(words, levels, num, den, whole=False), "key long, n long, " + ", ".join(f"{p} array<long>" for p in _OTHERS))
-        few = settled(few, "prefixes")
-        for side in "ab":
-            near = near.join(few.select(F.col("key").alias(side), *[F.col(p).alias(f"{p}{side}") for p in ("n", *_OTHERS)]), side)
-        for p in _OTHERS:
-            first = [F.slice(f"{p}{x}", 1, F.greatest(_reach(F.col(f"n{x}"), F.col(f"n{y}"), num, den), F.lit(0)).cast("int")) for x, y in ("ab", "ba")]
-            near = near.where(F.arrays_overlap(*first))
-        near = settled(near.select("a", "b"), "near")
-        dropped(few)
-        full = mine.join(near.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key")
-        full = settled(full.mapInArrow(_set_task(words, levels, num, den, whole=True), "key long, n long, tokens array<long>"), "sets")
-        for side in "ab":
-            near = near.join(full.select(F.col("key").alias(side), F.col("tokens").alias(f"{side}_tokens")), side)
-        common = F.size(F.array_intersect("a_tokens", "b_tokens")).cast("long")
-        union = F.size("a_tokens").cast("long") + F.size("b_tokens") - common
-        found = settled(near.where(common * den >= union * num).select("a", "b"), "links")
-        dropped(full)
-        return found
-
-    def close(x: tuple[Column, Column], y: tuple[Column, Column]) -> Column:
-        """May a token at these (size, place) be the first that two similar sets share?"""
-        return (x[1] < _reach(x[0], y[0], num, den)) & (y[1] < _reach(y[0], x[0], num, den))
-
-    stars = []
-    for end in ("small", "large"):
-        near = close((F.col("n"), F.col("pos")), (F.col(f"{end}.n"), F.col(f"{end}.pos")))
-        star = postings.where((F.col("key") != F.col(f"{end}.key")) & near)
-        stars.append(star.select(F.least("key", f"{end}.key").alias("a"), F.greatest("key", f"{end}.key").alias("b")))
-    first = links(settled(stars[0].unionByName(stars[1]).distinct(), "pairs"))
-    groups = settled(components(first), "groups")
-
-    lists = postings.select("token", "key", "n", "pos").join(groups.withColumnRenamed("node", "key"), "key", "left")
-    lists = lists.select("token", "key", "n", "pos", F.coalesce("component", "key").alias("group"))
-    several = lists.groupBy("token").agg((F.min("group") < F.max("group")).alias("several")).where("several")
-    lists = settled(lists.join(several.select("token"), "token"), "meeting")
-    # Groups meet at a token only if their sizes and first places there leave room for a similar pair.
-    met = lists.groupBy("token", "group").agg(F.min("pos").alias("pos"), F.min("n").alias("lo"), F.max("n").alias("hi"))
-
-    def room(x: str, y: str) -> Column:
-        hi, lo = F.col(f"{x}.hi"), F.col(f"{y}.lo")
-        reach = hi - F.ceil((hi + lo) * num / F.lit(float(num + den)) - 1e-9) + 1
-        return (F.col(f"{x}.pos") < reach) & (hi * den >= lo * num)
-
-    apart = F.expr("x.token = y.token and x.group < y.group")
-    crossing = met.alias("x").join(met.alias("y"), apart & room("x", "y") & room("y", "x"))
-    crossing = crossing.select(F.col("x.token").alias("token"), F.col("x.group").alias("ga"), F.col("y.group").alias("gb"))
-    left, right = (lists.select("token", F.col("group").alias(f"g{x}"), *[F.col(c).alias(f"{c}{x}") for c in ("key", "n", "pos")]) for x in "ab")
-    near = close((F.col("na"), F.col("posa")), (F.col("nb"), F.col("posb")))
-    rest = crossing.join(left, ["token", "ga"]).join(right, ["token", "gb"]).where(near)
-    rest = rest.select(F.least("keya", "keyb").alias("a"), F.greatest("keya", "keyb").alias("b")).distinct()
-    rest = settled(rest, "pairs")
-    dropped(postings, lists)
-    more = links(rest)
-    dropped(texts)
-    whole = components(first.unionByName(more)) if more.limit(1).count() else groups
+    held = settled(held, "held")
+    several = held.groupBy("token").agg((F.min("key") < F.max("key")).alias("several")).where("several").select("token")
+    postings = settled(held.join(several, "token").distinct(), "postings")
+    dropped(held)
+
+    names = classed.where("n_shingles > 0").groupBy("key").agg(F.min("id").alias("least"), F.min(F.struct("id", "mark"))["mark"].alias("mark"))
+    names = settled(names, "names")
+
+    def made(nodes: DataFrame, schema: str, *, whole: bool) -> DataFrame:
+        """What the task makes of the classes, from the text of one row each; each once."""
+        asked = names.select(F.col("key").alias("node"), "mark").join(nodes, "node")
+        wanted = send(sieve.bitmap(asked.select("mark")))
+        out = rows.mapInArrow(_set_task(words, levels, wanted, num, den, whole=whole), schema).join(asked.select("node"), "node")
+        return out.groupBy("node").agg(*[F.first(c).alias(c) for c in out.columns if c != "node"])
+
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        return made(nodes, "node long, tokens array<long>", whole=True)
+
+    met = postings.select(F.col("token").alias("bucket"), F.col("key").alias("node"), "n", F.col("n").alias("d"), "pos", F.col("key").alias("side"))
+    sure, near = pivots.met(met, sets_of, num, den)
+    dropped(postings)
+    ends = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    few = settled(made(ends, "node long, n long, " + ", ".join(f"{p} array<long>" for p in _OTHERS), whole=False), "prefixes")
+    for side in "ab":
+        near = near.join(few.select(F.col("node").alias(side), *[F.col(p).alias(f"{p}{side}") for p in ("n", *_OTHERS)]), side)
+    for p in _OTHERS:
+        first = [F.slice(f"{p}{x}", 1, F.greatest(_reach(F.col(f"n{x}"), F.col(f"n{y}"), num, den), F.lit(0)).cast("int")) for x, y in ("ab", "ba")]
+        near = near.where(F.arrays_overlap(*first))
+    # Of sets of like size the likelier ones are compared first.
+    near = settled(near.select("a", "b", (-F.abs(F.col("na") - F.col("nb"))).cast("double").alias("likely")), "near")
+    dropped(few)
+    whole = pivots.linked_groups(near, sure, sets_of, num, den).withColumnRenamed("component", "group")
 
     member = names.select("key", "least").join(whole.withColumnRenamed("node", "key"), "key", "left")
-    member = member.select("key", "least", F.coalesce("component", "key").alias("group"))
+    member = member.select("key", "least", F.coalesce("group", "key").alias("group"))
     named = member.join(member.groupBy("group").agg(F.min("least").alias("component_id")), "group").select("key", "component_id")
     empty = F.col("n_shingles") == 0
     out = classed.select("id", "n_shingles", F.when(~empty, F.col("key")).alias("key")).join(named, "key", "left")

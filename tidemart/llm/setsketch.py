@@ -18,7 +18,7 @@ one of ``BANDS`` bands are candidates: at similarity 0.8 all but one pair in 10,
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -27,9 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.llm import pivots, sieve, textbytes
-from tidemart.llm.components import components
 from tidemart.llm.jaccard import shingle_sets
-from tidemart.llm.tables import dropped, settled
+from tidemart.llm.tables import settled
 
 # The sketch: base, rate and largest register of 16 bits; exact to sets of 10^18 elements.
 B, A, Q = 1.001, 20.0, 2**16 - 2
@@ -208,16 +207,6 @@ def _estimate_task(least: float):
     return task
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Of ``pairs (a, b)``: those similar on their whole ``sets (node, tokens)``."""
-    near = pairs.select("a", "b")
-    for side in "ab":
-        near = near.join(sets.select(F.col("node").alias(side), F.col("tokens").alias(f"{side}_tokens")), side)
-    common = F.size(F.array_intersect("a_tokens", "b_tokens")).cast("long")
-    union = F.size("a_tokens").cast("long") + F.size("b_tokens") - common
-    return settled(near.where(common * den >= union * num).select("a", "b"), "links")
-
-
 def near_duplicates(documents: DataFrame, *, words: int = 4, num: int = 80, den: int = 100) -> DataFrame:
     """``(id, n_shingles, component_id, kept)`` for every row of ``documents (id long, text string)``.
 
@@ -251,7 +240,7 @@ def near_duplicates(documents: DataFrame, *, words: int = 4, num: int = 80, den:
     for side in "ab":
         near = near.join(classes.select(F.col("node").alias(side), F.col("n").alias(f"n{side}"), F.col("registers").alias(f"r{side}")), side)
     near = settled(near.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_estimate_task(num / den), "a long, b long, likely double"), "near")
-    whole = linked_groups(near, sure, sets_of, num, den)
+    whole = pivots.linked_groups(near, sure, sets_of, num, den)
 
     member = classes.select("name", "least", "node").join(whole.withColumnRenamed("component", "group"), "node", "left")
     member = member.select("name", "least", F.coalesce("group", "node").alias("group"))
@@ -260,24 +249,3 @@ def near_duplicates(documents: DataFrame, *, words: int = 4, num: int = 80, den:
     out = found.select("id", "n", F.when(~empty, F.col("name")).alias("name")).join(named, "name", "left")
     out = out.select("id", F.col("n").alias("n_shingles"), F.when(empty, F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
     return out.withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
-
-
-def linked_groups(near: DataFrame, sure: DataFrame, sets_of: Callable[[DataFrame], DataFrame], num: int, den: int) -> DataFrame:
-    """``(node, component)`` over the links ``sure (a, b)`` and those of ``near (a, b, likely)`` that are similar.
-
-    Each node's likeliest partner is compared first; then only pairs that this has not connected.
-    """
-    sets = settled(sets_of(near.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "sets")
-    ways = near.select(F.inline(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("other"), "likely"), F.struct(F.col("b").alias("node"), F.col("a").alias("other"), "likely"))))
-    first = ways.groupBy("node").agg(F.max(F.struct("likely", "other"))["other"].alias("other"))
-    first = first.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-    known = sure.select("a", "b").unionByName(confirmed(first, sets, num, den))
-    groups = settled(components(known), "groups")
-    rest = near.select("a", "b").join(first, ["a", "b"], "left_anti")
-    for side in "ab":
-        rest = rest.join(groups.select(F.col("node").alias(side), F.col("component").alias(f"g{side}")), side, "left")
-    apart = F.coalesce("ga", "a") != F.coalesce("gb", "b")
-    more = confirmed(rest.where(apart).select("a", "b"), sets, num, den)
-    whole = groups if more.isEmpty() else settled(components(known.unionByName(more)), "groups")
-    dropped(sets)
-    return whole
