@@ -212,3 +212,24 @@ def test_hot_key_gives_the_same_rows(spark, silver_inputs):
     assert results[0] == results[1]
     hot = [r for r in results[0] if r.user_id == "hot"]
     assert sum(r.page_views for r in hot) == 10000
+
+
+def test_totals_of_the_user_only_join_without_its_rows(spark, silver_inputs):
+    """Same totals as the table itself, from users with many days, one side only, and no user at all."""
+    import random
+
+    from tidemart.operators import totals
+
+    random.seed(3)
+    views, purchases = silver_inputs
+    users = ["a", "b", "c", "d", None]
+    days = [f"2024-02-{d:02d} 10:00:00" for d in range(1, 9)]
+    v = views(*[(random.choice(days), random.choice(users[:4] + [None]), "s", "p") for _ in range(60)])
+    p = purchases(*[(random.choice(days), random.choice(users[1:] + ["e"]), random.choice(["5.00", "999.99", "1000.00", None])) for _ in range(40)])
+    for some_v, some_p in ((v, p), (v, p.where("false")), (v.where("false"), p)):
+        table = gold.daily_customer_analytics(some_v, some_p, D1)
+        want = table.agg(*totals.customer_totals()).first()
+        got = totals.joined_on_user_totals(some_v, some_p, D1).first()
+        assert (got.total_customers, got.high_value_customers, got.total_revenue) == tuple(want)
+    joins = totals.joined_on_user_totals(v, p, D1)._jdf.queryExecution().executedPlan().toString()
+    assert joins.count("Join") == joins.count("FullOuter") >= 1

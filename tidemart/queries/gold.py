@@ -210,7 +210,7 @@ QUERIES = {
               FROM customers GROUP BY customer_segment""",
     ),
     "customer_run_totals": Query(
-        lambda s, f: customers(s, f).agg(*totals.customer_totals()),
+        lambda s, f: totals.joined_on_user_totals(page_views(s, f), purchases(s, f), FIRST_DAY),
         _CUSTOMERS
         + """ SELECT count(*) AS total_customers,
               count(*) FILTER (customer_segment = 'high_value') AS high_value_customers,

@@ -73,6 +73,18 @@ def _items(spark, folder):
     return purchased_items(silver(spark, folder, "purchases"), keep=("order_id",))
 
 
+# All fields of all items, as text.
+_ITEMS_SQL = """CASE WHEN n % 29 <> 0 THEN array_to_string(list_transform(range(1, n % 4 + 1), lambda i: concat_ws('|',
+        IF(i = 1, k, CONCAT(k, '-', CAST(i AS VARCHAR))), CAST(i AS VARCHAR), CAST(amount AS VARCHAR),
+        CAST(CAST(amount * i AS DECIMAL(12,2)) AS VARCHAR),
+        CASE (n + i) % 3 WHEN 0 THEN 'Books' WHEN 1 THEN 'Sports' ELSE 'Clothing' END,
+        CONCAT('brand-', CAST(n % 7 AS VARCHAR)))), ';') END"""
+_ADDRESS_SQL = """CASE WHEN n % 6 <> 0 THEN CONCAT(CAST(n % 100 AS VARCHAR), ' Main St') END AS street,
+    CASE WHEN n % 6 = 0 THEN NULL WHEN n % 3 = 0 THEN 'Lund' WHEN n % 3 = 1 THEN 'Oslo' ELSE 'Turku' END AS city,
+    CASE WHEN n % 6 <> 0 THEN 'XX' END AS state,
+    CASE WHEN n % 6 <> 0 THEN lpad(CAST(n % 100000 AS VARCHAR), 5, '0') END AS zip_code,
+    CASE WHEN n % 6 <> 0 THEN 'US' END AS country"""
+
 _PURCHASE_COLUMNS_SQL = f"""{_HEAD_SQL}, {_BUYER_SQL},
     CONCAT('o', CAST(n AS VARCHAR)) AS order_id, CAST(amount AS DOUBLE) AS total_amount,
     CAST(amount + 5 AS DOUBLE) AS subtotal, n % 4 * 5 AS discount_percent,
@@ -82,7 +94,7 @@ _PURCHASE_COLUMNS_SQL = f"""{_HEAD_SQL}, {_BUYER_SQL},
     CASE n % 3 WHEN 0 THEN 'standard' WHEN 1 THEN 'expedited' ELSE 'overnight' END AS shipping_method,
     CASE WHEN n % 29 <> 0 THEN n % 4 END AS item_count,
     CASE WHEN n % 29 <> 0 THEN CAST(amount * (n % 4 * (n % 4 + 1) // 2) AS DOUBLE) END AS items_total,
-    {_METADATA_SQL}"""
+    {_ITEMS_SQL} AS items, {_ADDRESS_SQL}, {_METADATA_SQL}"""
 
 
 def _purchase_columns():
@@ -94,17 +106,27 @@ def _purchase_columns():
         "event_id", "timestamp", "user_id", "session_id", "order_id", "total_amount", "subtotal",
         "discount_percent", "discount_amount", "payment_method", "shipping_method",
         F.when(F.col("items").isNotNull(), F.size("items")).alias("item_count"),
-        total.alias("items_total"),
+        total.alias("items_total"), _items_text().alias("items"), *_address(),
     ]
 
 
+def _items_text():
+    """All fields of all items, as text."""
+    names = ("product_id", "quantity", "unit_price", "total_price", "category", "brand")
+    each = F.transform("items", lambda i: F.concat_ws("|", *[i[name].cast("string") for name in names]))
+    return F.array_join(each, ";")
+
+
+def _address():
+    return [F.col(f"shipping_address.{name}").alias(name) for name in ("street", "city", "state", "zip_code", "country")]
+
+
 def _nested(spark, folder):
     first = F.try_element_at("items", F.lit(1))
     return silver(spark, folder, "purchases").select(
         "order_id",
-        F.col("shipping_address.street").alias("street"),
-        F.col("shipping_address.city").alias("city"),
-        F.col("shipping_address.zip_code").alias("zip_code"),
+        *_address(),
+        _items_text().alias("items"),
         first["product_id"].alias("first_product"),
         first["unit_price"].alias("first_price"),
         F.try_element_at("metadata", F.lit("k")).alias("metadata_k"),
@@ -187,11 +209,7 @@ QUERIES = {
         _nested,
         accepted_sql(
             "purchase",
-            """CONCAT('o', CAST(n AS VARCHAR)) AS order_id,
-            CASE WHEN n % 6 <> 0 THEN CONCAT(CAST(n % 100 AS VARCHAR), ' Main St') END AS street,
-            CASE WHEN n % 6 = 0 THEN NULL WHEN n % 3 = 0 THEN 'Lund' WHEN n % 3 = 1 THEN 'Oslo'
-                 ELSE 'Turku' END AS city,
-            CASE WHEN n % 6 <> 0 THEN lpad(CAST(n % 100000 AS VARCHAR), 5, '0') END AS zip_code,
+            f"""CONCAT('o', CAST(n AS VARCHAR)) AS order_id, {_ADDRESS_SQL}, {_ITEMS_SQL} AS items,
             CASE WHEN n % 29 <> 0 AND n % 4 > 0 THEN k END AS first_product,
             CASE WHEN n % 29 <> 0 AND n % 4 > 0 THEN CAST(amount AS DOUBLE) END AS first_price,
             k AS metadata_k, CAST(NULL AS VARCHAR) AS metadata_none""",
