@@ -32,7 +32,7 @@ from tidemart.llm.tables import dropped, settled
 # Members of a bucket that are compared pair by pair.
 FEW = 32
 # Buckets still larger after so many rounds of pivots are compared pair by pair.
-ROUNDS = 4
+ROUNDS = 3
 
 # About so many members of a pivot show which differences are common.
 SHOWING = 64
@@ -49,7 +49,7 @@ def room(x: str, y: str, num: int, den: int) -> Column:
 
 
 def met(held: DataFrame, sets_of: Callable[[DataFrame], DataFrame], num: int, den: int) -> tuple[DataFrame, DataFrame]:
-    """``(links, pairs)``, both ``(a, b)``: similar for sure, and to be compared; distinct, and settled.
+    """``(links, pairs)``, both ``(a, b)``, settled: similar for sure, and to be compared. A few may come twice.
 
     ``held (bucket, node, n, d, pos, side)``: the members of each bucket, with the set's size, the number of elements that
     could be shared, and the place of the shared one among them; members of one side of a bucket are not compared.
@@ -78,8 +78,7 @@ def met(held: DataFrame, sets_of: Callable[[DataFrame], DataFrame], num: int, de
     sure = links[0] if links else whole.where("false")
     for more in links[1:]:
         sure = sure.unionByName(more)
-    sure, whole = settled(sure.distinct(), "links"), settled(whole.distinct(), "pairs")
-    dropped(*done, *pairs)
+    dropped(*done)
     return sure, whole
 
 
@@ -88,14 +87,12 @@ def _round(large: DataFrame, sets: DataFrame, num: int, den: int, done: list[Dat
     # Members of many large buckets make good pivots. A pivot need not be in the bucket: what is best for a bucket is handed on
     # to those that its members are in besides, so that a group of copies mostly has one.
     weight = large.groupBy("node").agg(F.sum("size").alias("weight")).withColumn("pivot", F.col("node"))
-    for _ in range(2):
-        best = large.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "pivot")).alias("best"))
-        weight = large.join(best, "bucket").groupBy("node").agg(F.max("best").alias("best")).select("node", "best.weight", "best.pivot")
-        weight = settled(weight, "weights")
-        done.append(weight)
+    best = large.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "pivot")).alias("best"))
+    weight = large.join(best, "bucket").groupBy("node").agg(F.max("best").alias("best")).select("node", "best.weight", "best.pivot")
     best = large.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "pivot"))["pivot"].alias("pivot"))
-    asked = large.select("bucket", "node").join(best, "bucket").select("node", "pivot").distinct()
-    asked = asked.unionByName(asked.select(F.col("pivot").alias("node"), "pivot")).distinct()
+    own = F.struct("node", "pivot"), F.struct(F.col("pivot").alias("node"), "pivot")
+    asked = settled(large.select("bucket", "node").join(best, "bucket").select(F.inline(F.array(*own))).distinct(), "asked")
+    done.append(asked)
     own = asked.join(sets, "node").join(sets.select(F.col("node").alias("pivot"), F.col("tokens").alias("given")), "pivot")
     differ = F.concat(F.array_except("tokens", "given"), F.array_except("given", "tokens"))
     own = own.select("pivot", "node", F.size("tokens").cast("long").alias("n"), differ.alias("differ"))
@@ -141,7 +138,9 @@ def _round(large: DataFrame, sets: DataFrame, num: int, den: int, done: list[Dat
 
     among = dealt(member.where(~linked), with_others, 0, F.col("node"))
     across = dealt(member, F.when(linked, with_others).otherwise(with_linked), 1, linked.cast("long"))
-    return settled(links, "links"), among.unionByName(across)
+    held = settled(among.unionByName(across), "dealt")
+    done.append(held)
+    return settled(links, "links"), held
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
