@@ -165,3 +165,78 @@ accepted AS (
      OR (event_type = 'purchase' AND payload_user IS NOT NULL AND n % 43 <> 0)
      OR (event_type = 'add_to_cart' AND payload_user IS NOT NULL AND CAST(k AS INT) % 5 > 0)
      OR (event_type = 'product_update' AND payload_product IS NOT NULL))"""
+
+
+def _json(name: str, value: str, when: str | None = None, *, quoted: bool = True) -> str:
+    """SQL: one field of a JSON object; NULL, so left out, unless ``when`` holds."""
+    mark = '"' if quoted else ""
+    text = f"""concat('"{name}":{mark}', {value}, '{mark}')"""
+    return f"CASE WHEN {when} THEN {text} END" if when else text
+
+
+def _one_of(*values: str, number: str = "n") -> str:
+    """SQL: one of some texts by number."""
+    return f"list_extract({list(values)!r}, CAST({number} % {len(values)} + 1 AS BIGINT))"
+
+
+_VIEW, _CLICK, _BUY, _SIGN, _UPDATE = (f"given_type = '{t}'" for t in ("view", "click", "purchase", "signup", "error"))
+_ITEM_SQL = ", ',', ".join(
+    [
+        _json("product_id", "IF(i = 1, k, concat(k, '-', i))"),
+        _json("quantity", "i", quoted=False),
+        _json("unit_price", "amount", quoted=False),
+        _json("total_price", "CAST(amount * i AS DECIMAL(12,2))", quoted=False),
+        _json("category", _one_of("Books", "Sports", "Clothing", number="(n + i)")),
+        _json("brand", "concat('brand-', n % 7)"),
+    ]
+)
+_ADDRESS_SQL = ", ',', ".join(
+    [
+        _json("street", "concat(n % 100, ' Main St')"),
+        _json("city", _one_of("Lund", "Oslo", "Turku")),
+        _json("state", "'XX'"),
+        _json("zip_code", "lpad(CAST(n % 100000 AS VARCHAR), 5, '0')"),
+        _json("country", "'US'"),
+    ]
+)
+_FIELDS_SQL = ",\n    ".join(
+    [
+        _json("event_id", "concat('e', n)"),
+        _json("event_type", "CASE WHEN n % 53 = 0 THEN 'mystery' ELSE kind END"),
+        _json("timestamp", "CASE WHEN n % 41 = 0 THEN 'not-a-time' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') END"),
+        _json("user_id", "uid", "given_type <> 'error' AND n % 31 <> 0"),
+        _json("session_id", "session_id", "given_type <> 'error'"),
+        _json("product_id", "k", "n % 31 <> 0"),
+        _json("page_type", _one_of("product_detail", "category", "search_results", "home"), _VIEW),
+        _json("referrer", _one_of("google.com", "direct", "email"), f"{_VIEW} AND n % 5 <> 0"),
+        _json("quantity", "CAST(k AS INT) % 5", _CLICK, quoted=False),
+        _json("price", "amount", _CLICK, quoted=False),
+        _json("total_value", "CAST(amount * (CAST(k AS INT) % 5) AS DECIMAL(12,2))", _CLICK, quoted=False),
+        _json("cart_id", "concat('c', n % 89)", _CLICK),
+        _json("order_id", "concat('o', n)", _BUY),
+        _json("total_amount", "CASE WHEN n % 43 = 0 THEN '123456789.12' ELSE CAST(amount AS VARCHAR) END", _BUY, quoted=False),
+        _json("subtotal", "CAST(amount + 5 AS DECIMAL(12,2))", _BUY, quoted=False),
+        _json("discount_percent", "n % 4 * 5", _BUY, quoted=False),
+        _json("discount_amount", "'5.005'", _BUY, quoted=False),
+        _json("payment_method", _one_of("credit_card", "debit_card", "paypal", "apple_pay"), _BUY),
+        _json("shipping_method", _one_of("standard", "expedited", "overnight"), _BUY),
+        _json("shipping_address", f"concat('{{', {_ADDRESS_SQL}, '}}')", f"{_BUY} AND n % 6 <> 0", quoted=False),
+        _json(
+            "items",
+            f"concat('[', array_to_string(list_transform(range(1, n % 4 + 1), lambda i: concat('{{', {_ITEM_SQL}, '}}')), ','), ']')",
+            f"{_BUY} AND n % 29 <> 0",
+            quoted=False,
+        ),
+        _json("session_type", _one_of("login", "logout"), _SIGN),
+        _json("device_type", _one_of("mobile", "desktop", "tablet"), f"({_VIEW} OR {_SIGN})"),
+        _json("ip_address", "concat('10.0.0.', n % 256)", f"({_VIEW} OR {_SIGN})"),
+        _json("update_type", _one_of("price_change", "inventory_update", "rating_update"), _UPDATE),
+        _json(
+            "metadata",
+            f"""concat('{{', {_json("k", "k")}, ',"flag":', CASE WHEN n % 3 = 0 THEN 'true' ELSE 'false' END, ',"depth":', n % 100, '}}')""",
+            quoted=False,
+        ),
+    ]
+)
+# The text of a message, field by field.
+BODY_SQL = f"CASE WHEN broken THEN '{{oops' ELSE concat('{{', concat_ws(',', {_FIELDS_SQL}), '}}') END"

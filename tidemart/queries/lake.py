@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemart.operators.messages import TOPIC_OF_EVENT
 from tidemart.plans import gold
+from tidemart.queries import gold as gold_queries
 from tidemart.queries import silver
 from tidemart.queries.common import FIRST_DAY, MESSAGES_SQL, Query, landing, messages, state
 from tidemart.queries.gold import WHOLE_SALES_SQL
@@ -185,7 +186,28 @@ _OVERWRITE_SQL = f"""{WHOLE_SALES_SQL} SELECT s.date,
     CASE WHEN NOT renewed THEN revenue_per_visitor END AS revenue_per_visitor
     FROM (SELECT *, date >= DATE '{RENEWED}' AND unique_visitors > 0 AS renewed FROM sales) s"""
 
+
+def _overwrite_customers(spark, folder):
+    """The customer table is written whole; its later days are written once more, beside the old folders of the rest."""
+    lake, rows = new_lake(spark), gold_queries.customers_dated(spark, folder)
+    lake.overwrite_gold(rows, "daily_customer_analytics", "replace")
+    lake.overwrite_gold(rows.where(F.col("date") >= F.lit(RENEWED).cast("date")), "daily_customer_analytics", "dynamic")
+    return lake.read("gold", "daily_customer_analytics")
+
+
+def _overwrite_products(spark, folder):
+    """The product table replaces one of another day, then its own."""
+    lake, name = new_lake(spark), "product_performance_analytics"
+    views, lines = given.page_views(spark, folder), given.purchases_by_line(spark, folder)
+    lake.overwrite_gold(gold.product_performance_analytics(views, lines, RENEWED), name, "replace")
+    lake.overwrite_gold(gold_queries.products(spark, folder), name, "replace")
+    lake.overwrite_gold(gold_queries.products(spark, folder), name, "dynamic")
+    return lake.read("gold", name)
+
+
 QUERIES = {
+    "gold_overwrite_customers": Query(_overwrite_customers, gold_queries.QUERIES["daily_customer_analytics_dated"].sql),
+    "gold_overwrite_products": Query(_overwrite_products, gold_queries.QUERIES["product_performance_analytics"].sql),
     "stream_bronze_ingest": Query(_ingest, BRONZE_ROWS_SQL),
     "stream_silver_fanout": Query(_fanout, CONTENT_SQL),
     "stream_restart_no_dupes": Query(_restart, CONTENT_SQL),

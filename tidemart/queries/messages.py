@@ -7,16 +7,14 @@ from pyspark.sql import functions as F
 from tidemart.functions import payload
 from tidemart.operators import bronze, silver
 from tidemart.operators.messages import event_rate, key_for, topic_distribution, topic_for
-from tidemart.queries.common import MESSAGES_SQL, Query, messages
+from tidemart.queries.common import BODY_SQL, MESSAGES_SQL, Query, messages
 
 _WITH = "WITH " + MESSAGES_SQL
 
-# The raw text itself is checked through one nested field and through whether it is broken.
 BRONZE_ROWS_SQL = (
     _WITH
-    + """ SELECT bronze_id AS event_id, event_type, bronze_time AS timestamp, topic,
-          part AS partition, n AS "offset", CASE WHEN NOT broken THEN k END AS raw_k,
-          CAST(broken AS BIGINT) AS is_broken FROM bronze"""
+    + f""" SELECT bronze_id AS event_id, event_type, bronze_time AS timestamp, topic,
+          part AS partition, n AS "offset", {BODY_SQL} AS raw_data FROM bronze"""
 )
 
 TYPE_COUNTS_SQL = (
@@ -33,16 +31,7 @@ def raw_events(spark, folder):
 
 
 def bronze_rows(rows):
-    return rows.select(
-        "event_id",
-        "event_type",
-        "timestamp",
-        "topic",
-        "partition",
-        "offset",
-        F.get_json_object("raw_data", "$.metadata.k").alias("raw_k"),
-        (F.col("raw_data") == "{oops").cast("int").alias("is_broken"),
-    )
+    return rows.select("event_id", "event_type", "timestamp", "topic", "partition", "offset", "raw_data")
 
 
 def _envelope_scan(spark, folder):
@@ -51,6 +40,7 @@ def _envelope_scan(spark, folder):
         F.col("key").cast("string").alias("message_key"),
         payload.field(body, "event_id").alias("payload_id"),
         payload.field(body, "timestamp").alias("payload_time_text"),
+        body.alias("body"),
         "topic",
         "partition",
         "offset",
@@ -89,7 +79,7 @@ QUERIES = {
     "kafka_envelope_scan": Query(
         _envelope_scan,
         _WITH
-        + """ SELECT msg_key AS message_key, payload_id,
+        + f""" SELECT msg_key AS message_key, payload_id, {BODY_SQL} AS body,
               CASE WHEN broken THEN NULL WHEN n % 41 = 0 THEN 'not-a-time'
                    ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') END AS payload_time_text,
               topic, part AS partition, n AS "offset", arrival AS timestamp,
