@@ -38,6 +38,8 @@ FREQUENT, FREQUENT_BITS = 24, 22
 # Bits by which the tokens are told apart of which more than one class has; a clash only costs a shuffled row.
 SHARED_BITS = 25
 ORDERS = 3
+# Up to so many holders of a token are compared pair by pair, where sizes and places leave room; beyond that they are mostly copies.
+FEW_HOLDERS = 256
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -282,7 +284,7 @@ def linked(documents: DataFrame, *, words: int = 5, num: int = 80, den: int = 10
         return made(nodes, "node long, tokens array<long>", whole=True)
 
     met = postings.select(F.col("token").alias("bucket"), F.col("key").alias("node"), "n", F.col("n").alias("d"), "pos", F.col("key").alias("side"))
-    sure, near = pivots.met(met, sets_of, num, den)
+    sure, near = pivots.met(met, sets_of, num, den, few=FEW_HOLDERS)
     dropped(postings)
     ends = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     few = settled(made(ends, "node long, n long, " + ", ".join(f"{p} array<long>" for p in _OTHERS), whole=False), "prefixes")

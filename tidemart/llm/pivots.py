@@ -48,23 +48,26 @@ def room(x: str, y: str, num: int, den: int) -> Column:
     return (left > 0) & (2 * (den + num) * left >= apart)
 
 
-def met(held: DataFrame, sets_of: Callable[[DataFrame], DataFrame], num: int, den: int) -> tuple[DataFrame, DataFrame]:
+def met(
+    held: DataFrame, sets_of: Callable[[DataFrame], DataFrame], num: int, den: int, few: int | None = None
+) -> tuple[DataFrame, DataFrame]:
     """``(links, pairs)``, both ``(a, b)``, settled: similar for sure, and to be compared. A few may come twice.
 
     ``held (bucket, node, n, d, pos, side)``: the members of each bucket, with the set's size, the number of elements that
     could be shared, and the place of the shared one among them; members of one side of a bucket are not compared.
-    ``sets_of`` gives ``(node, tokens)`` for some ``(node)``, each once.
+    ``sets_of`` gives ``(node, tokens)`` for some ``(node)``, each once. Buckets of up to ``few`` members are compared pair by pair.
     """
+    few = few or FEW
     links, pairs, sets, done = [], [], None, []
     for left in reversed(range(ROUNDS)):
         sizes = held.groupBy("bucket").agg(F.count("*").alias("size"), (F.min("side") < F.max("side")).alias("several"))
         held = settled(held.join(sizes.where("several").select("bucket", "size"), "bucket").select("size", *HELD), "held")
         done.append(held)
-        small = held.where(F.col("size") <= FEW) if left else held
+        small = held.where(F.col("size") <= few) if left else held
         both = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.side") != F.col("y.side"))
         near = small.alias("x").join(small.alias("y"), both & room("x", "y", num, den))
         pairs.append(settled(near.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "pairs"))
-        large = held.where(F.col("size") > FEW)
+        large = held.where(F.col("size") > few)
         if not left or large.isEmpty():
             break
         if sets is None:
