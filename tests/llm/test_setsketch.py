@@ -53,12 +53,12 @@ def sets_frame(shipped, sets):
     return shipped.createDataFrame([(k, sorted(s)) for k, s in enumerate(sets)], "node long, tokens array<long>")
 
 
-def by_pivots(shipped, sets, buckets, num, den):
+def by_pivots(shipped, sets, buckets, num, den, **options):
     """Components, and how many rows the joins made."""
     frame = sets_frame(shipped, sets)
     rows = [(b, k, len(sets[k]), len(sets[k]), 0, k) for b, members in enumerate(buckets) for k in members]
     held = shipped.createDataFrame(rows, ", ".join(f"{c} long" for c in pivots.HELD))
-    sure, pairs = pivots.met(held, lambda nodes: frame.join(nodes, "node"), num, den)
+    sure, pairs = pivots.met(held, lambda nodes: frame.join(nodes, "node"), num, den, **options)
     for a, b in sure.collect():
         assert a < b and den * len(sets[a] & sets[b]) >= num * len(sets[a] | sets[b])
     links = sure.unionByName(pivots.confirmed(pairs, frame, num, den))
@@ -81,8 +81,8 @@ def by_all_pairs(sets, buckets, num, den):
     return {k: root(k) for k in range(len(sets))}
 
 
-@pytest.mark.parametrize(("seed", "num", "den"), [(0, 90, 100), (1, 80, 100)])
-def test_pivots_lose_nothing(shipped, monkeypatch, seed, num, den):
+@pytest.mark.parametrize(("seed", "num", "den", "by_size"), [(0, 90, 100, True), (1, 80, 100, False)])
+def test_pivots_lose_nothing(shipped, monkeypatch, seed, num, den, by_size):
     monkeypatch.setattr(pivots, "FEW", 3)
     random.seed(seed)
     sets = []
@@ -96,7 +96,7 @@ def test_pivots_lose_nothing(shipped, monkeypatch, seed, num, den):
                 some ^= {1000, 1001, 1002, 1003, 1004, 1005}
             sets.append(some or {1})
     buckets = [range(len(sets)), random.sample(range(len(sets)), 40), [0, 1], [5]]
-    got, _ = by_pivots(shipped, sets, buckets, num, den)
+    got, _ = by_pivots(shipped, sets, buckets, num, den, by_size=by_size)
     want = by_all_pairs(sets, buckets, num, den)
     assert {k: got.get(k, k) for k in want} == want
 

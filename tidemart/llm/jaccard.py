@@ -284,7 +284,7 @@ def linked(documents: DataFrame, *, words: int = 5, num: int = 80, den: int = 10
         return made(nodes, "node long, tokens array<long>", whole=True)
 
     met = postings.select(F.col("token").alias("bucket"), F.col("key").alias("node"), "n", F.col("n").alias("d"), "pos", F.col("key").alias("side"))
-    sure, near = pivots.met(met, sets_of, num, den, few=FEW_HOLDERS)
+    sure, near = pivots.met(met, sets_of, num, den, few=FEW_HOLDERS, by_size=True)
     dropped(postings)
     ends = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     few = settled(made(ends, "node long, n long, " + ", ".join(f"{p} array<long>" for p in _OTHERS), whole=False), "prefixes")

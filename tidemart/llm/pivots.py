@@ -21,6 +21,7 @@ Plain prefix filtering is the case of an empty pivot: there ``d`` is the set's s
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -49,27 +50,38 @@ def room(x: str, y: str, num: int, den: int) -> Column:
 
 
 def met(
-    held: DataFrame, sets_of: Callable[[DataFrame], DataFrame], num: int, den: int, few: int | None = None
+    held: DataFrame, sets_of: Callable[[DataFrame], DataFrame], num: int, den: int, few: int | None = None,
+    *, by_size: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """``(links, pairs)``, both ``(a, b)``, settled: similar for sure, and to be compared. A few may come twice.
 
     ``held (bucket, node, n, d, pos, side)``: the members of each bucket, with the set's size, the number of elements that
     could be shared, and the place of the shared one among them; members of one side of a bucket are not compared.
     ``sets_of`` gives ``(node, tokens)`` for some ``(node)``, each once. Buckets of up to ``few`` members are compared pair by pair.
+    ``by_size`` parts larger ones by the sizes of their sets first, where members need not be alike and each is a side of its own.
     """
     few = few or FEW
     links, pairs, sets, done = [], [], None, []
-    for left in reversed(range(ROUNDS)):
+
+    def compared(held: DataFrame, most: int | None) -> DataFrame:
+        """Compare the members of buckets of up to ``most``, and return the larger buckets."""
         sizes = held.groupBy("bucket").agg(F.count("*").alias("size"), (F.min("side") < F.max("side")).alias("several"))
         held = settled(held.join(sizes.where("several").select("bucket", "size"), "bucket").select("size", *HELD), "held")
         done.append(held)
-        small = held.where(F.col("size") <= few) if left else held
+        small = held if most is None else held.where(F.col("size") <= most)
         both = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.side") != F.col("y.side"))
         near = small.alias("x").join(small.alias("y"), both & room("x", "y", num, den))
         pairs.append(settled(near.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "pairs"))
-        large = held.where(F.col("size") > few)
+        return held.where("false") if most is None else held.where(F.col("size") > most)
+
+    for left in reversed(range(ROUNDS)):
+        large = compared(held, few if left else None)
         if not left or large.isEmpty():
             break
+        if by_size and left == ROUNDS - 1:
+            large = compared(_of_like_size(large, num, den), few)
+            if large.isEmpty():
+                break
         if sets is None:
             sets = settled(sets_of(large.select("node").distinct()), "sets")
             done.append(sets)
@@ -85,6 +97,17 @@ def met(
     return sure, whole
 
 
+def _of_like_size(large: DataFrame, num: int, den: int) -> DataFrame:
+    """Buckets parted by the sizes of the sets. Similar sets are of one class of sizes or of two that are next to each other: each
+    member is in the bucket of its own class, and a guest in the next one, where guests are not compared with each other."""
+    # A little wider than the ratio, so that rounding cannot put similar sizes further apart.
+    size_class = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(den / num) * (1 + 1e-9)))
+    own = F.struct(size_class.alias("part"), F.col("side").alias("side"))
+    guest = F.struct((size_class + 1).alias("part"), F.lit(-1).cast("long").alias("side"))
+    each = large.select("bucket", "node", "n", "d", "pos", F.inline(F.array(own, guest)))
+    return each.select(F.xxhash64("bucket", "part").alias("bucket"), "node", "n", "d", "pos", "side")
+
+
 def _round(large: DataFrame, sets: DataFrame, num: int, den: int, done: list[DataFrame]) -> tuple[DataFrame, DataFrame]:
     """Links to the members of largest slack, and the smaller buckets of what may be similar besides."""
     # Members of many large buckets make good pivots. A pivot need not be in the bucket: what is best for a bucket is handed on
