@@ -38,9 +38,9 @@ NEVER = -(1 << 60)  # the score of what cannot be
 # A piece costs SCALE * ln(rank + FLAT); a byte piece costs as much as the rarest piece, and half again.
 SCALE, FLAT = 1000, 300
 # A worker's memory of words: so many bytes, and as many of older ones. Longer words are not remembered.
-_HELD_BYTES, _WORD_BYTES, _LONGEST_HELD = 24_000_000, 200, 64
-_TOGETHER = 8192  # words that are cut side by side at once
-_SLICE_CHARS, _SLICE_CHUNKS = 500_000, 16  # what a task works on at once
+_HELD_BYTES, _WORD_BYTES, _LONGEST_HELD = 72_000_000, 200, 64
+_TOGETHER = 16_384  # words that are cut side by side at once
+_SLICE_CHARS, _SLICE_CHUNKS = 1_000_000, 16  # what a task works on at once
 _SIDE_BY_SIDE = (7, 10, 14, 40)  # words of up to so many characters are cut side by side
 
 
