@@ -182,6 +182,10 @@ def test_many_batches_keep_small_manifests(spark, lake):
     """Eighty batches: entries, notes and summaries are trimmed to what is kept, and silver misses nothing."""
     rows = to_bronze(given.messages(spark, TINY)).where("event_type = 'purchase'").limit(3)
     rows = spark.createDataFrame(rows.collect(), rows.schema).withColumn("route", F.lit("purchase")).coalesce(1)
+    seen = to_bronze(given.messages(spark, TINY)).where("event_type = 'page_view'").limit(2)
+    seen = spark.createDataFrame(seen.collect(), seen.schema).withColumn("route", F.lit("page_view")).coalesce(1)
+    lake.append(seen, "bronze", "raw_events", job="k", batch=0)
+    pipeline._take(lake, "page_views", 0)  # whose type then stays away for long
     for batch in range(80):
         lake.append(rows, "bronze", "raw_events", job="j", batch=batch)
         if batch % 20 == 19:
@@ -191,8 +195,11 @@ def test_many_batches_keep_small_manifests(spark, lake):
     store = Store(spark, lake.root)
     for folder in ("manifest", "notes/all", "notes/purchase"):
         assert len(store.list(f"{lake.path('bronze', 'raw_events')}/{folder}")) <= 2 * KEPT_ENTRIES
-    assert len(lake.manifest("bronze", "raw_events").state().live) == 1
-    assert lake.read("bronze", "raw_events").count() == 240
+    assert len(lake.manifest("bronze", "raw_events").state().live) == 2
+    assert lake.read("bronze", "raw_events").count() == 242
+    lake.append(seen, "bronze", "raw_events", job="k", batch=1)
+    pipeline._take(lake, "page_views", lake.manifest("bronze", "raw_events").state().version)
+    assert lake.read("silver", "page_views").count() == 2 * to_silver(seen, "page_views").count()
     assert lake.read("silver", "purchases").count() == 80 * to_silver(rows, "purchases").count()
 
 

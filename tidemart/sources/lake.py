@@ -346,11 +346,26 @@ class Lake:
                 self._store.create(f"{notes}/{value}/{entry['version']:012d}.json", json.dumps({"version": entry["version"]}))
 
     def _passed(self, layer: str) -> int | None:
-        """The entry of the bronze table that all silver tables have got to; None if there is no bound."""
+        """The entry of the bronze table that all silver tables have got to; None if there is no bound.
+
+        A table none of whose rows came in since counts as having got to the newest, and is told so.
+        """
         if layer != "bronze":
             return None
-        got = [self.manifest("silver", t).state().upto for t in SILVER_EVENT]
-        return min((u for u in got if u is not None), default=None)
+        raw = self.manifest("bronze", "raw_events")
+        newest, got = raw.state().version, []
+        for table, kind in SILVER_EVENT.items():
+            own = self.manifest("silver", table)
+            upto = own.state().upto
+            if upto is None:  # it will start from all there is
+                continue
+            waiting = [e["version"] for e in raw.entries(upto, max(upto, newest)) if not e.get("same") and any(v == kind for v, _ in e.get("add", ()))]
+            passed = min(waiting, default=newest + 1) - 1
+            if passed >= upto + KEPT_ENTRIES:
+                own.append(lambda state, upto=upto, passed=passed: {"upto": passed} if state.upto == upto else None)
+                upto = own.state().upto
+            got.append(upto)
+        return min(got, default=None)
 
     def trim(self, layer: str, table: str, keep: int = KEPT_ENTRIES) -> None:
         """Sum up a manifest and delete its old entries and notes, but none that a silver table has yet to read."""

@@ -43,13 +43,16 @@ def ingest(
 
 def _take(lake: Lake, table: str, newest: int) -> None:
     """Bring one silver table up to an entry of the raw events. What it has taken already it does not take again."""
-    after = lake.manifest("silver", table).state().upto
-    if after is not None and newest <= after:
-        return
-    parts, upto = lake.added("bronze", "raw_events", after, newest, SILVER_EVENT[table])
-    if parts:
+    while True:
+        after = lake.manifest("silver", table).state().upto
+        if after is not None and newest <= after:
+            return
+        parts, upto = lake.added("bronze", "raw_events", after, newest, SILVER_EVENT[table])
+        if not parts:
+            return
         rows = to_silver(lake.rows_of("bronze", "raw_events", parts), table)
-        lake.append_followed(rows, "silver", table, after=after, upto=upto)
+        if lake.append_followed(rows, "silver", table, after=after, upto=upto):
+            return  # else someone else has brought it further meanwhile
 
 
 def refine(
