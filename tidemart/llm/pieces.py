@@ -19,6 +19,7 @@ them, become byte pieces, so decoding returns every text exactly.
 from __future__ import annotations
 
 import itertools
+import operator
 from array import array
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
@@ -37,8 +38,8 @@ SPACE, MARK = " ", "▁"  # in texts, and in the vocabulary
 NEVER = -(1 << 60)  # the score of what cannot be
 # A piece costs SCALE * ln(rank + FLAT); a byte piece costs as much as the rarest piece, and half again.
 SCALE, FLAT = 1000, 300
-# A worker's memory of words: so many bytes, and as many of older ones. Longer words are not remembered.
-_HELD_BYTES, _WORD_BYTES, _LONGEST_HELD = 72_000_000, 200, 64
+# A worker's memory of words: so many bytes, and as many of older ones. Words too long to be cut side by side are not remembered.
+_HELD_BYTES, _WORD_BYTES = 72_000_000, 200
 _TOGETHER = 16_384  # words that are cut side by side at once
 _SLICE_CHARS, _SLICE_CHUNKS = 1_000_000, 16  # what a task works on at once
 _SIDE_BY_SIDE = (7, 10, 14, 40)  # words of up to so many characters are cut side by side
@@ -125,14 +126,11 @@ class Vocabulary:
 
     def _remember(self, found: dict[str, bytes]) -> None:
         """The latest words are remembered: as many bytes as are held, and before them as many of older ones."""
-        for word, ids in found.items():
-            if len(word) > _LONGEST_HELD:
-                continue
-            own = _WORD_BYTES + len(word) + len(ids)
-            if self._held + own > _HELD_BYTES:
-                self._older, self._known, self._held = self._known, {}, 0
-            self._known[word] = ids
-            self._held += own
+        own = _WORD_BYTES * len(found) + sum(map(len, found)) + sum(map(len, found.values()))
+        if self._held + own > _HELD_BYTES:
+            self._older, self._known, self._held = self._known, {}, 0
+        self._known.update(found)
+        self._held += own
 
     def encode(self, text: str) -> list[int]:
         """A whole text, or a part of one between two cuts."""
@@ -141,23 +139,22 @@ class Vocabulary:
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Whole texts, their ids as packed int32; the words that are new among them are cut side by side."""
         cut = [words(t) for t in texts]
-        found: dict[str, bytes] = {}
-        new = []
-        for word in set(itertools.chain.from_iterable(cut)):
-            ids = self._known.get(word) or self._older.get(word)
-            if ids is None:
-                new.append(word)
-            else:
-                found[word] = ids
-        fresh = {w: array("i", self.trace(self.forward(w)[1], 0, len(w))).tobytes() for w in new if len(w) > _SIDE_BY_SIDE[-1]}
+        found = [list(map(self._known.get, ws)) for ws in cut]
+        missed: set[str] = set()
+        for ws, ids in zip(cut, found, strict=True):
+            missed.update(itertools.compress(ws, map(operator.not_, ids)))
+        # Words met again are among the latest once more.
+        fresh = {w: self._older[w] for w in missed if w in self._older}
+        new = [w for w in missed if w not in fresh]
+        self._remember(fresh)
+        fresh.update((w, array("i", self.trace(self.forward(w)[1], 0, len(w))).tobytes()) for w in new if len(w) > _SIDE_BY_SIDE[-1])
         for least, most in itertools.pairwise((0, *_SIDE_BY_SIDE)):
             alike = [w for w in new if least < len(w) <= most]
             for at in range(0, len(alike), _TOGETHER):
-                some = alike[at : at + _TOGETHER]
-                fresh.update((w, array("i", ids).tobytes()) for w, ids in zip(some, self._cut_all(some), strict=True))
-        found.update(fresh)
-        self._remember(fresh)
-        return [b"".join(map(found.__getitem__, ws)) for ws in cut]
+                some = self._cut_all(alike[at : at + _TOGETHER])
+                self._remember(some)
+                fresh.update(some)
+        return [b"".join([x or fresh[w] for w, x in zip(ws, ids, strict=True)]) for ws, ids in zip(cut, found, strict=True)]
 
     @cached_property
     def _tree(self) -> tuple[np.ndarray, ...]:
@@ -169,16 +166,17 @@ class Vocabulary:
             score[nodes[p]], ids[nodes[p]] = value, i
         return np.array([e for e, _ in edges]), np.array([k for _, k in edges]), score, ids
 
-    def _cut_all(self, texts: list[str]) -> list[list[int]]:
-        """The ids of many short words: every step of the search is taken for all words at once."""
+    def _cut_all(self, texts: list[str]) -> dict[str, bytes]:
+        """The packed ids of many short words: every step of the search is taken for all words at once."""
         if not texts:
-            return []
+            return {}
         edges, leads, score, piece = self._tree
-        texts_by_length = sorted(range(len(texts)), key=lambda k: -len(texts[k]))
-        sizes = np.array([len(texts[k]) for k in texts_by_length])
+        order = np.argsort(-np.fromiter(map(len, texts), np.int64, len(texts)), kind="stable").tolist()
+        texts = [texts[k] for k in order]
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         width = int(sizes[0])
         codes = np.zeros((len(texts), width), np.int64)
-        flat = np.frombuffer("".join(texts[k] for k in texts_by_length).encode("utf-32-le"), np.uint32)
+        flat = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
         codes[np.arange(width) < sizes[:, None]] = flat
         raw = (1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF)) * self.byte_score
         best = np.full((width + 1, len(texts)), NEVER, np.int64)
@@ -209,20 +207,35 @@ class Vocabulary:
                 alive, node = alive[inside], node[inside]
                 if not len(alive):
                     break
-        out: list[list[int]] = [[]] * len(texts)
-        back, last = back.T.tolist(), last.T.tolist()
-        for row, k in enumerate(texts_by_length):
-            ids, stop, starts, ends = [], int(sizes[row]), back[row], last[row]
-            while stop:
-                start = starts[stop]
-                if ends[stop] >= 0:
-                    ids.append(ends[stop])
-                else:
-                    ids.extend(self.bytes[b] for b in reversed(texts[k][start:stop].encode()))
-                stop = start
-            out[k] = ids[::-1]
+        # All words are traced back together, a piece a step; the last piece comes first.
+        row, stop, steps = np.arange(len(texts)), sizes, []
+        while len(row):
+            steps.append((row, last[stop, row]))
+            stop = back[stop, row]
+            row, stop = row[stop > 0], stop[stop > 0]
+        ends = np.cumsum(np.bincount(np.concatenate([r for r, _ in steps]), minlength=len(texts)))
+        flat = np.empty(int(ends[-1]), np.int32)
+        for k, (row, ids) in enumerate(steps):
+            flat[ends[row] - 1 - k] = ids
+        packed, stops = flat.tobytes(), (4 * ends).tolist()
+        out = {w: packed[a:b] for w, a, b in zip(texts, [0, *stops[:-1]], stops, strict=True)}
+        for row in np.unique(np.concatenate([r[ids < 0] for r, ids in steps])).tolist():
+            # Words with characters in bytes: as many ids as bytes.
+            out[texts[row]] = self._with_bytes(texts[row], back[:, row].tolist(), last[:, row].tolist())
         return out
 
+    def _with_bytes(self, word: str, starts: list[int], ends: list[int]) -> bytes:
+        """The packed ids of a word by its best cut: where each last piece starts, and which it is; -1 for bytes."""
+        ids, stop = [], len(word)
+        while stop:
+            start = starts[stop]
+            if ends[stop] >= 0:
+                ids.append(ends[stop])
+            else:
+                ids.extend(self.bytes[b] for b in reversed(word[start:stop].encode()))
+            stop = start
+        return array("i", ids[::-1]).tobytes()
+
     def score(self, ids) -> int:
         return int(self.scores[np.array(ids, np.int64)].sum())
 
