@@ -7,12 +7,14 @@ the sum; a negative weight takes the complements. Carry-save adders fold three b
 into one and a carry, for a batch of queries at once, until every digit of the sum has one bitmap. The top rows are
 then selected from the most significant digit downward; rows that tie at the boundary are settled by id.
 
-Every query meets every block, as the task is exact; blocks are small units of work that scale out, and a
-block hands on only its ``k`` best rows a query, with scores recomputed from the stored integers.
+Every query meets every block, as the task is exact. Blocks and queries are dealt on a grid: a cell holds a bounded group of
+blocks, sliced once, and its share of the queries comes by in batches. What is shuffled is the index once a column of the grid and the queries
+once a row of it. A block hands on only its ``k`` best rows a query, with scores recomputed from the stored integers.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,13 +23,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemart.llm.tables import settled
-
 BLOCK_ROWS = 8192
 QUERY_ROWS = 256
 # So many queries are added up together; bounds the bitmaps held at once.
 TOGETHER = 16
+# So many blocks, sliced, are held by a task.
+BLOCKS_HELD = 8
 _FOUND = "query_id long, vec_id long, score long"
+_CELL = ["group", "share", "width"]
 
 
 def quantised(vector: Column, scale: int = 64) -> Column:
@@ -106,50 +109,63 @@ def _rows_of(bitmap: np.ndarray, rows: int) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), count=rows, bitorder="little"))
 
 
+def grid(blocks: int, batches: int, ratio: float, tasks: int) -> tuple[int, int]:
+    """How many groups of blocks and how many shares of the queries there are: about as many cells as ``tasks``.
+
+    With ``ratio`` rows a query, copies of both take the least together if there are so many groups to a share.
+    """
+    groups = min(blocks, max(1, round(math.sqrt(tasks * ratio)), -(-blocks // BLOCKS_HELD)))
+    return groups, min(batches, max(1, -(-tasks // groups)))
+
+
+def _best(block: tuple, asked: np.ndarray, weights: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """For each query its best rows of the block: the query's id, theirs, and their scores."""
+    ids, values, index = block
+    everyone = np.packbits(np.ones(len(ids), np.uint8), bitorder="little")
+    everyone = np.pad(everyone, (0, index.shape[2] * 8 - len(everyone))).view(np.uint64)
+    for a in range(0, len(asked), TOGETHER):
+        own, part = asked[a : a + TOGETHER], weights[a : a + TOGETHER]
+        allowed = np.repeat(everyone[None, :], len(own), axis=0)
+        first, last = np.searchsorted(ids, own), np.searchsorted(ids, own, "right")
+        for q in range(len(own)):
+            for r in range(first[q], last[q]):
+                allowed[q, r >> 6] &= ~(np.uint64(1) << np.uint64(r & 63))
+        sure, tied = select_top(add_up(index, part), k, allowed)
+        for q in range(len(own)):
+            rows = _rows_of(sure[q], len(ids))
+            rows = np.concatenate([rows, _rows_of(tied[q], len(ids))[: k - len(rows)]])
+            yield np.full(len(rows), own[q]), ids[rows], values[rows] @ part[q]
+
+
 def _top_task(k: int):
-    """Blocks joined with batches of queries become each query's best rows of the block."""
+    """Cells, blocks before batches of queries, become each query's best rows of each block."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple = (None, None)
+        cell, held = None, []
         for batch in batches:
             for i in range(len(batch)):
                 row = {c: batch.column(c)[i] for c in batch.schema.names}
-                block, width = row["block"].as_py(), row["width"].as_py()
-                if held[0] != (block, width):
-                    ids = row["ids"].values.to_numpy()
-                    values = row["flat"].values.to_numpy().reshape(len(ids), width)
+                own = tuple(row[c].as_py() for c in _CELL)
+                if own != cell:
+                    cell, held = own, []
+                ids = row["ids"].values.to_numpy()
+                values = row["flat"].values.to_numpy().reshape(len(ids), row["width"].as_py())
+                if row["batch"].as_py() < 0:
                     by = np.argsort(ids, kind="stable")  # within a block, the lower row has the smaller id
-                    ids, values = ids[by], values[by]
-                    held = (block, width), (ids, values, *slices(values))
-                ids, values, index, _ = held[1]
-                asked = row["asked"].values.to_numpy()
-                weights = row["weights"].values.to_numpy().reshape(len(asked), width)
-                everyone = np.packbits(np.ones(len(ids), np.uint8), bitorder="little")
-                everyone = np.pad(everyone, (0, index.shape[2] * 8 - len(everyone))).view(np.uint64)
-                found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-                for a in range(0, len(asked), TOGETHER):
-                    own, part = asked[a : a + TOGETHER], weights[a : a + TOGETHER]
-                    allowed = np.repeat(everyone[None, :], len(own), axis=0)
-                    first, last = np.searchsorted(ids, own), np.searchsorted(ids, own, "right")
-                    for q in range(len(own)):
-                        for r in range(first[q], last[q]):
-                            allowed[q, r >> 6] &= ~(np.uint64(1) << np.uint64(r & 63))
-                    sure, tied = select_top(add_up(index, part), k, allowed)
-                    for q in range(len(own)):
-                        rows = _rows_of(sure[q], len(ids))
-                        rows = np.concatenate([rows, _rows_of(tied[q], len(ids))[: k - len(rows)]])
-                        found.append((np.full(len(rows), own[q]), ids[rows], values[rows] @ part[q]))
-                columns = [np.concatenate(x) for x in zip(*found, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
+                    held.append((ids[by], values[by], slices(values[by])[0]))
+                    continue
+                for block in held:
+                    columns = [np.concatenate(x) for x in zip(*_best(block, ids, values, k), strict=True)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
 
     return task
 
 
-def _packed(rows: DataFrame, group: str, ids: str, flat: str) -> DataFrame:
+def _packed(rows: DataFrame, group: str) -> DataFrame:
     """One row for each group: its ids, and its vectors end to end."""
     pairs = F.collect_list(F.struct("id", "v"))
     out = rows.groupBy(group, "width").agg(pairs.alias("pairs"))
-    return out.select(group, "width", F.col("pairs.id").alias(ids), F.flatten(F.col("pairs.v")).alias(flat))
+    return out.select(group, "width", F.col("pairs.id").alias("ids"), F.flatten(F.col("pairs.v")).alias("flat"))
 
 
 def top(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
@@ -164,18 +180,22 @@ def top(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
         return rows.select("id", "v", F.size("v").alias("width")).distinct()
 
     spark = vectors.sparkSession
-    rows = usable(vectors)
-    blocks = max(1, -(-rows.count() // BLOCK_ROWS))
-    index = _packed(rows.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int")), "block", "ids", "flat")
-    asked = usable(queries)
-    batches = max(1, -(-asked.count() // QUERY_ROWS))
-    asked = _packed(asked.withColumn("batch", F.pmod(F.xxhash64("id", "v"), F.lit(batches)).cast("int")), "batch", "asked", "weights")
-    # The stated queries against all rows, in blocks: a batch of queries visits every block.
-    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    met = settled(index, "index").join(settled(asked, "asked").hint("merge"), ["block", "width"])
-    # Each visit is a task's worth of work of its own: they are spread anew, few rows as they are.
-    met = met.repartition(min(blocks * batches, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))), "block", "batch")
-    best = met.mapInArrow(_top_task(k), _FOUND)
+    rows, asked = usable(vectors), usable(queries)
+    n_rows, n_asked = rows.count(), asked.count()
+    blocks, batches = max(1, -(-n_rows // BLOCK_ROWS)), max(1, -(-n_asked // QUERY_ROWS))
+    groups, shares = grid(blocks, batches, n_rows / max(1, n_asked), 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+    def dealt(rows: DataFrame, name: str, parts: int) -> DataFrame:
+        return _packed(rows.withColumn(name, F.pmod(F.xxhash64("id", "v"), F.lit(parts)).cast("int")), name)
+
+    def copied(name: str, parts: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias(name)
+
+    index = dealt(rows, "block", blocks).select((F.col("block") % groups).alias("group"), copied("share", shares), "width", F.lit(-1).alias("batch"), "ids", "flat")
+    # The stated queries against all rows, in blocks: a batch of queries visits every group of blocks.
+    asked = dealt(asked, "batch", batches).select(copied("group", groups), (F.col("batch") % shares).alias("share"), "width", "batch", "ids", "flat")
+    cells = index.unionByName(asked).repartition(groups * shares, *_CELL).sortWithinPartitions(*_CELL, "batch")
+    best = cells.mapInArrow(_top_task(k), _FOUND)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = best.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
