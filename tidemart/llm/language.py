@@ -88,10 +88,14 @@ def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams, pa.int64()), pa.array(n, pa.int64())], names=["lang", "gram", "n"])
 
 
-def _discount(n: Column, by: Window) -> Column:
-    """Kneser-Ney's discount from the counts of what was seen once and twice."""
-    once, twice = F.sum(F.when(n == 1, 1).otherwise(0)).over(by), F.sum(F.when(n == 2, 1).otherwise(0)).over(by)
-    return F.when(once > 0, once / (once + 2 * twice)).otherwise(F.lit(0.5)).cast("double")
+def _by_language(rows: DataFrame) -> DataFrame:
+    """A row a language: its rows, their counts' sum, and Kneser-Ney's discount from what was seen once and twice.
+
+    A written table, so that Spark knows its size and can send it to the rows instead of gathering a language's rows.
+    """
+    once, twice = (F.sum(F.when(F.col("n") == k, 1).otherwise(0)) for k in (1, 2))
+    discount = F.when(once > 0, once / (once + 2 * twice)).otherwise(F.lit(0.5)).cast("double")
+    return settled(rows.groupBy("lang").agg(discount.alias("d"), F.sum("n").alias("total"), F.count("*").alias("types")), "discounts")
 
 
 def models(training: DataFrame) -> DataFrame:
@@ -104,11 +108,13 @@ def models(training: DataFrame) -> DataFrame:
     mask = (1 << 21) - 1
     part = lambda k: F.shiftright("gram", 21 * k).bitwiseAND(F.lit(mask))
     tri = settled(counts.select("lang", part(0).alias("a"), part(1).alias("b"), part(2).alias("c"), "n"), "trigrams")
-    everything = Window.partitionBy("lang")
 
     def with_context(rows: DataFrame, *context: str) -> DataFrame:
+        whole = _by_language(rows)
+        if not context:
+            return rows.join(whole, "lang")
         by = Window.partitionBy("lang", *context)
-        rows = rows.withColumn("d", _discount(F.col("n"), everything))
+        rows = rows.join(whole.select("lang", "d"), "lang")
         return rows.withColumn("total", F.sum("n").over(by)).withColumn("types", F.count("*").over(by))
 
     # Lower orders count in how many contexts a character follows, not how often.
@@ -230,6 +236,7 @@ def identify(documents: DataFrame, held_out: Column) -> DataFrame:
     scored = settled(asked.mapInArrow(_score_task(shared), _SCORED), "scored")
     own = scored.where(~F.col("held_out") & (F.col("lang") == F.col("lang_pred")))
     limits = own.groupBy("lang_pred").agg(F.percentile_approx("cross_entropy", F.lit(ACCEPTED), F.lit(1000)).alias("limit"))
-    out = scored.join(limits, "lang_pred", "left")
+    # A row a language, written: Spark knows its size, and need not gather the texts of a language.
+    out = scored.join(settled(limits, "limits"), "lang_pred", "left")
     accepted = F.coalesce(F.col("cross_entropy") <= F.col("limit"), F.lit(False))
     return out.select("doc_id", "lang", "held_out", "lang_pred", "score", "cross_entropy", accepted.alias("accepted"))
