@@ -117,6 +117,21 @@ def test_members_just_under_the_threshold_make_few_rows(shipped, words, edits, n
     assert rows < 20 * len(sets)
 
 
+def test_a_pivot_that_is_unlike_the_others_makes_few_rows(shipped):
+    """600 copies of a text with 1 to 6 edits of their own. The first pivot has many more edits: its differences are those of all members."""
+    random.seed(11)
+    sets = []
+    for k in range(601):
+        text = [f"w{i}" for i in range(120)]
+        for at in random.sample(range(4, 116), 12 if k == 600 else 1 + k % 6):
+            text[at] = f"x{k}-{at}"
+        sets.append({hash(tuple(text[i : i + 4])) for i in range(117)})
+    got, rows = by_pivots(shipped, sets, [range(601)], 80, 100)
+    want = by_all_pairs(sets, [range(601)], 80, 100)
+    assert {k: got.get(k, k) for k in want} == want
+    assert rows < 5 * len(sets)
+
+
 def test_registers_merge_and_agree_as_often_as_sets_are_alike():
     rng = np.random.default_rng(4)
     x, y, z = (np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for n in (40_000, 5_000, 5_000))

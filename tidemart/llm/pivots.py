@@ -4,7 +4,7 @@ Two sets are similar if ``den * |common| >= num * |union|``, which is the same a
 
     (den + num) * |a xor b| <= (den - num) * (|a| + |b|).
 
-A bucket of a few members is compared pair by pair. In a larger one all members are compared with one pivot, which gives
+A bucket of a few members is compared pair by pair. In a larger one all members are compared with one pivot, the set of what most of them have, which gives
 each its *differences* D(a) = a xor pivot and its *slack* s(a) = (den - num) * |a| - (den + num) * |D(a)|. Since |a xor b| is at most
 |D(a)| + |D(b)|, two members whose slacks add up to 0 or more are similar without further comparison, so all members that
 reach the one of largest slack are linked to it, one row each. Every other similar pair has to share at least
@@ -12,7 +12,7 @@ reach the one of largest slack are linked to it, one row each. Every other simil
     k(a, b) = ((den + num) * (|D(a)| + |D(b)|) - (den - num) * (|a| + |b|)) / (2 * (den + num))
 
 differences, one of them among the first |D| - k + 1 in any fixed order (those that a sample of the members shares come
-last; it decides on the order alone). Members are therefore dealt into smaller buckets, one a pivot and element, with all members that linked
+last; it decides on the order alone). Members are therefore dealt into smaller buckets, one a group and element, with all members that linked
 on one side and the rest on the other, and these buckets are treated the same way. Nothing is dropped: connected components over the links and
 the similar pairs are those over all similar pairs that share a bucket.
 
@@ -85,7 +85,7 @@ def met(
         if sets is None:
             sets = settled(sets_of(large.select("node").distinct()), "sets")
             done.append(sets)
-        found, held = _round(large, sets, num, den, done)
+        found, held = _round(large, sets, num, den, done, first=left == ROUNDS - 1)
         links.append(found)
     whole = pairs[0]
     for more in pairs[1:]:
@@ -108,41 +108,63 @@ def _of_like_size(large: DataFrame, num: int, den: int) -> DataFrame:
     return each.select(F.xxhash64("bucket", "part").alias("bucket"), "node", "n", "d", "pos", "side")
 
 
-def _round(large: DataFrame, sets: DataFrame, num: int, den: int, done: list[DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """Links to the members of largest slack, and the smaller buckets of what may be similar besides."""
-    # Members of many large buckets make good pivots. A pivot need not be in the bucket: what is best for a bucket is handed on
-    # to those that its members are in besides, so that a group of copies mostly has one.
-    weight = large.groupBy("node").agg(F.sum("size").alias("weight")).withColumn("pivot", F.col("node"))
-    best = large.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "pivot")).alias("best"))
-    weight = large.join(best, "bucket").groupBy("node").agg(F.max("best").alias("best")).select("node", "best.weight", "best.pivot")
-    best = large.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "pivot"))["pivot"].alias("pivot"))
-    own = F.struct("node", "pivot"), F.struct(F.col("pivot").alias("node"), "pivot")
+def _round(large: DataFrame, sets: DataFrame, num: int, den: int, done: list[DataFrame], *, first: bool) -> tuple[DataFrame, DataFrame]:
+    """Links to the members of largest slack, and the smaller buckets of what may be similar besides.
+
+    The ``first`` round has one pivot for all buckets of a group of copies, a further one has one for each bucket.
+    """
+    if first:
+        # Members of many large buckets make good pivots. A pivot need not be in the bucket: what is best for a bucket is handed on
+        # to those that its members are in besides, so that a group of copies mostly has one.
+        weight = large.groupBy("node").agg(F.sum("size").alias("weight")).withColumn("pivot", F.col("node"))
+        best = large.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "pivot")).alias("best"))
+        weight = large.join(best, "bucket").groupBy("node").agg(F.max("best").alias("best")).select("node", "best.weight", "best.pivot")
+        best = large.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "pivot"))["pivot"].alias("pivot"))
+        best = best.withColumn("group", F.col("pivot"))
+    else:
+        # Members that share a difference have more in common than with the group they come from: with the same pivot they would meet again.
+        best = large.groupBy("bucket").agg(F.max("node").alias("pivot")).withColumn("group", F.col("bucket"))
+    own = F.struct("node", "pivot", "group"), F.struct(F.col("pivot").alias("node"), "pivot", "group")
     asked = settled(large.select("bucket", "node").join(best, "bucket").select(F.inline(F.array(*own))).distinct(), "asked")
     done.append(asked)
     own = asked.join(sets, "node").join(sets.select(F.col("node").alias("pivot"), F.col("tokens").alias("given")), "pivot")
     differ = F.concat(F.array_except("tokens", "given"), F.array_except("given", "tokens"))
-    own = own.select("pivot", "node", F.size("tokens").cast("long").alias("n"), differ.alias("differ"))
-    own = own.withColumn("d", F.size("differ").cast("long"))
+    own = settled(own.select("group", "node", F.size("tokens").cast("long").alias("n"), differ.alias("differ")), "differences")
+    done.append(own)
+
+    # What most of the sets that are like the pivot have, as far as a few members show, is a better pivot: few members have a difference
+    # to it in common. Any set will do as a pivot, so the sample decides on the work alone. Turning an element in the pivot
+    # turns it in the differences. Those that are still common come last.
+    many = own.groupBy("group").agg(F.count("*").alias("members"))
+    few = F.pmod(F.xxhash64("node"), F.greatest(F.lit(1), F.ceil(F.col("members") / SHOWING))) == 0
+    like = (F.size("differ") <= F.col("n")).cast("long")
+    shown = settled(own.join(many, "group").where(few).select("group", "differ", like.alias("like")), "shown")
+    done.append(shown)
+    voters = shown.groupBy("group").agg(F.count("*").alias("shown"), F.sum("like").alias("voters"))
+    votes = shown.select("group", "like", F.explode("differ").alias("element")).groupBy("group", "element").agg(F.count("*").alias("count"), F.sum("like").alias("for"))
+    votes = votes.where("count > 1").join(voters, "group").withColumn("turned", 2 * F.col("for") > F.col("voters"))
+    often = F.when(F.col("turned"), F.col("shown") - F.col("count")).otherwise(F.col("count"))
+    votes = votes.groupBy("group").agg(
+        F.sort_array(F.collect_list(F.when(F.col("turned"), F.col("element")))).alias("turned"),
+        F.sort_array(F.collect_list(F.when(often > 1, F.struct(often.alias("count"), "element"))))["element"].alias("common"),
+    )
+    turned = F.concat(F.array_except("differ", "turned"), F.array_except("turned", "differ")).alias("differ")
+    own = own.join(votes, "group", "left").select("group", "node", "n", F.coalesce(turned, "differ").alias("differ"), "common")
+    ordered = F.concat(F.array_except("differ", "common"), F.array_intersect("common", "differ"))
+    own = own.withColumn("differ", F.coalesce(ordered, "differ")).drop("common").withColumn("d", F.size("differ").cast("long"))
     own = settled(own.withColumn("slack", (den - num) * F.col("n") - (den + num) * F.col("d")), "differences")
     done.append(own)
 
-    best = own.groupBy("pivot").agg(
+    best = own.groupBy("group").agg(
         F.max(F.struct("slack", "node")).alias("best"), F.max("n").alias("n_most"), F.count("*").alias("members")
     )
-    judged = own.drop("differ").join(best, "pivot").withColumn("linked", F.col("slack") + F.col("best.slack") >= 0)
-    others = judged.where(~F.col("linked")).groupBy("pivot").agg(F.min("d").alias("d_least"), F.max("n").alias("n_other"))
-    ends = best.join(others, "pivot")
+    judged = own.drop("differ").join(best, "group").withColumn("linked", F.col("slack") + F.col("best.slack") >= 0)
+    others = judged.where(~F.col("linked")).groupBy("group").agg(F.min("d").alias("d_least"), F.max("n").alias("n_other"))
+    ends = best.join(others, "group")
     found = judged.where(F.col("linked") & (F.col("node") != F.col("best.node")))
     links = found.select(F.least("node", "best.node").alias("a"), F.greatest("node", "best.node").alias("b"))
 
-    member = own.join(ends, "pivot").withColumn("linked", F.col("slack") + F.col("best.slack") >= 0)
-    # Differences that many members have come last, as far as a few members show.
-    few = F.pmod(F.xxhash64("node"), F.greatest(F.lit(1), F.ceil(F.col("members") / SHOWING))) == 0
-    shown = member.where(few).select("pivot", F.explode("differ").alias("element")).groupBy("pivot", "element").count().where("count > 1")
-    common = shown.groupBy("pivot").agg(F.sort_array(F.collect_list(F.struct("count", "element")))["element"].alias("common"))
-    member = member.join(common, "pivot", "left")
-    ordered = F.concat(F.array_except("differ", "common"), F.array_intersect("common", "differ"))
-    member = member.withColumn("differ", F.coalesce(ordered, "differ")).drop("common")
+    member = own.join(ends, "group").withColumn("linked", F.col("slack") + F.col("best.slack") >= 0)
     linked = F.col("linked")
 
     def least_shared(d: Column, n: Column) -> Column:
@@ -154,12 +176,12 @@ def _round(large: DataFrame, sets: DataFrame, num: int, den: int, done: list[Dat
     reach = F.col("d") - (den - num) * (F.col("n") + F.col("n_most")) / F.lit(float(den + num))
     with_linked = F.greatest(F.lit(1), F.ceil(reach - 1e-9))
 
-    def first(least: Column) -> Column:
+    def prefix(least: Column) -> Column:
         return F.slice("differ", 1, F.greatest(F.col("d") - least + 1, F.lit(0)).cast("int"))
 
     def dealt(rows: DataFrame, least: Column, kind: int, side: Column) -> DataFrame:
-        each = rows.select("pivot", "node", "n", "d", side.alias("side"), F.posexplode(first(least)).alias("pos", "element"))
-        bucket = F.xxhash64("pivot", "element", F.lit(kind)).alias("bucket")
+        each = rows.select("group", "node", "n", "d", side.alias("side"), F.posexplode(prefix(least)).alias("pos", "element"))
+        bucket = F.xxhash64("group", "element", F.lit(kind)).alias("bucket")
         return each.select(bucket, "node", "n", "d", F.col("pos").cast("long").alias("pos"), "side")
 
     among = dealt(member.where(~linked), with_others, 0, F.col("node"))
