@@ -275,7 +275,7 @@ def linked(documents: DataFrame, *, words: int = 5, num: int = 80, den: int = 10
 
     def made(nodes: DataFrame, schema: str, *, whole: bool) -> DataFrame:
         """What the task makes of the classes, from the text of one row each; each once."""
-        asked = names.select(F.col("key").alias("node"), "mark").join(nodes, "node")
+        asked = settled(names.select(F.col("key").alias("node"), "mark").join(nodes, "node"), "asked")  # read three times
         wanted = send(sieve.bitmap(asked.select("mark")))
         out = rows.mapInArrow(_set_task(words, levels, wanted, num, den, whole=whole), schema).join(asked.select("node"), "node")
         return out.groupBy("node").agg(*[F.first(c).alias(c) for c in out.columns if c != "node"])

@@ -227,7 +227,7 @@ def near_duplicates(documents: DataFrame, *, words: int = 4, num: int = 80, den:
     classes = settled(some.withColumn("node", F.monotonically_increasing_id()), "classes")
 
     def sets_of(nodes: DataFrame) -> DataFrame:
-        asked = classes.select("name", "node", "mark").join(nodes, "node")
+        asked = settled(classes.select("name", "node", "mark").join(nodes, "node"), "asked")  # read three times
         wanted = spark.sparkContext.broadcast(sieve.bitmap(asked.select("mark")))
         made = rows.mapInArrow(_set_task(words, wanted), "name binary, tokens array<long>")
         return made.join(asked.select("name", "node"), "name").groupBy("node").agg(F.first("tokens").alias("tokens"))
