@@ -132,6 +132,29 @@ def test_a_pivot_that_is_unlike_the_others_makes_few_rows(shipped):
     assert rows < 5 * len(sets)
 
 
+def test_differences_that_few_share_make_few_rows(shipped, monkeypatch):
+    """240 members with 70 elements of their own each, and six families of 40 that share 60 of 100 differences."""
+    made, settled = {}, pivots.settled
+
+    def counted(rows, label):
+        out = settled(rows, label)
+        made.setdefault(label, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(pivots, "settled", counted)
+    base = set(range(420))
+    own = lambda k, many: {1000 * (k + 1) + i for i in range(many)}
+    sets = [base | own(k, 70) for k in range(240)]
+    sets += [base | own(240 + k, 40) | own(1000 + k % 6, 60) for k in range(240)]
+    got, rows = by_pivots(shipped, sets, [range(len(sets))], 80, 100)
+    want = by_all_pairs(sets, [range(len(sets))], 80, 100)
+    assert {k: got.get(k, k) for k in want} == want
+    assert len(set(want.values())) == 246
+    # Those of one member alone are not dealt, and the families are small enough to be compared without a pivot of their own.
+    assert sum(made["dealt"]) < 20 * len(sets) and len(made["dealt"]) == 1
+    assert rows <= 6 * 40 * 39 // 2
+
+
 def test_registers_merge_and_agree_as_often_as_sets_are_alike():
     rng = np.random.default_rng(4)
     x, y, z = (np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for n in (40_000, 5_000, 5_000))

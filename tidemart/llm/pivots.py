@@ -4,15 +4,16 @@ Two sets are similar if ``den * |common| >= num * |union|``, which is the same a
 
     (den + num) * |a xor b| <= (den - num) * (|a| + |b|).
 
-A bucket of a few members is compared pair by pair. In a larger one all members are compared with one pivot, the set of what most of them have, which gives
+A bucket of a few members is compared pair by pair; after the first round one of up to ``SOME``, if its members have more differences on
+average than it has members: dealing them would make more rows than its pairs are. In a larger one all members are compared with one pivot, the set of what most of them have, which gives
 each its *differences* D(a) = a xor pivot and its *slack* s(a) = (den - num) * |a| - (den + num) * |D(a)|. Since |a xor b| is at most
 |D(a)| + |D(b)|, two members whose slacks add up to 0 or more are similar without further comparison, so all members that
 reach the one of largest slack are linked to it, one row each. Every other similar pair has to share at least
 
     k(a, b) = ((den + num) * (|D(a)| + |D(b)|) - (den - num) * (|a| + |b|)) / (2 * (den + num))
 
-differences, one of them among the first |D| - k + 1 in any fixed order (those that a sample of the members shares come
-last; it decides on the order alone). Members are therefore dealt into smaller buckets, one a group and element, with all members that linked
+differences, one of them among the first |D| - k + 1 in any fixed order: those that one member alone has, which lead nowhere, then those
+that few have, then the more common ones. Members are therefore dealt into smaller buckets, one a group and element, with all members that linked
 on one side and the rest on the other, and these buckets are treated the same way. Nothing is dropped: connected components over the links and
 the similar pairs are those over all similar pairs that share a bucket.
 
@@ -32,11 +33,13 @@ from tidemart.llm.tables import dropped, settled
 
 # Members of a bucket that are compared pair by pair.
 FEW = 32
+# The same after the first round, where members have as many differences or more.
+SOME = 256
 # Buckets still larger after so many rounds of pivots are compared pair by pair.
 ROUNDS = 3
 
-# About so many members of a pivot show which differences are common.
-SHOWING = 64
+# About so many members of a pivot show which differences most have; later so many of a bucket, which are many more.
+SHOWING, SHOWING_LATER = 64, 16
 
 HELD = ["bucket", "node", "n", "d", "pos", "side"]
 
@@ -57,16 +60,19 @@ def met(
 
     ``held (bucket, node, n, d, pos, side)``: the members of each bucket, with the set's size, the number of elements that
     could be shared, and the place of the shared one among them; members of one side of a bucket are not compared.
-    ``sets_of`` gives ``(node, tokens)`` for some ``(node)``, each once. Buckets of up to ``few`` members are compared pair by pair.
+    ``sets_of`` gives ``(node, tokens)`` for some ``(node)``, each once. Buckets of up to ``few`` members are compared pair by pair,
+    and those that are left after a round if that makes no more rows than a further one.
     ``by_size`` parts larger ones by the sizes of their sets first, where members need not be alike and each is a side of its own.
     """
     few = few or FEW
     links, pairs, sets, done = [], [], None, []
 
-    def compared(held: DataFrame, most: int | None) -> DataFrame:
+    def compared(held: DataFrame, most: Column | None) -> DataFrame:
         """Compare the members of buckets of up to ``most``, and return the larger buckets."""
-        sizes = held.groupBy("bucket").agg(F.count("*").alias("size"), (F.min("side") < F.max("side")).alias("several"))
-        held = settled(held.join(sizes.where("several").select("bucket", "size"), "bucket").select("size", *HELD), "held")
+        sizes = held.groupBy("bucket").agg(
+            F.count("*").alias("size"), (F.min("side") < F.max("side")).alias("several"), F.avg("d").alias("mean_d")
+        )
+        held = settled(held.join(sizes.where("several").drop("several"), "bucket").select("size", "mean_d", *HELD), "held")
         done.append(held)
         small = held if most is None else held.where(F.col("size") <= most)
         both = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.side") != F.col("y.side"))
@@ -74,12 +80,15 @@ def met(
         pairs.append(settled(near.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "pairs"))
         return held.where("false") if most is None else held.where(F.col("size") > most)
 
+    least = F.lit(few)
     for left in reversed(range(ROUNDS)):
-        large = compared(held, few if left else None)
+        # Elements of a whole set say nothing of how many differences it will have; those to a pivot do.
+        later = F.greatest(least, F.least(F.lit(SOME), F.col("mean_d")))
+        large = compared(held, None if not left else least if left == ROUNDS - 1 else later)
         if not left or large.isEmpty():
             break
         if by_size and left == ROUNDS - 1:
-            large = compared(_of_like_size(large, num, den), few)
+            large = compared(_of_like_size(large, num, den), least)
             if large.isEmpty():
                 break
         if sets is None:
@@ -134,24 +143,19 @@ def _round(large: DataFrame, sets: DataFrame, num: int, den: int, done: list[Dat
 
     # What most of the sets that are like the pivot have, as far as a few members show, is a better pivot: few members have a difference
     # to it in common. Any set will do as a pivot, so the sample decides on the work alone. Turning an element in the pivot
-    # turns it in the differences. Those that are still common come last.
+    # turns it in the differences.
     many = own.groupBy("group").agg(F.count("*").alias("members"))
-    few = F.pmod(F.xxhash64("node"), F.greatest(F.lit(1), F.ceil(F.col("members") / SHOWING))) == 0
+    few = F.pmod(F.xxhash64("node"), F.greatest(F.lit(1), F.ceil(F.col("members") / (SHOWING if first else SHOWING_LATER)))) == 0
     like = (F.size("differ") <= F.col("n")).cast("long")
     shown = settled(own.join(many, "group").where(few).select("group", "differ", like.alias("like")), "shown")
     done.append(shown)
-    voters = shown.groupBy("group").agg(F.count("*").alias("shown"), F.sum("like").alias("voters"))
-    votes = shown.select("group", "like", F.explode("differ").alias("element")).groupBy("group", "element").agg(F.count("*").alias("count"), F.sum("like").alias("for"))
-    votes = votes.where("count > 1").join(voters, "group").withColumn("turned", 2 * F.col("for") > F.col("voters"))
-    often = F.when(F.col("turned"), F.col("shown") - F.col("count")).otherwise(F.col("count"))
-    votes = votes.groupBy("group").agg(
-        F.sort_array(F.collect_list(F.when(F.col("turned"), F.col("element")))).alias("turned"),
-        F.sort_array(F.collect_list(F.when(often > 1, F.struct(often.alias("count"), "element"))))["element"].alias("common"),
-    )
-    turned = F.concat(F.array_except("differ", "turned"), F.array_except("turned", "differ")).alias("differ")
-    own = own.join(votes, "group", "left").select("group", "node", "n", F.coalesce(turned, "differ").alias("differ"), "common")
-    ordered = F.concat(F.array_except("differ", "common"), F.array_intersect("common", "differ"))
-    own = own.withColumn("differ", F.coalesce(ordered, "differ")).drop("common").withColumn("d", F.size("differ").cast("long"))
+    voters = shown.groupBy("group").agg(F.sum("like").alias("voters"))
+    votes = shown.where("like > 0").select("group", F.explode("differ").alias("element")).groupBy("group", "element").agg(F.count("*").alias("for"))
+    votes = votes.join(voters, "group").where((F.col("for") > 1) & (2 * F.col("for") > F.col("voters")))
+    votes = votes.groupBy("group").agg(F.sort_array(F.collect_list("element")).alias("turned"))
+    turned = F.concat(F.array_except("differ", "turned"), F.array_except("turned", "differ"))
+    own = own.join(votes, "group", "left").select("group", "node", "n", F.coalesce(turned, "differ").alias("differ"))
+    own = own.withColumn("d", F.size("differ").cast("long"))
     own = settled(own.withColumn("slack", (den - num) * F.col("n") - (den + num) * F.col("d")), "differences")
     done.append(own)
 
@@ -176,17 +180,25 @@ def _round(large: DataFrame, sets: DataFrame, num: int, den: int, done: list[Dat
     reach = F.col("d") - (den - num) * (F.col("n") + F.col("n_most")) / F.lit(float(den + num))
     with_linked = F.greatest(F.lit(1), F.ceil(reach - 1e-9))
 
-    def prefix(least: Column) -> Column:
-        return F.slice("differ", 1, F.greatest(F.col("d") - least + 1, F.lit(0)).cast("int"))
-
-    def dealt(rows: DataFrame, least: Column, kind: int, side: Column) -> DataFrame:
-        each = rows.select("group", "node", "n", "d", side.alias("side"), F.posexplode(prefix(least)).alias("pos", "element"))
-        bucket = F.xxhash64("group", "element", F.lit(kind)).alias("bucket")
-        return each.select(bucket, "node", "n", "d", F.col("pos").cast("long").alias("pos"), "side")
-
-    among = dealt(member.where(~linked), with_others, 0, F.col("node"))
-    across = dealt(member, F.when(linked, with_others).otherwise(with_linked), 1, linked.cast("long"))
-    held = settled(among.unionByName(across), "dealt")
+    def part(kind: int, least: Column, side: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), least.cast("long").alias("least"), side.alias("side"))
+
+    among = part(0, F.when(~linked, with_others), F.col("node"))
+    across = part(1, F.when(linked, with_others).otherwise(with_linked), linked.cast("long"))
+    taking = member.select("group", "node", "n", "d", "differ", F.inline(F.array(among, across))).where("d >= least")
+    # An element that one side alone has is shared by no two. Of the others those of fewest holders come first, by all members: what
+    # a sample of fixed size does not show is held by the more members, the larger the group is.
+    each = taking.select("group", "kind", "node", "side", "n", "d", "least", F.explode("differ").alias("element"))
+    holders = each.groupBy("group", "kind", "element").agg(F.count("*").alias("holders"), (F.min("side") < F.max("side")).alias("several"))
+    several = each.join(holders.where("several").drop("several"), ["group", "kind", "element"])
+    several = several.groupBy("group", "kind", "node", "side", "n", "d", "least").agg(
+        F.sort_array(F.collect_list(F.struct("holders", "element")))["element"].alias("shared")
+    )
+    first = F.slice("shared", 1, F.greatest(F.size("shared") - F.col("least") + 1, F.lit(0)).cast("int"))
+    # Those left out count as standing before all others.
+    several = several.select("*", (F.col("d") - F.size("shared")).alias("before"), F.posexplode(first).alias("at", "element"))
+    bucket = F.xxhash64("group", "element", "kind").alias("bucket")
+    held = settled(several.select(bucket, "node", "n", "d", (F.col("before") + F.col("at")).alias("pos"), "side"), "dealt")
     done.append(held)
     return settled(links, "links"), held
 
