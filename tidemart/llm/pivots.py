@@ -180,25 +180,34 @@ def _round(large: DataFrame, sets: DataFrame, num: int, den: int, done: list[Dat
     reach = F.col("d") - (den - num) * (F.col("n") + F.col("n_most")) / F.lit(float(den + num))
     with_linked = F.greatest(F.lit(1), F.ceil(reach - 1e-9))
 
-    def part(kind: int, least: Column, side: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), least.cast("long").alias("least"), side.alias("side"))
-
-    among = part(0, F.when(~linked, with_others), F.col("node"))
-    across = part(1, F.when(linked, with_others).otherwise(with_linked), linked.cast("long"))
-    taking = member.select("group", "node", "n", "d", "differ", F.inline(F.array(among, across))).where("d >= least")
+    # Among others, and across: what a member must share, if it can. Both are told from one row a difference.
+    taking = member.select(
+        "group", "node", "n", "d", "linked", "differ",
+        F.when(~linked & (with_others <= F.col("d")), with_others).alias("least0"),
+        F.when(linked & (with_others <= F.col("d")), with_others).when(~linked & (with_linked <= F.col("d")), with_linked).alias("least1"),
+    ).where("least0 is not null or least1 is not null")
     # An element that one side alone has is shared by no two. Of the others those of fewest holders come first, by all members: what
     # a sample of fixed size does not show is held by the more members, the larger the group is.
-    each = taking.select("group", "kind", "node", "side", "n", "d", "least", F.explode("differ").alias("element"))
-    holders = each.groupBy("group", "kind", "element").agg(F.count("*").alias("holders"), (F.min("side") < F.max("side")).alias("several"))
-    several = each.join(holders.where("several").drop("several"), ["group", "kind", "element"])
-    several = several.groupBy("group", "kind", "node", "side", "n", "d", "least").agg(
-        F.sort_array(F.collect_list(F.struct("holders", "element")))["element"].alias("shared")
+    each = taking.select("group", "node", "n", "d", "linked", "least0", "least1", F.explode("differ").alias("element"))
+    holders = each.groupBy("group", "element").agg(
+        F.count("least0").alias("holders0"), F.count("least1").alias("holders1"), F.count(F.when(F.col("linked"), F.col("least1"))).alias("on_side")
     )
-    first = F.slice("shared", 1, F.greatest(F.size("shared") - F.col("least") + 1, F.lit(0)).cast("int"))
-    # Those left out count as standing before all others.
-    several = several.select("*", (F.col("d") - F.size("shared")).alias("before"), F.posexplode(first).alias("at", "element"))
-    bucket = F.xxhash64("group", "element", "kind").alias("bucket")
-    held = settled(several.select(bucket, "node", "n", "d", (F.col("before") + F.col("at")).alias("pos"), "side"), "dealt")
+    use = [F.col("holders0") > 1, (F.col("on_side") > 0) & (F.col("on_side") < F.col("holders1"))]
+    several = each.join(holders.where(use[0] | use[1]), ["group", "element"])
+    several = several.groupBy("group", "node", "n", "d", "linked", "least0", "least1").agg(*[
+        F.sort_array(F.collect_list(F.when(use[k] & F.col(f"least{k}").isNotNull(), F.struct(f"holders{k}", "element"))))["element"].alias(f"shared{k}")
+        for k in (0, 1)
+    ])
+
+    def dealt(k: int, side: Column) -> DataFrame:
+        first = F.slice(f"shared{k}", 1, F.greatest(F.size(f"shared{k}") - F.col(f"least{k}") + 1, F.lit(0)).cast("int"))
+        # Those left out count as standing before all others.
+        before = (F.col("d") - F.size(f"shared{k}")).alias("before")
+        rows = several.where(F.col(f"least{k}").isNotNull()).select("group", "node", "n", "d", side.alias("side"), before, F.posexplode(first).alias("at", "element"))
+        bucket = F.xxhash64("group", "element", F.lit(k)).alias("bucket")
+        return rows.select(bucket, "node", "n", "d", (F.col("before") + F.col("at")).alias("pos"), "side")
+
+    held = settled(dealt(0, F.col("node")).unionByName(dealt(1, F.col("linked").cast("long"))), "dealt")
     done.append(held)
     return settled(links, "links"), held
 
