@@ -155,6 +155,26 @@ def test_differences_that_few_share_make_few_rows(shipped, monkeypatch):
     assert rows <= 6 * 40 * 39 // 2
 
 
+def test_each_difference_is_exploded_once(shipped, monkeypatch):
+    """400 members with three elements of their own and two that half of them share: rows made by a round grow with the differences."""
+    made, plans, settled = {}, [], pivots.settled
+
+    def seen(rows, label):
+        plans.append((label, rows._jdf.queryExecution().executedPlan().toString()))
+        out = settled(rows, label)
+        made.setdefault(label, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(pivots, "settled", seen)
+    sets = [set(range(50)) | {1000 + k % 2, 1002 + k % 2} | {10_000 + 3 * k + i for i in range(3)} for k in range(400)]
+    got, _ = by_pivots(shipped, sets, [range(len(sets))], 95, 100)
+    want = by_all_pairs(sets, [range(len(sets))], 95, 100)
+    assert {k: got.get(k, k) for k in want} == want
+    whole = [label for label, plan in plans for line in plan.splitlines() if "Generate explode(differ" in line and "least" in line]
+    assert whole == ["each"] * len(made["dealt"])
+    assert sum(made["each"]) <= 10 * len(sets)
+
+
 def test_registers_merge_and_agree_as_often_as_sets_are_alike():
     rng = np.random.default_rng(4)
     x, y, z = (np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for n in (40_000, 5_000, 5_000))

@@ -188,7 +188,9 @@ def _round(large: DataFrame, sets: DataFrame, num: int, den: int, done: list[Dat
     ).where("least0 is not null or least1 is not null")
     # An element that one side alone has is shared by no two. Of the others those of fewest holders come first, by all members: what
     # a sample of fixed size does not show is held by the more members, the larger the group is.
-    each = taking.select("group", "node", "n", "d", "linked", "least0", "least1", F.explode("differ").alias("element"))
+    # Read for the counts and for either kind of buckets, by plans that differ: unless settled, each would explode it anew.
+    each = settled(taking.select("group", "node", "n", "d", "linked", "least0", "least1", F.explode("differ").alias("element")), "each")
+    done.append(each)
     holders = each.groupBy("group", "element").agg(
         F.count("least0").alias("holders0"), F.count("least1").alias("holders1"), F.count(F.when(F.col("linked"), F.col("least1"))).alias("on_side")
     )
