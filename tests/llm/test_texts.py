@@ -5,10 +5,13 @@ import random
 import re
 import subprocess
 import sys
+import tracemalloc
 import zlib
 from pathlib import Path
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,6 +100,29 @@ def test_frequency_class_depends_on_the_words_alone():
         assert (jaccard.prefix(tokens, classes, order, 90, 100) == jaccard.prefix(same, others, order, 90, 100)).all()
 
 
+def test_workers_need_little_room_for_texts():
+    """A worker keeps the room of its largest step through all later stages: a batch of 6 MB is worked on in small blocks."""
+    random.seed(5)
+    rows = [" ".join(random.choices([f"w{i}" for i in range(3_000)], k=1_000)) for _ in range(1_100)]
+    ids = pa.array(range(len(rows)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, pa.array(rows), pa.array([i % 3 for i in range(len(rows))], pa.int64())], names=["id", "text", "grade"])
+    model = SimpleNamespace(value=(np.ones(1 << quality.BITS, np.float32), np.zeros(2)))
+    for task in (quality._score_task(model), quality._feature_task, jaccard._class_task(5)):
+        textbytes._POWERS.clear()
+        tracemalloc.start()
+        done = sum(1 for _ in task(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert done and peak < 40_000_000
+
+
+@pytest.mark.parametrize("most", [1, 50, 10_000])
+def test_blocks_cover_all_rows(most):
+    texts = [None, "", "a" * 70, "b", None, "c" * 30, "d" * 49, ""]
+    found = [bytes(data[a:b]) for _, data, ends in textbytes.blocks(pa.array(texts), most) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    assert found == [(t or "").encode() for t in texts]
+
+
 def test_join_of_odd_rows(odd_documents):
     rows = odd_documents.select(F.col("doc_id").alias("id"), "text", "key", "token")
     assert joined(rows, words=3, num=90) == linked([(r.id, r.text) for r in rows.collect()], 3, 90)

@@ -125,7 +125,7 @@ def _class_task(n: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SLOTS, np.int64)
         for batch in batches:
-            for row, data, offsets in textbytes.blocks(batch.column("text")):
+            for row, data, offsets in textbytes.blocks(batch.column("text"), textbytes.SMALL_BLOCK_BYTES):
                 sets = shingle_sets(data, offsets, n)
                 total += np.bincount(_slot(word_hashes(data, offsets)[0]), minlength=SLOTS)
                 nothing, keys, ids = pa.nulls(len(sets), pa.int64()), [_key(x) for x in sets], batch.column("id").slice(row, len(sets))
@@ -162,7 +162,7 @@ def _posting_task(n: int, common, num: int, den: int, *, narrow: bool = False, s
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
         for batch in batches:
-            for _, data, offsets in textbytes.blocks(batch.column("text")):
+            for _, data, offsets in textbytes.blocks(batch.column("text"), textbytes.SMALL_BLOCK_BYTES):
                 tokens, keys, sizes = [np.zeros(0, np.uint64)], [], []
                 for s, classes in shingle_sets(data, offsets, n, common.value):
                     key = _key(s)
@@ -206,7 +206,7 @@ def _set_task(n: int, common, wanted, num: int, den: int, *, whole: bool):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
         for batch in batches:
-            for row, data, offsets in textbytes.blocks(batch.column("text")):
+            for row, data, offsets in textbytes.blocks(batch.column("text"), textbytes.SMALL_BLOCK_BYTES):
                 sets = shingle_sets(data, offsets, n, common.value)
                 keys = [_key(t) for t, _ in sets]
                 passing = sieve.passes(wanted.value, _mark(keys, batch.column("id").slice(row, len(sets)).to_pylist()))

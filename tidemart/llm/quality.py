@@ -80,7 +80,7 @@ def features(data: np.ndarray, offsets: np.ndarray, live: np.ndarray | None = No
 
 def _feature_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row, data, offsets in textbytes.blocks(batch.column("text")):
+        for row, data, offsets in textbytes.blocks(batch.column("text"), textbytes.SMALL_BLOCK_BYTES):
             n = len(offsets) - 1
             text, slot = features(data, offsets)
             at = np.searchsorted(text, np.arange(n + 1))
@@ -95,7 +95,7 @@ def fit(grades: np.ndarray, text: np.ndarray, slot: np.ndarray, levels: int) ->
     best = grades == levels - 1
     seen, good = np.bincount(slot, minlength=1 << BITS), np.bincount(slot[best[text]], minlength=1 << BITS)
     contrast = np.abs(np.log((good + 1) / (best.sum() + 2)) - np.log((seen - good + 1) / ((~best).sum() + 2)))
-    keep = (seen[slot] >= LEAST_TEXTS) & (contrast[slot] >= LEAST_CONTRAST)
+    keep = ((seen >= LEAST_TEXTS) & (contrast >= LEAST_CONTRAST))[slot]
     text, slot = text[keep], slot[keep]
     used, column = np.unique(slot, return_inverse=True)
     scale = contrast[used]
@@ -133,15 +133,15 @@ def fit(grades: np.ndarray, text: np.ndarray, slot: np.ndarray, levels: int) ->
 
 def _fit_task(levels: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grades, slots, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        grades, slots, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
         for batch in batches:
             grades.append(batch.column("grade").to_numpy().astype(np.int64))
-            slots.append(batch.column("slots").flatten().to_numpy().astype(np.int64))
+            slots.append(batch.column("slots").flatten().to_numpy())
             sizes.append(pa.compute.list_value_length(batch.column("slots")).to_numpy().astype(np.int64))
         grades, slots, sizes = map(np.concatenate, (grades, slots, sizes))
         if not len(grades):
             return
-        weights, cuts = fit(grades, np.repeat(np.arange(len(grades)), sizes), slots, levels)
+        weights, cuts = fit(grades, np.repeat(np.arange(len(grades), dtype=np.int32), sizes), slots, levels)
         yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()]), pa.array([cuts.tolist()])], names=["weights", "cuts"])
 
     return task
@@ -153,7 +153,7 @@ def _score_task(shared):
         live = weights != 0
         for batch in batches:
             scores = np.zeros(len(batch))
-            for row, data, offsets in textbytes.blocks(batch.column("text")):
+            for row, data, offsets in textbytes.blocks(batch.column("text"), textbytes.SMALL_BLOCK_BYTES):
                 n = len(offsets) - 1
                 text, slot = features(data, offsets, live)
                 scores[row : row + n] = np.bincount(text, weights[slot], minlength=n)

@@ -9,6 +9,8 @@ import pyarrow as pa
 
 # Texts are taken in blocks of about so many bytes; one longer text is a block of its own.
 BLOCK_BYTES = 2_000_000
+# Where a block's arrays are many times its bytes: a worker keeps the room of the largest that it ever took.
+SMALL_BLOCK_BYTES = 250_000
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
@@ -27,7 +29,8 @@ def powers(name: str, n: int) -> np.ndarray:
     held = _POWERS.get(name)
     if held is None or len(held) < n:
         b = BASE if name == "base" else INVERSE
-        held = np.full(max(n, BLOCK_BYTES + 1), b, np.uint64)
+        size = n if n > 4 * BLOCK_BYTES else 1 << max(18, (n - 1).bit_length())
+        held = np.full(size, b, np.uint64)
         held[0] = 1
         held = np.multiply.accumulate(held)
         if n <= 4 * BLOCK_BYTES:
@@ -45,8 +48,9 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def blocks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, bytes, offsets) for runs of rows; a null text is empty."""
+def blocks(column: pa.Array, most: int | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, bytes, offsets) for runs of rows of ``most`` bytes, by default ``BLOCK_BYTES``; a null text is empty."""
+    most = BLOCK_BYTES if most is None else most
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_binary())
@@ -59,7 +63,7 @@ def blocks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     row = 0
     while row < len(column):
-        stop = int(np.searchsorted(ends, ends[row] + BLOCK_BYTES, "right")) - 1
+        stop = int(np.searchsorted(ends, ends[row] + most, "right")) - 1
         stop = min(max(stop, row + 1), len(column))
         yield row, data[ends[row] : ends[stop]], ends[row : stop + 1] - ends[row]
         row = stop
